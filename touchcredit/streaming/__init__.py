@@ -1,0 +1,6 @@
+"""Streaming entry points.
+
+The reference pipeline is batch-only (no watermarks, state or late data), so
+no streaming operator is built. Every model is a plain DataFrame function, so a
+``foreachBatch`` sink can call the same functions on micro-batches if needed.
+"""
