@@ -37,7 +37,7 @@ def _positional(journeys: DataFrame, method: str, last: bool) -> DataFrame:
     return picked.groupBy("channel").agg(
         F.lit(method).alias("attribution_method"),
         F.count("journey_id").alias("attributed_conversions"),
-        F.sum("order_value").alias("attributed_revenue"))
+        F.sum("order_value").cast("decimal(38,2)").alias("attributed_revenue"))
 
 
 def first_touch(journeys: DataFrame) -> DataFrame:
