@@ -31,30 +31,36 @@ def ordered_positions(df: DataFrame, group: str, ts: str, tiebreak: str,
                       position: str = "position", prev_ts: str = "prev_ts",
                       next_ts: str = "next_ts", group_size: str = "group_size",
                       chunk_seconds: int = DAY_SECONDS) -> DataFrame:
-    keyed = (df.withColumn(_G, F.coalesce(F.col(group).cast("string"), F.lit("")))
-               .withColumn(_GN, F.col(group).isNull())
-               .withColumn(_C, time_chunk(ts, chunk_seconds)))
     t = F.col(ts)
+    keyed = df.withColumns({
+        _G: F.coalesce(F.col(group).cast("string"), F.lit("")),
+        _GN: F.col(group).isNull(),
+        _C: time_chunk(ts, chunk_seconds),
+    })
     local = (Window.partitionBy(_G, _GN, _C)
              .orderBy(t.asc_nulls_last(), F.col(tiebreak).asc_nulls_last()))
-    rows = (keyed.withColumn("__rn", F.row_number().over(local).cast("bigint"))
-                 .withColumn("__lp", F.lag(t).over(local))
-                 .withColumn("__ln", F.lead(t).over(local)))
+    rows = keyed.withColumns({
+        "__rn": F.row_number().over(local).cast("bigint"),
+        "__lp": F.lag(t).over(local),
+        "__ln": F.lead(t).over(local),
+    })
 
     chunks = keyed.groupBy(_G, _GN, _C).agg(F.count(F.lit(1)).alias("__n"),
                                            F.min(t).alias("__lo"), F.max(t).alias("__hi"))
     by_chunk = Window.partitionBy(_G, _GN).orderBy(_C)
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    chunks = (chunks.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0)).cast("bigint"))
-                    .withColumn("__pl", F.lag("__hi").over(by_chunk))
-                    .withColumn("__nf", F.lead("__lo").over(by_chunk))
-                    .withColumn("__tot", F.sum("__n").over(Window.partitionBy(_G, _GN)).cast("bigint")))
+    chunks = chunks.select(
+        _G, _GN, _C, "__n",
+        F.coalesce(F.sum("__n").over(before), F.lit(0)).cast("bigint").alias("__off"),
+        F.lag("__hi").over(by_chunk).alias("__pl"),
+        F.lead("__lo").over(by_chunk).alias("__nf"),
+        F.sum("__n").over(Window.partitionBy(_G, _GN)).cast("bigint").alias("__tot"))
 
     out = rows.join(chunks, [_G, _GN, _C], "inner")
-    return (out.withColumn(position, F.col("__off") + F.col("__rn"))
-               .withColumn(prev_ts, F.when(F.col("__rn") == 1, F.col("__pl")).otherwise(F.col("__lp")))
-               .withColumn(next_ts, F.when(F.col("__rn") == F.col("__n"), F.col("__nf"))
-                           .otherwise(F.col("__ln")))
-               .withColumn(group_size, F.col("__tot"))
-               .drop(_G, _GN, _C, "__rn", "__lp", "__ln", "__n", "__lo", "__hi", "__off",
-                     "__pl", "__nf", "__tot"))
+    first, last = F.col("__rn") == 1, F.col("__rn") == F.col("__n")
+    return out.select(
+        *df.columns,
+        (F.col("__off") + F.col("__rn")).alias(position),
+        F.when(first, F.col("__pl")).otherwise(F.col("__lp")).alias(prev_ts),
+        F.when(last, F.col("__nf")).otherwise(F.col("__ln")).alias(next_ts),
+        F.col("__tot").alias(group_size))

@@ -15,6 +15,7 @@ ENGINE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -23,6 +24,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode runs every task in the driver JVM: give it the heap
+            builder = builder.config("spark.driver.memory", "8g")
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:

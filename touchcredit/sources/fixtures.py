@@ -4,116 +4,109 @@ The test parquet has no marketing tables, so each source is a projection of
 ``customer`` or ``events`` (FIXTURES.md §3): clicks become web touches, views
 pixel touches, signups calls, errors helpdesk mails and purchases orders.
 Costs are counts times a fixed unit price, so they are exact. Every derivation
-is a narrow projection or a per-day aggregate, so it scales with the input.
+is a narrow projection or a per-day aggregate, so it scales with the input;
+each is one SQL projection (filters reach the parquet scan).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from touchcredit.sources.readers import RawSources, conform
 from touchcredit.sources.schemas import SOURCE_SCHEMAS
 
-# Fixed values of the fixture contract (must equal the oracle's derivation SQL).
-B2B_SEGMENTS = ["MACHINERY", "BUILDING"]
-UNKNOWN_CUSTOMER_MOD = 3        # custkey % 10 == 3: not in the customer table
-NON_BUYER_MOD = 5               # user_id % 10 == 5: never places an order
-FIRST_SEEN_BASE = "2024-01-01"
-TRACKING_NUMBER = "+1-800-555-0199"
-GOOGLE_MICROS_PER_CLICK = 4510000
-META_SPEND_PER_VIEW = 3.75
-META_IMPRESSIONS_PER_VIEW = 220
-META_CLICKS_PER_VIEW = 3
-TRAFFIC_SOURCES = ["paid_search", "email", "organic"]   # by event_id % 3
-
-
-def _s(c: Column) -> Column:
-    return c.cast("string")
-
-
-def _phone_suffix(k: Column) -> tuple[Column, Column]:
-    return _s(F.lit(100) + k % 800), _s(F.lit(1000) + (k * 7) % 9000)
+# Fixed values of the fixture contract (they must equal the oracle's derivation):
+# custkey % 10 = 3 is absent from the customer table, user_id % 10 = 5 never
+# buys, MACHINERY/BUILDING segments are b2b, a click costs 4,510,000 micros, a
+# view 3.75 in spend, 220 impressions and 3 clicks.
+_CUSTOMERS = [
+    "concat('user_', CAST(c_custkey AS STRING)) AS customer_id",
+    "CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'b2b' ELSE 'b2c' END AS customer_type",
+    "date_add(DATE '2024-01-01', CAST(c_custkey % 9 AS INT)) AS first_seen_date",
+    "concat('+1-555-', CAST(100 + c_custkey % 800 AS STRING), '-', "
+    "CAST(1000 + (c_custkey * 7) % 9000 AS STRING)) AS phone_number",
+    "concat('Customer', CAST(c_custkey AS STRING), '@Example.com') AS email",
+]
+_GA4 = [
+    "event_id",
+    "concat('user_', CAST(user_id AS STRING)) AS ga_user_id",
+    "CASE event_id % 3 WHEN 0 THEN 'paid_search' WHEN 1 THEN 'email' ELSE 'organic' END AS traffic_source",
+    "concat('campaign_', CAST(event_id % 3 AS STRING)) AS campaign_name",
+    "ts AS event_timestamp",
+]
+_PIXEL = [
+    "event_id AS pixel_event_id",
+    "concat('user_', CAST(user_id AS STRING)) AS fb_external_id",
+    "concat('social_', CAST(event_id % 3 AS STRING)) AS campaign_name",
+    "ts AS event_time",
+]
+_CALLS = [
+    "event_id AS call_id",
+    "'+1-800-555-0199' AS tracking_phone_number",
+    "concat('1 (555) ', CAST(100 + user_id % 800 AS STRING), ' ', "
+    "CAST(1000 + (user_id * 7) % 9000 AS STRING)) AS caller_phone_number",
+    "ts AS call_datetime",
+    "CAST(30 + event_id % 571 AS INT) AS duration_seconds",
+    "'inbound' AS direction",
+    "concat('line_', CAST(event_id % 3 AS STRING)) AS source_campaign",
+]
+_HELPDESK = [
+    "event_id AS ticket_id",
+    "concat('CUSTOMER', CAST(user_id AS STRING), '@example.com', "
+    "CASE WHEN event_id % 50 = 0 THEN ' ' ELSE '' END) AS from_email",
+    "ts AS received_at",
+    "concat('topic_', CAST(event_id % 3 AS STRING)) AS subject_category",
+]
+_ORDERS = [
+    "event_id AS order_id",
+    "concat('user_', CAST(user_id AS STRING)) AS customer_id",
+    "ts AS created_at",
+    "value AS total_price",
+]
 
 
 def customers_from(customer: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    area, line = _phone_suffix(k)
-    return customer.where(k % 10 != UNKNOWN_CUSTOMER_MOD).select(
-        F.concat(F.lit("user_"), _s(k)).alias("customer_id"),
-        F.when(F.col("c_mktsegment").isin(B2B_SEGMENTS), "b2b").otherwise("b2c").alias("customer_type"),
-        F.date_add(F.lit(FIRST_SEEN_BASE).cast("date"), (k % 9).cast("int")).alias("first_seen_date"),
-        F.concat(F.lit("+1-555-"), area, F.lit("-"), line).alias("phone_number"),
-        F.concat(F.lit("Customer"), _s(k), F.lit("@Example.com")).alias("email"),
-    )
+    return customer.where("c_custkey % 10 <> 3").selectExpr(*_CUSTOMERS)
 
 
 def _events_of(events: DataFrame, event_type: str) -> DataFrame:
-    return events.where(F.col("event_type") == event_type)
-
-
-def _user(prefix: str = "user_") -> Column:
-    return F.concat(F.lit(prefix), _s(F.col("user_id")))
+    return events.where(f"event_type = '{event_type}'")
 
 
 def ga4_from(events: DataFrame) -> DataFrame:
-    m = F.col("event_id") % 3
-    source = (F.when(m == 0, TRAFFIC_SOURCES[0]).when(m == 1, TRAFFIC_SOURCES[1])
-              .otherwise(TRAFFIC_SOURCES[2]))
-    return _events_of(events, "click").select(
-        "event_id", _user().alias("ga_user_id"), source.alias("traffic_source"),
-        F.concat(F.lit("campaign_"), _s(m)).alias("campaign_name"),
-        F.col("ts").alias("event_timestamp"))
+    return _events_of(events, "click").selectExpr(*_GA4)
 
 
 def meta_pixel_from(events: DataFrame) -> DataFrame:
-    return _events_of(events, "view").select(
-        F.col("event_id").alias("pixel_event_id"), _user().alias("fb_external_id"),
-        F.concat(F.lit("social_"), _s(F.col("event_id") % 3)).alias("campaign_name"),
-        F.col("ts").alias("event_time"))
+    return _events_of(events, "view").selectExpr(*_PIXEL)
 
 
 def calls_from(events: DataFrame) -> DataFrame:
-    area, line = _phone_suffix(F.col("user_id"))
-    return _events_of(events, "signup").select(
-        F.col("event_id").alias("call_id"), F.lit(TRACKING_NUMBER).alias("tracking_phone_number"),
-        F.concat(F.lit("1 (555) "), area, F.lit(" "), line).alias("caller_phone_number"),
-        F.col("ts").alias("call_datetime"),
-        (F.lit(30) + F.col("event_id") % 571).cast("int").alias("duration_seconds"),
-        F.lit("inbound").alias("direction"),
-        F.concat(F.lit("line_"), _s(F.col("event_id") % 3)).alias("source_campaign"))
+    return _events_of(events, "signup").selectExpr(*_CALLS)
 
 
 def helpdesk_from(events: DataFrame) -> DataFrame:
-    pad = F.when(F.col("event_id") % 50 == 0, F.lit(" ")).otherwise(F.lit(""))
-    return _events_of(events, "error").select(
-        F.col("event_id").alias("ticket_id"),
-        F.concat(_user("CUSTOMER"), F.lit("@example.com"), pad).alias("from_email"),
-        F.col("ts").alias("received_at"),
-        F.concat(F.lit("topic_"), _s(F.col("event_id") % 3)).alias("subject_category"))
+    return _events_of(events, "error").selectExpr(*_HELPDESK)
 
 
 def orders_from(events: DataFrame) -> DataFrame:
-    buyers = ~(F.col("user_id") % 10).isin(UNKNOWN_CUSTOMER_MOD, NON_BUYER_MOD)
-    return _events_of(events, "purchase").where(buyers).select(
-        F.col("event_id").alias("order_id"), _user().alias("customer_id"),
-        F.col("ts").alias("created_at"), F.col("value").alias("total_price"))
+    return _events_of(events, "purchase").where("user_id % 10 NOT IN (3, 5)").selectExpr(*_ORDERS)
 
 
 def google_costs_from(events: DataFrame) -> DataFrame:
-    return (_events_of(events, "click").groupBy(F.col("ts").cast("date").alias("date"))
-            .agg((F.count(F.lit(1)) * GOOGLE_MICROS_PER_CLICK).cast("bigint").alias("cost_micros_equivalent"))
-            .select("date", F.lit("paid_search").alias("channel_name"), "cost_micros_equivalent"))
+    return (_events_of(events, "click").selectExpr("CAST(ts AS DATE) AS date")
+            .groupBy("date").count()
+            .selectExpr("date", "'paid_search' AS channel_name",
+                        "CAST(count * 4510000 AS BIGINT) AS cost_micros_equivalent"))
 
 
 def meta_costs_from(events: DataFrame) -> DataFrame:
-    n = F.count(F.lit(1))
-    return (_events_of(events, "view").groupBy(F.col("ts").cast("date").alias("date_start"))
-            .agg((n * F.lit(META_SPEND_PER_VIEW)).cast("double").alias("spend"),
-                 (n * META_IMPRESSIONS_PER_VIEW).cast("bigint").alias("impressions"),
-                 (n * META_CLICKS_PER_VIEW).cast("bigint").alias("clicks"))
-            .select("date_start", F.lit("social_all").alias("campaign_group"), "spend",
-                    "impressions", "clicks"))
+    return (_events_of(events, "view").selectExpr("CAST(ts AS DATE) AS date_start")
+            .groupBy("date_start").count()
+            .selectExpr("date_start", "'social_all' AS campaign_group",
+                        "CAST(count * 3.75 AS DOUBLE) AS spend",
+                        "CAST(count * 220 AS BIGINT) AS impressions",
+                        "CAST(count * 3 AS BIGINT) AS clicks"))
 
 
 def derive_sources(customer: DataFrame, events: DataFrame) -> RawSources:

@@ -34,6 +34,9 @@ class RawSources:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto ``schema`` (name, order and type); fails on a missing column."""
+    have = [(f.name, f.dataType) for f in df.schema.fields]
+    if have == [(f.name, f.dataType) for f in schema.fields]:
+        return df
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
