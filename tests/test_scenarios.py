@@ -1,0 +1,231 @@
+"""Hand-made journeys: every model vs the independent DuckDB oracle on the same
+rows, plus explicit checks of the semantic decisions.
+
+Covers: single-touch, multi-touch, repeat purchaser, tied orders, touch at an
+order's exact time, touch after the last order, a long gap between orders,
+same-instant touches, unknown visitors, NULL ids, two customers sharing a phone
+(fan-out), the trimmed/untrimmed mail asymmetry, day and second boundaries,
+orphan orders, and the empty-converted-set case of NOT IN.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from oracle_compare import _rows
+from touchcredit.oracle_sql import model_sql, sources_from_tables
+from touchcredit.plans import quality
+from touchcredit.plans.pipeline import AttributionPipeline
+from touchcredit.sources.readers import RawSources
+from touchcredit.sources.schemas import SOURCE_SCHEMAS
+
+
+def ts(day, hh=0, mm=0, ss=0, us=0):
+    return dt.datetime(2024, 1, day, hh, mm, ss, us)
+
+
+CUSTOMERS = [
+    ("c1", "b2c", dt.date(2024, 1, 9), "+1 (555) 010-0001", "Alice@Example.com"),
+    ("c2", "b2b", dt.date(2024, 1, 1), "555.010.0002", "bob@example.com "),
+    ("c3", "b2c", dt.date(2024, 1, 1), "555-010-0003", "carol@example.com"),
+    ("c4", "b2b", dt.date(2024, 1, 1), "(555) 010 0003", "dan@example.com"),
+    ("c5", "b2c", dt.date(2024, 1, 1), None, None),
+    ("c6", "b2c", dt.date(2024, 1, 22), "555-010-0006", "frank@example.com"),
+    ("c7", "b2b", dt.date(2024, 1, 2), "555-010-0007", "grace@example.com"),
+]
+GA4 = [
+    (1, "c1", "paid_search", "campaign_a", ts(2, 9)),
+    (2, "c1", "email", "campaign_b", ts(5, 23, 59)),
+    (3, "c1", "organic", "campaign_c", ts(10, 12)),          # exactly at o1 -> o1
+    (4, "c1", "paid_search", "campaign_a", ts(15, 8)),
+    (5, "c1", "email", "campaign_b", ts(15, 8)),              # same instant as 4
+    (6, "c1", "organic", "campaign_c", ts(25, 10)),           # after the last order -> dropped
+    (7, "visitor_x", "organic", "campaign_c", ts(3, 10)),     # unknown visitor
+    (8, None, "email", "campaign_b", ts(4, 10)),              # NULL id
+    (9, "c1 ", "paid_search", "campaign_a", ts(1, 0, 0, 1)),  # same source id as c1
+    (10, "c7", "paid_search", "campaign_a", ts(1, 9)),
+    (11, "c7", "email", "campaign_b", ts(14, 9)),
+]
+PIXEL = [
+    (101, "c6", "social_a", ts(21, 10, 0, 0, 900000)),        # .9 s
+    (102, "c1", "social_b", ts(7, 12)),
+    (103, "c5", "social_a", ts(6, 12)),                        # known, never buys
+    (104, "c6", "social_b", ts(21, 10, 0, 2, 100000)),         # 2.1 s
+]
+CALLS = [
+    (201, "+1-800-555-0199", "555-010-0003", ts(8, 16), 60, "inbound", "line_a"),  # c3 + c4 share
+    (202, "+1-800-555-0199", "5550100001", ts(12, 9), 90, "inbound", "line_b"),
+    (203, "+1-800-555-0199", "555 999 0000", ts(12, 10), 30, "inbound", "line_a"),    # nobody's phone
+    (204, "+1-800-555-0199", None, ts(13, 10), 30, "inbound", "line_a"),
+]
+EMAILS = [
+    (301, "BOB@example.com", ts(11, 10), "topic_a"),
+    (302, "bob@example.com ", ts(11, 11), "topic_b"),        # trimmed for identity, not for lookup
+    (303, "alice@example.com", ts(19, 23, 59), "topic_a"),
+]
+ORDERS = [
+    (1001, "c1", ts(10, 12), 100.0),
+    (1002, "c1", ts(20, 0, 1), 50.5),
+    (1000, "c1", ts(20, 0, 1), 20.25),                         # tied with 1002; wins the tie
+    (1003, "c6", ts(21, 11), 12.0),
+    (1004, "c7", ts(3, 9), 70.0),
+    (1005, "c7", ts(28, 9), 80.0),                             # long gap
+    (1006, "c2", ts(12, 9), 33.3),
+    (1007, "ghost", ts(12, 9), 5.0),                           # not a customer
+    (1008, None, ts(12, 9), 7.0),                              # no customer id
+    (1009, "c3", ts(9, 9), 11.0),
+]
+GOOGLE = [(dt.date(2024, 1, 1), "paid_search", 4510000), (dt.date(2024, 1, 2), "paid_search", 9020000)]
+META = [(dt.date(2024, 1, 1), "social_all", 7.5, 440, 6), (dt.date(2024, 1, 2), "social_all", 3.75, 220, 3)]
+
+ROWS = {"customers": CUSTOMERS, "orders": ORDERS, "ga4_events": GA4, "meta_pixel_events": PIXEL,
+        "calls": CALLS, "helpdesk_emails": EMAILS, "google_costs": GOOGLE, "meta_costs": META}
+
+_DUCK_TYPES = {T.StringType: "VARCHAR", T.LongType: "BIGINT", T.IntegerType: "INTEGER",
+               T.DoubleType: "DOUBLE", T.DateType: "DATE", T.TimestampNTZType: "TIMESTAMP"}
+
+
+def _sources(spark, rows):
+    return RawSources(**{n: spark.createDataFrame(rows[n], SOURCE_SCHEMAS[n]) for n in rows})
+
+
+def _duck(rows):
+    con = duckdb.connect()
+    for name, schema in SOURCE_SCHEMAS.items():
+        cols = ", ".join(f"{f.name} {_DUCK_TYPES[type(f.dataType)]}" for f in schema.fields)
+        con.execute(f"CREATE TABLE hm_{name} ({cols})")
+        if rows[name]:
+            marks = ", ".join("?" for _ in schema.fields)
+            con.executemany(f"INSERT INTO hm_{name} VALUES ({marks})", rows[name])
+    return con
+
+
+def _round(df):
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+MODELS = [
+    ("profiles", "profiles"), ("touchpoints", "touchpoints"), ("conversions", "conversions"),
+    ("costs", "costs"), ("converting", "journeys_converting"),
+    ("non_converting", "journeys_non_converting"), ("user_journeys", "user_journeys"),
+    ("first_touch", "mart_first_touch"), ("last_touch", "mart_last_touch"),
+    ("linear", "mart_linear"), ("time_decay", "mart_time_decay"), ("summary", "mart_summary"),
+]
+
+
+@pytest.fixture(scope="module")
+def scenario(spark):
+    return AttributionPipeline(_sources(spark, ROWS), materialize=True), _duck(ROWS)
+
+
+@pytest.mark.parametrize("attr,cte", MODELS)
+def test_model_matches_oracle(scenario, attr, cte):
+    pipe, con = scenario
+    df = _round(getattr(pipe, attr))
+    rel = con.sql(f"SELECT * FROM ({model_sql(cte, sources_from_tables('hm_'))})")
+    rel = con.sql("SELECT " + ", ".join(
+        f"round({c}, 6) AS {c}" if str(t) == "DOUBLE" else c
+        for c, t in zip(rel.columns, rel.types)) + f" FROM ({model_sql(cte, sources_from_tables('hm_'))})")
+    assert sorted(df.columns) == sorted(rel.columns)
+    assert Counter(_rows(df.columns, [tuple(r) for r in df.collect()])) == \
+        Counter(_rows(rel.columns, rel.fetchall()))
+
+
+def _journeys(pipe):
+    return {(r.journey_id, r.platform_id): r for r in pipe.user_journeys.collect()}
+
+
+def test_interval_edges_and_ties(scenario):
+    pipe, _ = scenario
+    j = _journeys(pipe)
+    assert j[("1001", "ga4|3")].converted == 1                  # touch at the order instant
+    assert ("1002", "ga4|4") not in j and j[("1000", "ga4|4")]  # tied orders: lower id wins
+    assert not any(k[0] == "1002" for k in j)                   # the other gets an empty interval
+    assert not any(k[1] == "ga4|6" for k in j)                  # after last order, profile converted
+    assert j[("1005", "ga4|11")].days_to_conversion == 14       # long gap, second order
+    assert j[("1004", "ga4|10")].days_to_conversion == 2
+
+
+def test_boundaries(scenario):
+    pipe, _ = scenario
+    j = _journeys(pipe)
+    second = j[("1003", "meta_pixel|104")]
+    assert second.seconds_since_previous_touch == 2             # .9 -> 2.1 crosses two boundaries
+    assert second.is_last_touch and not second.is_first_touch
+    assert j[("1003", "meta_pixel|101")].is_first_touch
+
+
+def test_identity_decisions(scenario):
+    pipe, _ = scenario
+    prof = {r.customer_profile_id: r for r in pipe.profiles.collect()}
+    assert prof["c1"].source_system == "raw_ga4.ga4events"       # earliest known identity survives
+    assert prof["c1"].match_method == "customer_id_match"
+    assert prof["visitor_x"].is_known_customer is False          # raw id kept as profile id
+    assert prof["raw_ga4.ga4events|"].known_customer_id is None  # NULL id -> 'system|'
+    assert prof["raw_callrail.calls|5559990000"].normalized_phone == "5559990000"
+    assert prof["c3"].normalized_phone == "5550100003"           # every non-digit removed
+    assert prof["c2"].normalized_email == "bob@example.com"
+
+
+def test_touch_resolution(scenario):
+    pipe, _ = scenario
+    t = pipe.touchpoints.collect()
+    shared = sorted(r.resolved_customer_profile_id for r in t if r.platform_id == "callrail|201")
+    assert shared == ["c3", "c4"]                                # fan-out kept
+    mails = {r.platform_id: r.resolved_customer_profile_id for r in t if r.raw_source.startswith("raw_help")}
+    assert mails["helpdesk|301"] == "c2" and mails["helpdesk|302"] is None   # lookup untrimmed
+    ga4 = {r.platform_id: r.resolved_customer_profile_id for r in t if r.platform_id.startswith("ga4")}
+    assert ga4["ga4|9"] == "c1"                                   # smallest profile id for source id 'c1'
+    assert ga4["ga4|8"] is None
+
+
+def test_repeat_flags(scenario):
+    pipe, _ = scenario
+    rep = {r.order_id: r.is_repeat_purchase for r in pipe.conversions.collect()}
+    assert rep["1001"] is False and rep["1000"] is True and rep["1002"] is True
+    assert rep["1008"] is False                                   # NULL customers form one group
+
+
+def test_attribution_invariants(scenario):
+    pipe, _ = scenario
+    conv = pipe.converting
+    revenue = float(conv.select("journey_id", "order_value").distinct()
+                    .agg(F.sum("order_value")).first()[0])
+    n_journeys = conv.select("journey_id").distinct().count()
+    for mart in (pipe.first_touch, pipe.last_touch, pipe.linear, pipe.time_decay):
+        tot = mart.agg(F.sum("attributed_revenue"), F.sum("attributed_conversions")).first()
+        assert float(tot[0]) == pytest.approx(revenue)
+        assert float(tot[1]) == pytest.approx(n_journeys)
+
+
+def test_quality_rules(scenario):
+    pipe, _ = scenario
+    assert len(quality.RULES) == 58
+    res = {(r.model, r.rule, r.column_name): r.failures
+           for r in quality.run_checks(pipe.models()).collect()}
+    assert len(res) == 58
+    assert res[("stg_conversions", "relationships", "user_id")] == 1    # 'ghost'
+    assert res[("stg_conversions", "not_null", "user_id")] == 1
+    assert res[("stg_touchpoints", "unique", "platform_id")] == 1       # phone fan-out
+    assert res[("int_user_journeys", "unique", quality.JOURNEY_KEY_EXPR)] == 0
+    assert res[("stg_costs", "accepted_values", "channel")] == 0
+
+
+def test_empty_converted_set_keeps_null_profiles(spark):
+    rows = dict(ROWS, orders=[])
+    pipe = AttributionPipeline(_sources(spark, rows), materialize=False)
+    nc = pipe.non_converting.collect()
+    ids = {r.journey_id for r in nc}
+    assert "_no_conversion" in ids                                # NULL profile, NOT IN over empty set
+    assert all(r.journey_end_date == r.event_timestamp for r in nc)
+    con = _duck(rows)
+    rel = con.sql(model_sql("journeys_non_converting", sources_from_tables("hm_")))
+    df = pipe.non_converting
+    assert Counter(_rows(df.columns, [tuple(r) for r in df.collect()])) == \
+        Counter(_rows(rel.columns, rel.fetchall()))
