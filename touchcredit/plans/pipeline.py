@@ -107,6 +107,20 @@ class AttributionPipeline:
     def summary(self) -> DataFrame:
         return marts.summary(self.converting, self.half_life_days)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model as a temporary view under its model name, so it can be
+        queried with ``spark.sql`` (the reference materialises all models as views)."""
+        names = []
+        for name, df in {**self.models(), "fct_attribution_summary": self.summary}.items():
+            df.createOrReplaceTempView(prefix + name)
+            names.append(prefix + name)
+        return names
+
+    def write_models(self, root: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
+        """Persist every model as a table under ``root/<model name>``."""
+        for name, df in {**self.models(), "fct_attribution_summary": self.summary}.items():
+            df.write.mode(mode).format(fmt).save(f"{root}/{name}")
+
     def models(self) -> dict[str, DataFrame]:
         """Model name -> DataFrame, as addressed by the quality rules."""
         return {
