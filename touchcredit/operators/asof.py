@@ -53,12 +53,10 @@ def asof_forward(left: DataFrame, right: DataFrame, left_by: str, left_ts: str,
     lrows = lsel.select(F.col(left_by).alias(_K), time_chunk(lt, chunk_seconds).alias(_C),
                         lt.alias(_T), F.lit(0).alias(_KIND),
                         F.struct(*[F.col(c) for c in left_cols]).alias(_L))
-    rrows = rsel.select(F.col(right_by).cast(lrows.schema[_K].dataType).alias(_K),
-                        time_chunk(rt, chunk_seconds).alias(_C), rt.alias(_T),
-                        F.lit(1).alias(_KIND), hit.alias(_O))
-    hit_type = rrows.schema[_O].dataType
-    both = (lrows.withColumn(_O, F.lit(None).cast(hit_type))
-            .unionByName(rrows.withColumn(_L, F.lit(None).cast(lrows.schema[_L].dataType))))
+    rrows = rsel.select(F.col(right_by).alias(_K), time_chunk(rt, chunk_seconds).alias(_C),
+                        rt.alias(_T), F.lit(1).alias(_KIND), hit.alias(_O))
+    # each side lacks the other's struct column: unionByName fills it with typed NULLs
+    both = lrows.unionByName(rrows, allowMissingColumns=True)
 
     # 1. in-chunk: running min of right structs, scanning time backwards; at equal
     #    times right rows come first, so a right row at exactly t counts.
@@ -69,11 +67,10 @@ def asof_forward(left: DataFrame, right: DataFrame, left_by: str, left_ts: str,
 
     # 2. carry: first right row of any strictly later chunk of the same key.
     right_chunks = rrows.groupBy(_K, _C).agg(F.min(_O).alias("__first")).withColumn(_KIND, F.lit(1))
-    left_chunks = (lrows.select(_K, _C).distinct()
-                   .withColumn("__first", F.lit(None).cast(hit_type)).withColumn(_KIND, F.lit(0)))
+    left_chunks = lrows.select(_K, _C).distinct().withColumn(_KIND, F.lit(0))
     later = (Window.partitionBy(_K).orderBy(F.col(_C).desc(), F.col(_KIND).asc())
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (left_chunks.unionByName(right_chunks)
+    carry = (left_chunks.unionByName(right_chunks, allowMissingColumns=True)
              .withColumn("__next", F.min("__first").over(later))
              .where(F.col(_KIND) == 0).select(_K, _C, "__next"))
 

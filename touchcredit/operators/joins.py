@@ -20,10 +20,10 @@ _K, _KN = "__jk", "__jk_null"
 
 
 def _spread(df: DataFrame, key: Column, salt: Sequence[str]) -> DataFrame:
-    key_type = df.select(key.alias(_K)).schema[_K].dataType
-    salted = F.xxhash64(*[F.col(s) for s in salt]).cast(key_type)
-    return (df.withColumn(_KN, key.isNull())
-              .withColumn(_K, F.when(F.col(_KN), salted).otherwise(key)))
+    """Join key as a string (keys compare by their string form); NULL -> row hash."""
+    salted = F.xxhash64(*[F.col(s) for s in salt]).cast("string")
+    return df.withColumns({_KN: key.isNull(),
+                           _K: F.when(key.isNull(), salted).otherwise(key.cast("string"))})
 
 
 def left_lookup(left: DataFrame, lookup: DataFrame, left_key: Column, lookup_key: str,
@@ -32,7 +32,8 @@ def left_lookup(left: DataFrame, lookup: DataFrame, left_key: Column, lookup_key
     column itself is not returned). ``salt`` names left columns that vary across
     rows, used to spread NULL keys."""
     right = (lookup.where(F.col(lookup_key).isNotNull())
-             .withColumnRenamed(lookup_key, _K).withColumn(_KN, F.lit(False)))
+             .withColumns({_K: F.col(lookup_key).cast("string"), _KN: F.lit(False)})
+             .drop(lookup_key))
     return _spread(left, left_key, salt).join(right, on=[_K, _KN], how="left").drop(_K, _KN)
 
 
@@ -50,7 +51,7 @@ def not_in(df: DataFrame, key: str, subset: DataFrame, subset_key: str,
     sk = F.col(subset_key)
     stats = subset.select(F.struct(F.count(F.lit(1)).alias("n"),
                                    F.count_if(sk.isNull()).alias("n_null")).alias("s")).scalar()
-    keys = (subset.where(sk.isNotNull()).select(sk.alias(_K)).distinct()
+    keys = (subset.where(sk.isNotNull()).select(sk.cast("string").alias(_K)).distinct()
             .withColumn(_KN, F.lit(False)))
     kept = _spread(df, F.col(key), salt).join(keys, on=[_K, _KN], how="left_anti").drop(_K, _KN)
     return kept.where((stats.getField("n") == 0)

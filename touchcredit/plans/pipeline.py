@@ -77,9 +77,11 @@ class AttributionPipeline:
         return self._keep(journeys.converting_journeys(self.enriched_touches, self.conversions,
                                                        self.chunk_seconds), "converting")
 
-    @property
+    @cached_property
     def non_converting(self) -> DataFrame:
-        return journeys.non_converting_journeys(self.enriched_touches, self.converting)
+        # read twice by the position computation (rows and per-chunk summary)
+        return self._keep(journeys.non_converting_journeys(self.enriched_touches, self.converting),
+                          "non_converting")
 
     @property
     def user_journeys(self) -> DataFrame:

@@ -54,3 +54,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="touchcredit-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
+
+
+def scale_conf(input_bytes: int, executors: int, cores_per_executor: int = 4,
+               bytes_per_shuffle_partition: int = 1 << 30,
+               split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of source data.
+
+    The initial shuffle partition count gives about ``bytes_per_shuffle_partition``
+    of input per reducer of the largest shuffle (touches, at most the input
+    size after projection) and at least three waves of tasks; AQE coalesces
+    small partitions to ``split_bytes`` and splits skewed ones at run time.
+    Scan splits are ``split_bytes``, small enough for executor memory.
+    """
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(3 * slots, -(-input_bytes // bytes_per_shuffle_partition))
+    return {
+        **ENGINE_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * split_bytes),
+    }
