@@ -27,12 +27,14 @@ from touchcredit.operators.joins import not_in
 from touchcredit.operators.positions import ordered_positions
 from touchcredit.plans import constants as K
 
+
 def _touch_part() -> list:
+    """Touch columns as they appear in journey rows."""
     return [
-    "platform_id", "resolved_known_customer_id", "resolved_customer_profile_id",
-    F.col("match_method").alias("touchpoint_match_method"), "customer_type",
-    "profile_source_system", "channel", "campaign", "event_timestamp", "raw_source",
-    "raw_identifier",
+        "platform_id", "resolved_known_customer_id", "resolved_customer_profile_id",
+        F.col("match_method").alias("touchpoint_match_method"), "customer_type",
+        "profile_source_system", "channel", "campaign", "event_timestamp", "raw_source",
+        "raw_identifier",
     ]
 
 
@@ -74,7 +76,7 @@ def non_converting_journeys(touches: DataFrame, converting: DataFrame) -> DataFr
                           F.lit(K.NO_CONVERSION_SUFFIX)).alias("journey_id"),
         typed_null("string").alias("shopify_customer_id"),
         F.col("event_timestamp").alias("journey_end_date"),
-        *[c for c in K.JOURNEY_BASE_COLUMNS[3:14]],
+        *K.JOURNEY_BASE_COLUMNS[3:14],
         F.lit(0).alias("converted"), typed_null("decimal(12,2)").alias("order_value"),
         typed_null("boolean").alias("is_repeat_purchase"))
 

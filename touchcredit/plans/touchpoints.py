@@ -28,12 +28,15 @@ from touchcredit.plans import constants as K
 from touchcredit.sources.readers import RawSources
 
 def _resolved() -> list:
+    """Resolved identity columns, in touch-contract order, plus the profile attributes."""
     return [
-    F.col("known_customer_id").alias("resolved_known_customer_id"),
-    F.col("customer_profile_id").alias("resolved_customer_profile_id"),
-    "match_method", "customer_type",
-    F.col("source_system").alias("profile_source_system"),
+        F.col("known_customer_id").alias("resolved_known_customer_id"),
+        F.col("customer_profile_id").alias("resolved_customer_profile_id"),
+        "match_method", "customer_type",
+        F.col("source_system").alias("profile_source_system"),
     ]
+
+
 _LOOKUP_COLS = ["known_customer_id", "customer_profile_id", "match_method", "customer_type",
                 "source_system"]
 
