@@ -17,6 +17,7 @@ compute each plan twice and store rows without pruning.) With
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -50,6 +51,18 @@ class AttributionPipeline:
         df.write.mode("overwrite").parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    def prepare(self, *names: str) -> None:
+        """Materialise independent tables concurrently (one Spark job per thread;
+        the scheduler runs their stages side by side). Their inputs must already
+        exist, so shared upstream tables are built first, on this thread."""
+        todo = [n for n in names if n not in self.__dict__]
+        if not self.materialize or len(todo) < 2:
+            for n in todo:
+                getattr(self, n)
+            return
+        with ThreadPoolExecutor(max_workers=len(todo)) as pool:
+            list(pool.map(lambda n: getattr(self, n), todo))
+
     # -- staging ---------------------------------------------------------
     @cached_property
     def profiles(self) -> DataFrame:
@@ -74,6 +87,8 @@ class AttributionPipeline:
     # -- journeys ----------------------------------------------------------
     @cached_property
     def converting(self) -> DataFrame:
+        self.profiles
+        self.prepare("enriched_touches", "conversions")
         return self._keep(journeys.converting_journeys(self.enriched_touches, self.conversions,
                                                        self.chunk_seconds), "converting")
 
@@ -83,11 +98,15 @@ class AttributionPipeline:
         return self._keep(journeys.non_converting_journeys(self.enriched_touches, self.converting),
                           "non_converting")
 
-    @property
-    def user_journeys(self) -> DataFrame:
+    def journey_rows_with_positions(self) -> DataFrame:
         rows = self.converting.unionByName(self.non_converting)
         return journeys.with_positions(rows, self.chunk_seconds)
 
+    @cached_property
+    def user_journeys(self) -> DataFrame:
+        # read by several quality rules and views: written once when materialising
+        return self._keep(self.journey_rows_with_positions(), "user_journeys")
+
     # -- marts (computed from converting rows only) -------------------------
     @property
     def first_touch(self) -> DataFrame:
@@ -125,6 +144,8 @@ class AttributionPipeline:
 
     def models(self) -> dict[str, DataFrame]:
         """Model name -> DataFrame, as addressed by the quality rules."""
+        self.profiles
+        self.prepare("enriched_touches", "conversions")
         return {
             "stg_customers_unification": self.profiles,
             "stg_touchpoints": self.touchpoints,
