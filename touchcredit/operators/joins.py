@@ -31,10 +31,21 @@ def left_lookup(left: DataFrame, lookup: DataFrame, left_key: Column, lookup_key
     """``left LEFT JOIN lookup ON left_key = lookup.lookup_key`` (the lookup key
     column itself is not returned). ``salt`` names left columns that vary across
     rows, used to spread NULL keys."""
-    right = (lookup.where(F.col(lookup_key).isNotNull())
-             .withColumns({_K: F.col(lookup_key).cast("string"), _KN: F.lit(False)})
-             .drop(lookup_key))
-    return _spread(left, left_key, salt).join(right, on=[_K, _KN], how="left").drop(_K, _KN)
+    return left_lookups(left, [(lookup, lookup_key)], left_key, salt)
+
+
+def left_lookups(left: DataFrame, lookups: Sequence[tuple[DataFrame, str]], left_key: Column,
+                 salt: Sequence[str]) -> DataFrame:
+    """Several left lookups on the same left key. The key is computed once, so
+    after the first shuffle join the left rows stay partitioned on it and the
+    following joins move only their lookup side."""
+    out = _spread(left, left_key, salt)
+    for lookup, lookup_key in lookups:
+        right = (lookup.where(F.col(lookup_key).isNotNull())
+                 .withColumns({_K: F.col(lookup_key).cast("string"), _KN: F.lit(False)})
+                 .drop(lookup_key))
+        out = out.join(right, on=[_K, _KN], how="left")
+    return out.drop(_K, _KN)
 
 
 def not_in(df: DataFrame, key: str, subset: DataFrame, subset_key: str,

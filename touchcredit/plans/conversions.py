@@ -1,11 +1,15 @@
 """M3 -- orders as conversions, with the linked profile and a repeat flag.
 
 ``is_repeat_purchase`` is false for a customer's first order by
-``(created_at, order_id)`` (NULL times last) and true otherwise. It is computed
-as a first-order-per-customer aggregate joined back, rather than a window over
-each customer's full order history, so a customer with a huge history does not
-become one task. (Where the customer table holds duplicate ids, the order is
-repeated by the left join and both copies carry the flag of the order.)
+``(created_at, order_id)`` (NULL times last) and true otherwise; orders without
+a customer id form one group of their own. It is a first-order-per-customer
+aggregate joined back, not a window over each customer's full history, so a
+customer with a huge history does not become one task. The first-order table,
+the profile lookup and the customer lookup all join on the same customer key,
+so the orders are shuffled once for all three; the first order of the
+NULL-customer group is one scalar subquery. (Where the customer table holds
+duplicate ids, the order is repeated by the left join and both copies carry
+the flag of the order.)
 """
 
 from __future__ import annotations
@@ -13,18 +17,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchcredit.operators.joins import left_lookup
+from touchcredit.functions.normalize import asc_nulls_last
+from touchcredit.operators.joins import left_lookups
 from touchcredit.operators.topk import top1
 from touchcredit.plans import constants as K
 from touchcredit.sources.readers import RawSources
 
 
+def _keyed_orders(orders: DataFrame) -> DataFrame:
+    return orders.select("customer_id", "created_at",
+                         F.col("order_id").cast("string").alias("__oid"))
+
+
 def first_orders(orders: DataFrame) -> DataFrame:
-    """``(customer key, customer-is-null, first order id)`` per customer, NULL customer included."""
-    keyed = orders.select(F.coalesce(F.col("customer_id"), F.lit("")).alias("__ck"),
-                          F.col("customer_id").isNull().alias("__ckn"),
-                          F.col("created_at"), F.col("order_id").cast("string").alias("__first"))
-    return top1(keyed, ["__ck", "__ckn"], [F.col("created_at"), F.col("__first")], ["__first"])
+    """``(customer_id, first order id)`` for every non-NULL customer."""
+    keyed = _keyed_orders(orders).where(F.col("customer_id").isNotNull())
+    return top1(keyed, ["customer_id"], [F.col("created_at"), F.col("__oid")], ["__oid"]) \
+        .withColumnRenamed("__oid", "__first")
+
+
+def first_order_without_customer(orders: DataFrame):
+    """Scalar subquery: first order id among orders with a NULL customer id."""
+    keyed = _keyed_orders(orders).where(F.col("customer_id").isNull())
+    first = F.min(F.struct(*asc_nulls_last(F.col("created_at"), F.col("__oid")),
+                           F.col("__oid").alias("oid")))
+    return keyed.select(first.getField("oid")).scalar()
 
 
 def build_conversions(src: RawSources, profiles: DataFrame) -> DataFrame:
@@ -34,19 +51,18 @@ def build_conversions(src: RawSources, profiles: DataFrame) -> DataFrame:
         F.col("customer_id").cast("string").alias("user_id"),
         F.col("created_at").alias("conversion_timestamp"),
         F.col("total_price").cast("decimal(12,2)").alias("revenue"),
-        F.coalesce(F.col("customer_id"), F.lit("")).alias("__ck"),
-        F.col("customer_id").isNull().alias("__ckn"),
         F.col("customer_id").alias("__cust"))
-    flagged = base.join(first_orders(orders), ["__ck", "__ckn"], "left").withColumn(
-        "is_repeat_purchase", ~F.col("order_id").eqNullSafe(F.col("__first")))
-
     known = profiles.where(F.col("known_customer_id").isNotNull()).select(
         "known_customer_id", "customer_profile_id", "match_method")
-    with_profile = left_lookup(flagged, known, F.col("__cust"), "known_customer_id", ["order_id"])
     contacts = src.customers.select("customer_id", F.col("email").alias("customer_email"),
                                     F.col("phone_number").alias("customer_phone"))
-    with_contact = left_lookup(with_profile, contacts, F.col("__cust"), "customer_id", ["order_id"])
-    return with_contact.select(
+    joined = left_lookups(base, [(first_orders(orders), "customer_id"),
+                                 (known, "known_customer_id"),
+                                 (contacts, "customer_id")], F.col("__cust"), ["order_id"])
+    first = F.when(F.col("__cust").isNull(), first_order_without_customer(orders)) \
+        .otherwise(F.col("__first"))
+    return joined.select(
         "order_id", "user_id", "conversion_timestamp", "revenue", "customer_email",
         "customer_phone", "customer_profile_id", "match_method",
-        F.lit(K.SYS_ORDERS).alias("raw_source"), "is_repeat_purchase")
+        F.lit(K.SYS_ORDERS).alias("raw_source"),
+        (~F.col("order_id").eqNullSafe(first)).alias("is_repeat_purchase"))
