@@ -20,6 +20,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from touchcredit.operators.asof import DAY_SECONDS
@@ -60,8 +61,11 @@ class AttributionPipeline:
             for n in todo:
                 getattr(self, n)
             return
+        # threads inherit the caller's job group / scheduler pool, so cancellation still works
+        spark = self.sources.customers.sparkSession
+        build = inheritable_thread_target(spark)(lambda n: getattr(self, n))
         with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-            list(pool.map(lambda n: getattr(self, n), todo))
+            list(pool.map(build, todo))
 
     # -- staging ---------------------------------------------------------
     @cached_property
