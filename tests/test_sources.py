@@ -28,3 +28,16 @@ def test_cli_run_and_test(spark):
     assert spark.read.parquet(f"{out}/fct_attribution_linear").count() == 6
     assert spark.read.parquet(f"{out}/stg_costs").count() == 60
     assert main(["test", "--fixtures", SF_SMALL]) == 0
+
+
+def test_drop_tables_removes_only_own_run_folder(spark):
+    import os
+    from touchcredit import AttributionPipeline
+    p = AttributionPipeline(load_fixture_sources(spark, SF_SMALL), materialize=True)
+    assert p.profiles.count() > 0
+    folder = p.table_dir(spark).replace("file:", "")
+    assert os.path.isdir(folder)
+    parent_before = set(os.listdir(os.path.dirname(folder)))
+    p.drop_tables()
+    assert not os.path.exists(folder)
+    assert parent_before - set(os.listdir(os.path.dirname(folder))) == {os.path.basename(folder)}

@@ -52,11 +52,14 @@ def main(argv: list[str] | None = None) -> int:
             if not args.select or name in args.select:
                 df.write.mode("overwrite").parquet(f"{args.out}/{name}")
                 print(f"built {name}")
+        pipe.drop_tables()
         return 0
     results = quality.run_checks(pipe.models())
     failed = results.where("failures > 0")
     failed.show(100, truncate=False)
-    return 1 if failed.limit(1).count() else 0
+    code = 1 if failed.limit(1).count() else 0
+    pipe.drop_tables()
+    return code
 
 
 if __name__ == "__main__":

@@ -45,11 +45,23 @@ class AttributionPipeline:
         from touchcredit.session import ensure_checkpoint_dir
         return f"{ensure_checkpoint_dir(spark)}/touchcredit-{self._run_id}"
 
+    def drop_tables(self) -> None:
+        """Delete the tables this pipeline wrote (its own run folder only). The
+        DataFrames returned so far must not be used afterwards."""
+        if not self.materialize or not self.__dict__.get("_written"):
+            return
+        spark = self.sources.customers.sparkSession
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.table_dir(spark))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        self._written = False
+
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         if not self.materialize:
             return df
         path = f"{self.table_dir(df.sparkSession)}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self._written = True
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def prepare(self, *names: str) -> None:
