@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _K, _KN = "__jk", "__jk_null"
+JOIN_KEY_COLUMNS = (_K, _KN)
 
 
 def _spread(df: DataFrame, key: Column, salt: Sequence[str]) -> DataFrame:
@@ -49,7 +50,7 @@ def left_lookups(left: DataFrame, lookups: Sequence[tuple[DataFrame, str]], left
 
 
 def not_in(df: DataFrame, key: str, subset: DataFrame, subset_key: str,
-           salt: Sequence[str]) -> DataFrame:
+           salt: Sequence[str], keep_join_key: bool = False) -> DataFrame:
     """Rows of ``df`` where ``key NOT IN (SELECT subset_key FROM subset)`` holds
     under SQL three-valued logic: an empty subset keeps every row (NULL keys
     too); a subset containing NULL keeps none; otherwise rows with a non-NULL
@@ -58,12 +59,16 @@ def not_in(df: DataFrame, key: str, subset: DataFrame, subset_key: str,
     The anti join runs on the distinct non-NULL subset keys; the two subset
     facts (empty? holds NULL?) are one scalar subquery, evaluated once and
     inlined as a literal -- no cross join, no driver round trip of data.
+    With ``keep_join_key`` the output keeps ``JOIN_KEY_COLUMNS`` (the rows are
+    hash-partitioned on them, which a following aggregate can reuse).
     """
     sk = F.col(subset_key)
     stats = subset.select(F.struct(F.count(F.lit(1)).alias("n"),
                                    F.count_if(sk.isNull()).alias("n_null")).alias("s")).scalar()
     keys = (subset.where(sk.isNotNull()).select(sk.cast("string").alias(_K)).distinct()
             .withColumn(_KN, F.lit(False)))
-    kept = _spread(df, F.col(key), salt).join(keys, on=[_K, _KN], how="left_anti").drop(_K, _KN)
+    kept = _spread(df, F.col(key), salt).join(keys, on=[_K, _KN], how="left_anti")
+    if not keep_join_key:
+        kept = kept.drop(_K, _KN)
     return kept.where((stats.getField("n") == 0)
                       | (F.col(key).isNotNull() & (stats.getField("n_null") == 0)))

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from touchcredit.functions.normalize import concat_skip_nulls, day_diff, second_diff, typed_null
 from touchcredit.operators.asof import DAY_SECONDS, asof_forward
-from touchcredit.operators.joins import not_in
+from touchcredit.operators.joins import JOIN_KEY_COLUMNS, not_in
 from touchcredit.operators.positions import ordered_positions
 from touchcredit.plans import constants as K
 
@@ -91,8 +91,11 @@ def converted_profiles(converting: DataFrame) -> DataFrame:
 
 def non_converting_journeys(touches: DataFrame, converting: DataFrame) -> DataFrame:
     rest = not_in(touches, "resolved_customer_profile_id", converting,
-                  "resolved_customer_profile_id", salt=["platform_id"])
-    rest = rest.select(*_touch_part()).dropDuplicates()
+                  "resolved_customer_profile_id", salt=["platform_id"], keep_join_key=True)
+    # The join key is a function of (profile, platform id), both part of the row, so
+    # grouping by it too changes no group -- but lets the dedupe reuse the anti
+    # join's partitioning instead of shuffling every row again.
+    rest = rest.select(*_touch_part(), *JOIN_KEY_COLUMNS).dropDuplicates().drop(*JOIN_KEY_COLUMNS)
     return rest.select(
         concat_skip_nulls(F.col("resolved_customer_profile_id"),
                           F.lit(K.NO_CONVERSION_SUFFIX)).alias("journey_id"),
