@@ -18,4 +18,8 @@ def spark():
     s = get_session("local[4]", 4, app_name="touchcredit-tests",
                     extra={"spark.sql.session.timeZone": "UTC"})
     yield s
+    import __spark_entry__ as E
+    for p in E._PIPELINES.values():      # intermediate tables written by registered queries
+        p.drop_tables()
+    E._PIPELINES.clear()
     s.stop()

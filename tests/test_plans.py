@@ -35,6 +35,8 @@ def test_event_filters_are_pushed_to_the_scan(spark):
 
 
 def test_marts_shuffle_only_needed_touch_columns(spark):
+    for p in E._PIPELINES.values():
+        p.drop_tables()
     E._PIPELINES.clear()
     plan = _plan(QUERIES["attribution_time_decay"](spark, SF_SMALL))
     scans = [line.split("FileScan parquet [")[1].split("]")[0] for line in plan.splitlines()

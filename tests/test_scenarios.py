@@ -121,7 +121,9 @@ MODELS = [
 
 @pytest.fixture(scope="module")
 def scenario(spark):
-    return AttributionPipeline(_sources(spark, ROWS), materialize=True), _duck(ROWS)
+    pipe = AttributionPipeline(_sources(spark, ROWS), materialize=True)
+    yield pipe, _duck(ROWS)
+    pipe.drop_tables()
 
 
 @pytest.mark.parametrize("attr,cte", MODELS)
