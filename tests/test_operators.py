@@ -122,3 +122,12 @@ def test_left_lookup_keeps_unmatched_and_fans_out(spark):
     got = sorted(((r.id, r.v) for r in left_lookup(left, lookup, F.col("k"), "k", ["id"]).collect()),
                  key=lambda t: (t[0], t[1] or ""))
     assert got == [(1, "p1"), (1, "p2"), (2, None), (3, None)]
+
+
+def test_accepted_values_counts_distinct_offenders_per_column(spark):
+    from touchcredit.plans.quality import accepted_values_many
+    df = spark.createDataFrame([("a", 0), ("x", 1), ("x", 2), ("y", None), (None, 3)],
+                               "ch string, n int")
+    got = {r.column_name: r.failures for r in
+           accepted_values_many(df, "m", [("ch", ("a", "b")), ("n", (0, 1))]).collect()}
+    assert got == {"ch": 2, "n": 2}

@@ -8,7 +8,8 @@ usual column-test conventions:
 * ``not_null``        rows whose value is NULL -- all columns of a model are
                       counted in a single aggregation pass;
 * ``unique``          distinct non-NULL values occurring more than once;
-* ``accepted_values`` distinct non-NULL values outside the list;
+* ``accepted_values`` distinct non-NULL values outside the list -- all such
+                      rules of a model share one scan;
 * ``relationships``   child rows whose non-NULL key has no parent row
                       (anti join).
 
@@ -106,9 +107,27 @@ def unique_failures(df: DataFrame, model: str, column: str) -> DataFrame:
 
 
 def accepted_values_failures(df: DataFrame, model: str, column: str, values: tuple) -> DataFrame:
-    e = rule_expr(column)
-    bad = df.where(e.isNotNull() & ~e.isin(list(values))).select(e.alias("__v")).distinct()
-    return _result(bad.agg(F.count(F.lit(1)).alias("failures")), model, ACCEPTED, column)
+    return accepted_values_many(df, model, [(column, values)])
+
+
+def accepted_values_many(df: DataFrame, model: str, checks: list[tuple[str, tuple]]) -> DataFrame:
+    """Every ``(column, allowed values)`` check of one model in a single scan:
+    each row yields one ``(column, offending value)`` per check, NULL unless
+    the value is outside its list; the few offending values are then counted
+    distinct per column."""
+    cols = [c for c, _ in checks]
+    offending = [F.struct(F.lit(i).alias("i"),
+                          F.when(rule_expr(c).isNotNull() & ~rule_expr(c).isin(list(vals)),
+                                 rule_expr(c).cast("string")).alias("v"))
+                 for i, (c, vals) in enumerate(checks)]
+    bad = (df.select(F.explode(F.array(*offending)).alias("x")).select("x.i", "x.v")
+           .where(F.col("v").isNotNull()).distinct())
+    counts = bad.agg(*[F.count_if(F.col("i") == i).alias(f"c{i}") for i in range(len(cols))])
+    stacked = counts.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("failures"))
+        for i, c in enumerate(cols)])).alias("r")).select("r.*")
+    return stacked.select(F.lit(model).alias("model"), F.lit(ACCEPTED).alias("rule"),
+                          "column_name", F.col("failures").cast("bigint").alias("failures"))
 
 
 def relationships_failures(child: DataFrame, parent: DataFrame, model: str, column: str,
@@ -123,16 +142,19 @@ def run_checks(models: Mapping[str, DataFrame], rules: Iterable[Rule] = RULES) -
     rules = list(rules)
     parts: list[DataFrame] = []
     not_null_by_model: dict[str, list[str]] = {}
+    accepted_by_model: dict[str, list[tuple[str, tuple]]] = {}
     for r in rules:
         if r.rule == NOT_NULL:
             not_null_by_model.setdefault(r.model, []).append(r.column)
+        elif r.rule == ACCEPTED:
+            accepted_by_model.setdefault(r.model, []).append((r.column, r.values))
     for model, cols in not_null_by_model.items():
         parts.append(not_null_failures(models[model], model, cols))
+    for model, checks in accepted_by_model.items():
+        parts.append(accepted_values_many(models[model], model, checks))
     for r in rules:
         if r.rule == UNIQUE:
             parts.append(unique_failures(models[r.model], r.model, r.column))
-        elif r.rule == ACCEPTED:
-            parts.append(accepted_values_failures(models[r.model], r.model, r.column, r.values))
         elif r.rule == RELATIONSHIPS:
             parts.append(relationships_failures(models[r.model], models[r.to_model], r.model,
                                                 r.column, r.to_field))
