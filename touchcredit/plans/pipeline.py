@@ -10,8 +10,9 @@ session's checkpoint directory (the shared ``spark.checkpoint.dir`` on a
 cluster) and read back: later stages scan them with column pruning and filter
 pushdown instead of recomputing, lineage is cut, and a lost executor costs a
 re-read of shared files rather than a recompute. (An eager RDD checkpoint would
-compute each plan twice and store rows without pruning.) With
-``materialize=False`` every property is a lazy plan.
+compute each plan twice and store rows without pruning.) This is the default;
+with ``materialize=False`` every property is a lazy plan, which recomputes the
+shared subtrees wherever they fan out.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from touchcredit.sources.readers import RawSources
 
 
 class AttributionPipeline:
-    def __init__(self, sources: RawSources, materialize: bool = False,
+    def __init__(self, sources: RawSources, materialize: bool = True,
                  chunk_seconds: int = DAY_SECONDS, half_life_days: float = DEFAULT_HALF_LIFE_DAYS):
         self.sources = sources
         self.materialize = materialize
