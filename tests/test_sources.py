@@ -41,3 +41,19 @@ def test_drop_tables_removes_only_own_run_folder(spark):
     p.drop_tables()
     assert not os.path.exists(folder)
     assert parent_before - set(os.listdir(os.path.dirname(folder))) == {os.path.basename(folder)}
+
+
+def test_models_as_views_and_tables(spark):
+    from touchcredit import AttributionPipeline
+    p = AttributionPipeline(load_fixture_sources(spark, SF_SMALL))
+    names = p.register_views(prefix="tc_")
+    assert "tc_int_user_journeys" in names and "tc_fct_attribution_summary" in names
+    by_sql = spark.sql("SELECT count(DISTINCT journey_id) AS n FROM tc_int_user_journeys "
+                       "WHERE converted = 1").first().n
+    assert by_sql == spark.sql("SELECT attributed_conversions FROM tc_fct_attribution_first_touch") \
+        .agg({"attributed_conversions": "sum"}).first()[0]
+    out = tempfile.mkdtemp(prefix="tc-models-", dir="/tmp")
+    p.write_models(out)
+    assert spark.read.parquet(f"{out}/stg_costs").count() == 60
+    assert spark.read.parquet(f"{out}/int_user_journeys").count() == p.user_journeys.count()
+    p.drop_tables()
