@@ -58,14 +58,20 @@ def known_identities(customers: DataFrame) -> DataFrame:
     return _with_profile_key(rows)
 
 
+def known_customer_ids(customers: DataFrame) -> DataFrame:
+    """Distinct non-NULL customer ids, flagged; shared by the web and pixel branches."""
+    return (customers.where(F.col("customer_id").isNotNull())
+            .select(F.col("customer_id").alias("__vid")).distinct()
+            .withColumn("__hit", F.lit(True)))
+
+
 def _visitor_identities(customers: DataFrame, events: DataFrame, id_col: str, ts_col: str,
-                        system: str) -> DataFrame:
+                        system: str, known: DataFrame | None = None) -> DataFrame:
     """Visitors keyed by a platform id that is compared to ``customer_id`` verbatim."""
     first_seen = events.groupBy(F.col(id_col).alias("__vid")).agg(
         F.min(ts_col).alias("source_timestamp"))
-    known = (customers.where(F.col("customer_id").isNotNull())
-             .select(F.col("customer_id").alias("__vid")).distinct()
-             .withColumn("__hit", F.lit(True)))
+    if known is None:
+        known = known_customer_ids(customers)
     hit = F.col("__hit").isNotNull()
     rows = first_seen.join(known, "__vid", "left").select(
         F.col("__vid").alias("customer_id"),
@@ -79,13 +85,16 @@ def _visitor_identities(customers: DataFrame, events: DataFrame, id_col: str, ts
     return _with_profile_key(rows)
 
 
-def ga4_identities(customers: DataFrame, ga4_events: DataFrame) -> DataFrame:
-    return _visitor_identities(customers, ga4_events, "ga_user_id", "event_timestamp", K.SYS_GA4)
+def ga4_identities(customers: DataFrame, ga4_events: DataFrame,
+                   known: DataFrame | None = None) -> DataFrame:
+    return _visitor_identities(customers, ga4_events, "ga_user_id", "event_timestamp", K.SYS_GA4,
+                               known)
 
 
-def meta_pixel_identities(customers: DataFrame, pixel_events: DataFrame) -> DataFrame:
+def meta_pixel_identities(customers: DataFrame, pixel_events: DataFrame,
+                          known: DataFrame | None = None) -> DataFrame:
     return _visitor_identities(customers, pixel_events, "fb_external_id", "event_time",
-                               K.SYS_META_PIXEL)
+                               K.SYS_META_PIXEL, known)
 
 
 def _contact_identities(customers: DataFrame, feed: DataFrame, feed_key: Column, ts_col: str,
@@ -119,10 +128,11 @@ def helpdesk_identities(customers: DataFrame, emails: DataFrame) -> DataFrame:
 
 
 def identity_candidates(src: RawSources) -> DataFrame:
+    known = known_customer_ids(src.customers)   # one plan, so its shuffle is reused
     parts = [
         known_identities(src.customers),
-        ga4_identities(src.customers, src.ga4_events),
-        meta_pixel_identities(src.customers, src.meta_pixel_events),
+        ga4_identities(src.customers, src.ga4_events, known),
+        meta_pixel_identities(src.customers, src.meta_pixel_events, known),
         call_identities(src.customers, src.calls),
         helpdesk_identities(src.customers, src.helpdesk_emails),
     ]
