@@ -57,3 +57,12 @@ def test_models_as_views_and_tables(spark):
     assert spark.read.parquet(f"{out}/stg_costs").count() == 60
     assert spark.read.parquet(f"{out}/int_user_journeys").count() == p.user_journeys.count()
     p.drop_tables()
+
+
+def test_scale_conf_sizes_partitions():
+    from touchcredit.session import scale_conf
+    big = scale_conf(100 << 40, executors=1000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 102400
+    small = scale_conf(1 << 30, executors=10)
+    assert int(small["spark.sql.shuffle.partitions"]) == 120        # at least 3 waves of 40 slots
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"

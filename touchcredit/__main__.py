@@ -6,6 +6,8 @@
 
 ``--sources`` holds one parquet table per raw source (``customers``,
 ``orders``, ``ga4_events``, ...). ``--select`` limits ``run`` to some models.
+On a cluster, ``--executors N --input-gb G`` sizes shuffle partitions and scan
+splits for the input (``session.scale_conf``).
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ import sys
 
 from touchcredit.plans import quality
 from touchcredit.plans.pipeline import AttributionPipeline
-from touchcredit.session import get_session
+from touchcredit.session import get_session, scale_conf
 from touchcredit.sources.fixtures import load_fixture_sources
 from touchcredit.sources.readers import read_sources
 from touchcredit.sources.schemas import SOURCE_SCHEMAS
@@ -40,9 +42,14 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--select", nargs="*")
     ap.add_argument("--half-life-days", type=float, default=7.0)
     ap.add_argument("--master")
+    ap.add_argument("--executors", type=int)
+    ap.add_argument("--input-gb", type=float)
     args = ap.parse_args(argv)
 
-    spark = get_session(args.master)
+    extra = None
+    if args.executors and args.input_gb:
+        extra = scale_conf(int(args.input_gb * (1 << 30)), args.executors)
+    spark = get_session(args.master, extra=extra)
     pipe = _pipeline(spark, args)
     if args.command == "run":
         if not args.out:
