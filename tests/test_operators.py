@@ -131,3 +131,45 @@ def test_accepted_values_counts_distinct_offenders_per_column(spark):
     got = {r.column_name: r.failures for r in
            accepted_values_many(df, "m", [("ch", ("a", "b")), ("n", (0, 1))]).collect()}
     assert got == {"ch": 2, "n": 2}
+
+
+def _interval_join(left, right):
+    """Brute force: interval (previous right row, this right row] per key."""
+    by_key: dict = {}
+    for oid, k, ts in right:
+        if k is not None and ts is not None:
+            by_key.setdefault(k, []).append((ts, oid))
+    out = []
+    for tid, k, t in left:
+        if k is None or t is None:
+            continue
+        prev = None
+        for ts, oid in sorted(by_key.get(k, [])):
+            if t <= ts and (prev is None or t > prev):
+                out.append((tid, oid))
+            prev = ts
+    return sorted(out)
+
+
+try:
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+except ImportError:  # pragma: no cover
+    given = None
+
+if given is not None:
+    _instant = st.one_of(st.none(), st.sampled_from(
+        [BASE + dt.timedelta(seconds=s) for s in (0, 1, 59, 60, 3599, 3600, 86399, 86400, 90000)]))
+    _k = st.one_of(st.none(), st.sampled_from(["a", "b"]))
+
+    @settings(max_examples=25, deadline=None)
+    @given(left=st.lists(st.tuples(_k, _instant), max_size=12),
+           right=st.lists(st.tuples(_k, _instant), max_size=6),
+           chunk=st.sampled_from([1, 60, 3600, 86400]))
+    def test_asof_property(spark, left, right, chunk):
+        lrows = [(i, k, t) for i, (k, t) in enumerate(left)]
+        rrows = [(f"o{j}", k, t) for j, (k, t) in enumerate(right)]
+        ldf = spark.createDataFrame(lrows, "tid long, user string, t timestamp_ntz")
+        rdf = spark.createDataFrame(rrows, "oid string, ruser string, rts timestamp_ntz")
+        got = asof_forward(ldf, rdf, "user", "t", "ruser", "rts", "oid", ["oid"], chunk_seconds=chunk)
+        assert sorted((r.tid, r.oid) for r in got.collect()) == _interval_join(lrows, rrows)
