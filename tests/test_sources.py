@@ -66,3 +66,17 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(1 << 30, executors=10)
     assert int(small["spark.sql.shuffle.partitions"]) == 120        # at least 3 waves of 40 slots
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_cli_reads_sources_from_storage(spark):
+    root = tempfile.mkdtemp(prefix="tc-raw-", dir="/tmp")
+    write_sources(load_fixture_sources(spark, SF_SMALL), root)
+    out = tempfile.mkdtemp(prefix="tc-out-", dir="/tmp")
+    assert main(["run", "--sources", root, "--out", out, "--select", "fct_attribution_time_decay"]) == 0
+    from_storage = {r.channel: r.attributed_revenue
+                    for r in spark.read.parquet(f"{out}/fct_attribution_time_decay").collect()}
+    import __spark_entry__ as E
+    direct = {r.channel: r.attributed_revenue for r in E.entry(spark).collect()}
+    assert from_storage.keys() == direct.keys()
+    for ch in direct:
+        assert abs(from_storage[ch] - direct[ch]) < 1e-9
