@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchcredit.llm import bpe, language, mixing
+from touchcredit.llm import bpe, embed_dedup, language, mixing, topk
 from touchcredit.llm.common import fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -18,6 +18,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -34,7 +42,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_exact_top_k": op2_exact_top_k,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_language_id": op10_language_id,
 }
 
@@ -69,4 +79,18 @@ SELECT doc_id, size, source_size, target, placed.source AS source,
 FROM placed JOIN quota ON placed.source IS NOT DISTINCT FROM quota.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL}
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT query_id, vec_id, score,
+         (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM scored)
+WHERE rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op2_exact_top_k": OP2_SQL}
