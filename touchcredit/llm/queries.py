@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchcredit.llm import bpe, embed_dedup, language, mixing, topk
+from touchcredit.llm import bpe, embed_dedup, language, mixing, ngram_join, topk
 from touchcredit.llm.common import fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -22,6 +22,10 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_top_k": op2_exact_top_k,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_language_id": op10_language_id,
 }
