@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchcredit.llm import bpe, embed_dedup, language, mixing, ngram_join, topk
-from touchcredit.llm.common import fold, table
+from touchcredit.llm import bpe, embed_dedup, extract, language, mixing, ngram_join, quality, topk, warc
+from touchcredit.llm.common import Workspace, fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -30,6 +30,23 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, ws = table(spark, sf_dir, "documents"), Workspace(spark, "quality")
+    feats = ws.keep(docs.select("doc_id", fold("doc_id", 5).cast("int").alias("fold"), quality.features(F.col("text")).alias("features")),
+                    "features")
+    model = quality.fit(quality.labelled(feats, table(spark, sf_dir, "labels"), "quality"))
+    scored = feats.select("doc_id", (F.col("fold") == 0).alias("held_out"), quality.score(F.col("features"), model).alias("score"))
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.3, 1).otherwise(0))
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"), min_bytes=100)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
     import public_tokenizers
 
@@ -47,6 +64,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_top_k": op2_exact_top_k,
+    "op4_quality": op4_quality,
+    "op5_html_extraction": op5_html_extraction,
+    "op6_warc": op6_warc,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_embedding_dedup": op9_embedding_dedup,
