@@ -4,7 +4,7 @@ A page is cut at block-level tags into flat text blocks. A block is described by
 its word count and link density, those of the blocks before and after it, and
 two hints of its place: whether it lies in an article container, and whether a
 container or its class, id or role names boilerplate. A decision tree (Gini
-splits) grown on the small labelled table below tells main text from the rest.
+splits) grown on a small labelled table tells main text from the rest.
 
 Defined cases: null or empty html gives empty text; unclosed and stray tags,
 comments and cut-off pages are read as far as they go; character references are
@@ -50,34 +50,6 @@ FURNITURE_NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "ad
 HEADER_NAMES = {"header", "topbar", "branding"}
 ARTICLE_NAMES = {"article", "post", "entry", "story", "hentry", "maintext"}
 
-#: Labelled blocks: words, link density, words before, link density before, words after, link density
-#: after, in an article container, named as boilerplate; label 1 is main text.
-LABELLED = [
-    # long and middling paragraphs, with and without an article container
-    (60, 0.0, 45, 0.0, 50, 0.0, 1, 0, 1), (25, 0.0, 8, 0.0, 40, 0.0, 1, 0, 1), (14, 0.0, 60, 0.0, 22, 0.0, 1, 0, 1),
-    (80, 0.05, 30, 0.0, 25, 0.1, 1, 0, 1), (33, 0.3, 20, 0.0, 41, 0.0, 1, 0, 1), (55, 0.0, 30, 0.0, 35, 0.0, 0, 0, 1),
-    (38, 0.0, 0, 0.0, 60, 0.0, 0, 0, 1), (120, 0.1, 12, 0.0, 90, 0.05, 0, 0, 1), (20, 0.0, 44, 0.0, 70, 0.0, 0, 0, 1),
-    (45, 0.2, 50, 0.0, 8, 0.0, 0, 0, 1),
-    # headings, short lines and list items of an article
-    (3, 0.0, 6, 1.0, 40, 0.0, 1, 0, 1), (1, 0.0, 30, 0.0, 45, 0.0, 1, 0, 1), (2, 0.0, 0, 0.0, 2, 0.0, 1, 0, 1),
-    (7, 0.0, 5, 0.0, 6, 0.0, 1, 0, 1), (4, 0.0, 6, 1.0, 9, 0.0, 1, 0, 1), (1, 0.0, 1, 1.0, 1, 0.0, 1, 0, 1),
-    (9, 0.0, 20, 0.0, 0, 0.0, 1, 0, 1), (5, 0.6, 30, 0.0, 25, 0.0, 1, 0, 1), (3, 1.0, 40, 0.0, 35, 0.0, 1, 0, 1),
-    (6, 0.0, 35, 0.0, 50, 0.0, 0, 0, 1), (4, 0.0, 30, 0.0, 28, 0.0, 0, 0, 1), (9, 0.0, 55, 0.0, 40, 0.0, 0, 0, 1),
-    # link lists inside an article: related items
-    (2, 1.0, 2, 1.0, 3, 1.0, 1, 0, 0), (4, 1.0, 3, 1.0, 2, 1.0, 1, 0, 0), (6, 1.0, 5, 1.0, 4, 1.0, 1, 0, 0),
-    # menus, breadcrumbs and link lists elsewhere
-    (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0), (2, 1.0, 3, 1.0, 2, 1.0, 0, 0, 0), (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0),
-    (3, 1.0, 2, 1.0, 40, 0.0, 0, 0, 0), (8, 0.9, 6, 1.0, 7, 1.0, 0, 0, 0), (15, 0.8, 9, 0.7, 12, 0.9, 0, 0, 0),
-    (2, 1.0, 40, 0.0, 3, 1.0, 0, 0, 0), (12, 0.7, 3, 1.0, 2, 1.0, 0, 0, 0),
-    # short lines among short lines: bylines, dates, copyright
-    (3, 0.0, 2, 1.0, 4, 0.0, 0, 0, 0), (5, 0.0, 3, 0.0, 2, 1.0, 0, 0, 0), (4, 0.0, 0, 0.0, 3, 1.0, 0, 0, 0),
-    (6, 0.2, 4, 0.5, 0, 0.0, 0, 0, 0), (7, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0),
-    # named boilerplate of any shape, also inside an article
-    (40, 0.0, 30, 0.0, 50, 0.0, 0, 1, 0), (70, 0.0, 1, 1.0, 60, 0.0, 0, 1, 0), (12, 0.0, 4, 1.0, 3, 0.0, 0, 1, 0),
-    (5, 0.0, 1, 1.0, 8, 0.0, 0, 1, 0), (9, 0.0, 30, 0.0, 0, 0.0, 0, 1, 0), (1, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0),
-    (30, 0.0, 45, 0.0, 40, 0.0, 1, 1, 0), (4, 0.0, 60, 0.0, 30, 0.0, 1, 1, 0), (90, 0.1, 20, 0.0, 25, 0.0, 1, 1, 0),
-    (2, 1.0, 30, 0.0, 2, 1.0, 1, 1, 0), (150, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0), (1, 0.0, 1, 1.0, 1, 0.0, 0, 1, 0),
-]
 # -- end of fixed values ------------------------------------------------------------------------------
 
 _MARKUP = re.compile(
@@ -201,10 +173,35 @@ def block_features(found: list[tuple[str, int, int, bool, bool]]) -> np.ndarray:
                      np.array([float(b[3]) for b in found]), np.array([float(b[4]) for b in found])], axis=1)
 
 
+def labelled_blocks() -> list[tuple]:
+    """The labelled table: kinds of blocks, each set between every pair of typical neighbours.
+
+    Rows are words, link density, words before, link density before, words
+    after, link density after, in an article container, named as boilerplate;
+    label 1 is main text.
+    """
+    nothing, word, link, line, paragraph = (0, 0.0), (1, 0.0), (3, 1.0), (5, 0.0), (45, 0.0)
+    rows = []
+    for before in (nothing, word, link, line, paragraph):
+        for after in (nothing, word, link, line, paragraph):
+            near = (*before, *after)
+            beside = paragraph in (before, after)
+            between_links = before == after == link
+            # in an article: headings, short lines, list items and paragraphs are text; a link is text unless among links
+            rows += [(w, d, *near, 1, 0, 1) for w, d in ((1, 0.0), (5, 0.0), (30, 0.1), (90, 0.2))]
+            rows += [(3, 1.0, *near, 1, 0, int(not between_links))]
+            # elsewhere: paragraphs are text, lines only beside a paragraph, links never
+            rows += [(12, 0.1, *near, 0, 0, 1), (90, 0.0, *near, 0, 0, 1), (1, 0.0, *near, 0, 0, int(beside)), (5, 0.0, *near, 0, 0, int(beside))]
+            rows += [(2, 1.0, *near, 0, 0, 0), (15, 0.8, *near, 0, 0, 0)]
+            # named as boilerplate: never, whatever its shape and place
+            rows += [(w, d, *near, article, 1, 0) for w, d in ((1, 0.0), (4, 1.0), (50, 0.0)) for article in (0, 1)]
+    return rows
+
+
 class Tree:
     """A binary decision tree by Gini impurity; thresholds lie halfway between neighbouring values."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, least: int = 1, depth: int = 8):
+    def __init__(self, x: np.ndarray, y: np.ndarray, least: int = 1, depth: int = 12):
         self.label = bool(y.mean() >= 0.5)
         self.feature = -1
         if depth == 0 or len(np.unique(y)) == 1:
@@ -231,8 +228,8 @@ class Tree:
         return out
 
 
-def train(table=LABELLED) -> Tree:
-    t = np.array(table, dtype=np.float64)
+def train() -> Tree:
+    t = np.array(labelled_blocks(), dtype=np.float64)
     return Tree(t[:, :-1], t[:, -1])
 
 
