@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchcredit.llm import bpe, embed_dedup, extract, language, mixing, ngram_join, quality, topk, warc
+from touchcredit.llm import bpe, embed_dedup, extract, language, mixing, ngram_join, quality, suffix_tree, topk, warc
 from touchcredit.llm.common import Workspace, fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,10 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
 
 
+def op3_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, ws = table(spark, sf_dir, "documents"), Workspace(spark, "quality")
     feats = ws.keep(docs.select("doc_id", fold("doc_id", 5).cast("int").alias("fold"), quality.features(F.col("text")).alias("features")),
@@ -64,6 +68,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_top_k": op2_exact_top_k,
+    "op3_suffix_tree": op3_suffix_tree,
     "op4_quality": op4_quality,
     "op5_html_extraction": op5_html_extraction,
     "op6_warc": op6_warc,
