@@ -49,6 +49,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it (in any case)."""
+    used = {c.lower() for c in df.columns}
+    name = f"__{name}"
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def fold(id_col: str, mod: int) -> Column:
     """``crc32(id as text) mod n``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % F.lit(mod)

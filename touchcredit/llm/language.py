@@ -129,8 +129,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bucke
             "prior": np.log(prior / prior.sum()) if langs else prior}
 
 
-def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with ``lang_pred`` and ``score`` (posterior of that language)."""
+def predict(docs: DataFrame, model: dict, text_col: str = "text", into: str = "language") -> DataFrame:
+    """The rows of ``docs`` with a struct ``into``: ``lang_pred`` and its posterior ``score``."""
     sent = docs.sparkSession.sparkContext.broadcast(pickle.dumps(model))
 
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -164,4 +164,4 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
                                              names=["lang_pred", "score"])
 
     udf = arrow_udf(score, "lang_pred string, score double")
-    return docs.withColumn("__lang", udf(F.col(text_col)))
+    return docs.withColumn(into, udf(F.col(text_col)))

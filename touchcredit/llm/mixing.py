@@ -18,7 +18,7 @@ id, text and source are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchcredit.llm.common import WORD_PATTERN, Workspace
@@ -31,11 +31,15 @@ RANGE_ROWS = 20_000
 RANGE_SLOTS = 50_000
 
 
+def word_count(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, shuffle key) of every row."""
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long").alias("size"),
+        word_count(text_col).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key"))
 
 

@@ -34,10 +34,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
-from touchcredit.llm.common import Workspace
+from touchcredit.llm.common import Workspace, free_name
 from touchcredit.llm.components import connected_components, local_components
 from touchcredit.llm.textscan import find_words, hash_words, mix64, text_slices
 
@@ -286,8 +287,43 @@ def verify(tasks: DataFrame, words: int, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                     percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; links at Jaccard >= ``percent`` / 100."""
-    spark = docs.sparkSession
-    ws = Workspace(spark, "ngram-join")
+    return classed(docs, id_col, text_col, words, percent).drop("sig")
+
+
+def deduplicate(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others) with the smallest id of their component.
+
+    Rows without an id or without shingles stay. If kept ids are repeated, the row
+    is picked by its text's signature, and one of rows equal in both stays.
+    """
+    found = Workspace(docs.sparkSession, "ngram-dedup").keep(classed(docs, "doc_id", "text", words, percent), "classed")
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("of_doc"), F.col("sig").alias("of_sig"))
+    anonymous = docs.filter("doc_id is null")
+    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        sig = free_name(docs, "sig")
+        rows = docs.withColumn(sig, signatures("text", words))
+        rows = rows.join(kept.distinct(), (F.col("doc_id") == F.col("of_doc")) & F.col(sig).eqNullSafe(F.col("of_sig")), "left_semi")
+        # rows without shingles are linked with nothing, not even with each other
+        some = rows.filter(F.col(sig).isNotNull()).dropDuplicates(["doc_id", sig]).unionByName(rows.filter(F.col(sig).isNull())).drop(sig)
+    else:
+        some = docs.join(kept, F.col("doc_id") == F.col("of_doc"), "left_semi")
+    return some.unionByName(anonymous)
+
+
+def signatures(text_col: str, words: int) -> Column:
+    """The signature of each text's shingle set; null without shingles."""
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([signature(g) if len(g) else None for _, _, data, offs in text_slices(column)
+                            for g in shingle_sets(data, offs, words)], pa.int64())
+
+    return arrow_udf(run, "long")(F.col(text_col))
+
+
+def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """(doc_id, sig, n_shingles, component_id) of every row."""
+    ws = Workspace(docs.sparkSession, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = ws.keep(fingerprints(docs, words), "fingerprints")
     rows = prints.filter("cell is null").select("doc_id", "n", "sig")
@@ -345,4 +381,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component = named.groupBy(F.col("root").alias("of_root")).agg(F.min("least").alias("component_id"))
     named = ws.keep(named.join(component, F.col("root") == F.col("of_root")).select(F.col("sig").alias("of_sig"), "component_id"), "result")
     return rows.join(named, F.col("sig") == F.col("of_sig"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "sig", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -59,10 +59,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str, vocabulary: str | None = None
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").withColumn("__fold", fold("doc_id", 5))
-    model = language.train(docs.filter("__fold <> 0"))
-    return language.predict(docs, model).select(
-        "doc_id", (F.col("__fold") == 0).alias("held_out"), "__lang.lang_pred", "__lang.score")
+    docs = table(spark, sf_dir, "documents")
+    model = language.train(docs.filter(fold("doc_id", 5) != 0))
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "language.lang_pred", "language.score")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
