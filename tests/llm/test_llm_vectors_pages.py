@@ -1,0 +1,280 @@
+"""Operators over embeddings and pages, and the corpus pipeline: brute force and hard cases."""
+
+from __future__ import annotations
+
+import hashlib
+import json
+import math
+import random
+import sys
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pyarrow.fs as pafs
+import pytest
+from pyspark.sql import functions as F
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+import helpers as H  # noqa: E402
+
+import corpus_pipeline  # noqa: E402
+from touchcredit.llm import components, embed_dedup, extract, queries, stages, topk, warc  # noqa: E402
+from touchcredit.llm.common import Workspace, ensure_importable  # noqa: E402
+
+NAN, INF = float("nan"), float("inf")
+VEC_SCHEMA = "vec_id long, embedding array<float>, label int, dim int, cls long, block int"
+
+
+def hard_vectors(dim=24):
+    rng = np.random.default_rng(2)
+    rows = [(i, rng.normal(size=dim)) for i in range(120)]
+    centre = rng.normal(size=dim)
+    rows += [(200 + i, centre + 0.12 * rng.normal(size=dim) * np.linalg.norm(centre) / math.sqrt(dim) * (1 + i % 3)) for i in range(40)]
+    rows += [(300 + i, rows[5][1]) for i in range(6)] + [(310, 2 * rows[5][1]), (7, rows[7][1]), (7, rows[7][1])]
+    rows = [(i, [float(np.float32(x)) for x in v]) for i, v in rows]
+    rows += [(400, None), (401, []), (402, [0.0] * dim), (403, [NAN] + [1.0] * (dim - 1)), (404, [INF] + [1.0] * (dim - 1)),
+             (405, [None] + [1.0] * (dim - 1)), (406, [1.0, 2.0]), (407, [2.0, 4.0]), (420, [1.0, 2.0])]
+    return rows
+
+
+def vectors(spark, rows):
+    ensure_importable(spark)
+    return spark.createDataFrame([(i, v, 1, 2, 3, 4) for i, v in rows], VEC_SCHEMA).repartition(3)
+
+
+def good(v, zero_ok):
+    return bool(v) and all(x is not None and math.isfinite(x) for x in v) and (zero_ok or any(v))
+
+
+# -- 9 embedding near-duplicates ------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("block_rows", [16, 4096])
+def test_near_duplicate_vectors(spark, block_rows):
+    rows = hard_vectors()
+    got = embed_dedup.near_duplicates(vectors(spark, rows), block_rows=block_rows).toPandas()
+    n = len(rows)
+    links, label = [0] * n, list(range(n))
+    pairs = []
+    for a in range(n):
+        for b in range(a):
+            va, vb = rows[a][1], rows[b][1]
+            if good(va, False) and good(vb, False) and len(va) == len(vb):
+                va, vb = np.array(va), np.array(vb)
+                if va @ vb / np.linalg.norm(va) / np.linalg.norm(vb) >= 0.95:
+                    pairs.append((a, b))
+                    links[a] += 1
+                    links[b] += 1
+    for _ in range(n):
+        for a, b in pairs:
+            label[a] = label[b] = min(label[a], label[b])
+    least = {}
+    for k, (i, _) in zip(label, rows):
+        least[k] = min(i, least.get(k, i))
+    expect = Counter((i, c, least[k], i == least[k]) for (i, _), c, k in zip(rows, links, label))
+    assert len(pairs) > 300
+    assert Counter(tuple(r) for r in got[["vec_id", "n_links", "component_id", "kept"]].itertuples(index=False, name=None)) == expect
+
+
+def test_vectors_empty(spark):
+    none = vectors(spark, hard_vectors()).limit(0)
+    assert embed_dedup.near_duplicates(none).count() == 0
+    assert topk.exact_top_k(none, F.col("vec_id") % 20 == 0).count() == 0
+
+
+# -- 2 exact top-k --------------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("sizes", [(8, 4, 2), (4096, 1024, 16)])
+def test_top_k_equals_brute_force(spark, sizes):
+    rows = hard_vectors()
+    shard, block, group = sizes
+    got = topk.exact_top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, shard_rows=shard, query_rows=block, group_shards=group).toPandas()
+    use = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if good(v, True)]
+    expect = Counter()
+    for q in sorted({i for i, _ in use if i % 20 == 0}):
+        mine = next(v for i, v in use if i == q)
+        best = sorted((-sum(a * b for a, b in zip(mine, v)), i) for i, v in use if i != q and len(v) == len(mine))[:20]
+        expect.update((q, r, i, -s) for r, (s, i) in enumerate(best, 1))
+    assert Counter(tuple(int(x) for x in r) for r in got[["query_id", "rank", "vec_id", "score"]].itertuples(index=False)) == expect
+
+
+def test_ball_tree_prunes_and_keeps_ties():
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(scale=3, size=(64, 8)) + 60 * np.eye(8)[k] for k in range(8)]).round()
+    x = np.vstack([x, x[:40]])
+    ids = rng.permutation(len(x))
+    tree = topk.BallTree(ids, x, leaf_rows=16)
+    q = x[:30]
+    best = topk.Best(len(q), 5, np.full(len(q), -np.inf))
+    done = topk.search(tree, q, np.full(len(q), -1), best)
+    assert done < 0.5 * len(q) * len(x)
+    for k, v in enumerate(q):
+        want = sorted((-int(s), int(i)) for s, i in zip(x @ v, ids))[:5]
+        assert [(-int(s), int(i)) for s, i in zip(best.score[k], best.id[k])] == want
+
+
+# -- components -----------------------------------------------------------------------------------------------
+
+def test_connected_components(spark):
+    rng = random.Random(3)
+    edges = [(k, k + 1) for k in range(60)] + [(500, k) for k in range(501, 700)] + [(rng.randint(1000, 1300), rng.randint(1000, 1300)) for _ in range(220)]
+    edges += [(5, 5), (-9, -3), (-3, -9)]
+    ensure_importable(spark)
+    df = spark.createDataFrame(edges, "x long, y long").repartition(7)
+    got = {r["node"]: r["root"] for r in components.connected_components(df, Workspace(spark, "t")).collect()}
+    label = {v: v for e in edges for v in e}
+    for _ in label:
+        before = dict(label)
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    linked = {v for a, b in edges if a != b for v in (a, b)}
+    assert got == {v: label[v] for v in linked}
+
+
+# -- 5 extraction ---------------------------------------------------------------------------------------------
+
+def test_extraction_of_the_given_pages(spark):
+    import html
+    import re
+    sf = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r for r in queries.op5_html_extraction(spark, sf).collect()}
+    pages = duckdb.sql(f"select page_id, html from '{sf}/pages.parquet'").fetchall()
+    assert len(got) == len(pages)
+    for i, page in pages:
+        article = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+        text = " ".join(" ".join(html.unescape(x) for x in re.split(r"(?:<[^>]*>)", article)).split())
+        assert got[i]["text"] == text and got[i]["n_chars"] == len(text)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>x</title><style>p{}</style></head><body class="page has-sidebar-none">
+<header><h1>Site</h1><nav><a href=x>Home</a> <a>About us</a></nav></header>
+<div class="cookie-notice">We use cookies to make this site better for everybody who reads it every day.</div>
+<main><article><h1>A title</h1><p>First paragraph with <a href="y">a link</a> &amp; more&nbsp;text &#8212; here.<p>Second one <b>un</b>closed
+<ul><li>Item one<li>Item two</ul><script>var a="<p>no</p>"</script><form><input>Subscribe to us <button>Go</button></form>
+<aside>Related: <a>thing</a></aside><p>Last &copy 2020, a < b.</p></article>
+<section id="comments"><h2>Comments</h2><p>Great article, thanks a lot for it, I learned much from it, really</p></section></main>
+<div id=sidebar><p>Popular posts that you may find interesting to read today or on any day</p></div><footer>&copy; all</footer></body></html>"""
+
+
+def test_extraction_of_hard_pages(spark):
+    ensure_importable(spark)
+    rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (4, "u", "<p>cut off <b class=\"x"), (5, "u", "<"), (None, "u", PAGE),
+            (1, "u", PAGE), (6, "u", "<article>" + "<p>word here</p>" * 20_000), (7, "u", "<!-- open <p>x</p>"), (8, "u", "<script>x")]
+    df = spark.createDataFrame([(*r, "clash", 5) for r in rows], "page_id long, url string, html string, text string, n_chars int")
+    got = extract.extract(df).collect()
+    text = ("A title First paragraph with a link & more text — here. Second one unclosed Item one Item two Last © 2020, a < b.")
+    by = Counter((r["page_id"], r["text"], r["n_chars"]) for r in got)
+    assert by[(1, text, len(text))] == 2 and by[(None, text, len(text))] == 1
+    assert by[(2, "", 0)] == by[(3, "", 0)] == by[(7, "", 0)] == by[(8, "", 0)] == 1
+    assert by[(6, " ".join(["word here"] * 20_000), 200_000 - 1)] == 1
+    assert len(got) == len(rows) and extract.extract(df.limit(0)).count() == 0
+
+
+# -- 6 archives -----------------------------------------------------------------------------------------------
+
+def hard_pages():
+    big = "<p>" + "é" * 100
+    rows = [(5, "http://a/b c\r\nX: y", big), (3, None, big), (9, "u", big), (3, "u", big), (1, "u", "short"), (2, "u", "short"), (4, "u", None),
+            (6, "u", ""), (7, "u", "x" * 300_000), (8, "u", "WARC/1.1\r\n\r\nContent-Length: 5\r\n\r\n" * 9), (None, "u", big), (None, "u", "lone " * 40)]
+    return rows
+
+
+def test_archives_round_trip(spark):
+    ensure_importable(spark)
+    rows = hard_pages()
+    df = spark.createDataFrame([(*r, 1, "d") for r in rows], "page_id long, url string, html string, n int, digest string").repartition(3)
+    got = Counter(tuple(None if x != x else x for x in r) for r in warc.archive_round_trip(df).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").toPandas().astype(object).itertuples(index=False, name=None))
+    expect = Counter()
+    for i, _, h in rows:
+        raw = (h or "").encode()
+        same = [j for j, _, x in rows if (x or "").encode() == raw and j is not None]
+        refers = min(same) if len(raw) >= 100 and same and i != min(same) else None
+        expect[(i, len(raw), hashlib.sha256(raw).hexdigest(), "revisit" if refers is not None else "response", refers)] += 1
+    assert got == expect
+    assert warc.archive_round_trip(df.limit(0)).count() == 0
+
+
+def test_normaliser_splits_one_stream_into_members(tmp_path):
+    import gzip
+    import zlib
+    records = [warc.record(i, f"http://h/{i}", (b"%d " % i) * (i * 400), "0" * 64, None if i % 3 else 1) for i in range(40)]
+    (tmp_path / "mono.gz").write_bytes(gzip.compress(b"".join(records)))
+    fs = pafs.LocalFileSystem()
+    assert warc.normalise(fs, f"{tmp_path}/mono.gz", f"{tmp_path}/out.gz") == 40
+    data = (tmp_path / "out.gz").read_bytes()
+    index = [json.loads(x) for x in (tmp_path / "out.gz.idx").read_text().splitlines()]
+    assert [zlib.decompress(data[at:at + n], 31) for at, n, _, _ in index] == records
+    assert gzip.decompress(data) == b"".join(records)
+    assert [tuple(x) for x in index] == list(warc.read_index(fs, f"{tmp_path}/out.gz"))
+
+
+# -- pipeline -------------------------------------------------------------------------------------------------
+
+def test_stages_against_brute_force(spark, tmp_path):
+    """Each stage on its own input: decisions equal the operators' brute-force versions, columns stay."""
+    ensure_importable(spark)
+    rng = random.Random(8)
+    rows = H.hard_documents()
+    junk = [(600 + k, " ".join(f"{rng.choice('the of and to in'.split())}###" for _ in range(60)), "en", "s1") for k in range(60)]
+    rows += junk
+    H.documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    told = [(i, int(not 600 <= i < 700), 0) for i, *_ in rows if i is not None and (i < 60 or 600 <= i < 700)]
+    spark.createDataFrame(told, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    ws = Workspace(spark, "t")
+    names, at = docs.columns, {}
+    for k, (name, stage) in enumerate(stages.STAGES):
+        out = ws.keep(stage(spark, docs, str(tmp_path)), str(k))
+        at[k] = (docs, out)
+        if k < 4:
+            assert out.columns == names and dict(out.dtypes) == dict(docs.dtypes)
+        docs = out
+    key = lambda df: Counter((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect())
+    quality_in, quality_out = map(key, at[0])
+    gone = quality_in - quality_out
+    assert sum(n for (i, _), n in gone.items() if i is not None and i >= 600) >= 55
+    assert not [i for i, _ in gone if i is not None and i < 60]
+    lang_in, lang_out = map(key, at[1])
+    assert all(not any(c.isalpha() for c in t or "") for _, t in lang_in - lang_out)
+    assert all(any(c.isalpha() for c in t or "") for _, t in lang_out)
+    left, kept = list(key(at[2][0]).elements()), key(at[2][1])
+    want = set()
+    for (i, t), (_, n, c) in zip(left, H.jaccard_components(left)):
+        if i is None:
+            continue
+        if n == 0 or i == c:
+            want.add((i, t))
+    assert {x for x in kept if x[0] is not None} <= want
+    assert {i for i, _ in kept if i is not None} == {i for i, _ in want}
+    mixed_in, mixed_out = map(key, at[3])
+    assert not mixed_out - Counter({x: 3 * n for x, n in mixed_in.items()})
+    sizes = sum(len(H.WORD.findall(t or "")) * n for (_, t), n in mixed_in.items())
+    assert abs(sum(len(H.WORD.findall(t or "")) * n for (_, t), n in mixed_out.items()) - sizes) < 0.5 * sizes
+    assert at[4][1].count() == sum(mixed_out.values())
+
+
+def test_run_equals_its_stages(spark):
+    sf = "/root/testdata/sf0.001"
+    got = corpus_pipeline.run(spark, sf)
+    assert got.columns[:4] == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 0
+    texts = {}
+    for i, t in duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall():
+        texts.setdefault(i, set()).add(hashlib.sha256((t or "").encode()).hexdigest())
+    assert all(r["decoded_sha256"] in texts[r["doc_id"]] for r in got.collect())
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_queries_match_their_sql(spark, name):
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    want = con.sql(queries.ORACLE_SQL[name]).df()
+    got = queries.QUERIES[name](spark, sf).toPandas()
+    columns = sorted(want.columns)
+    sort = lambda df: df[columns].sort_values(columns).reset_index(drop=True)
+    assert sort(got).equals(sort(want).astype(got[columns].dtypes.to_dict()))

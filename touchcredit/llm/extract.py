@@ -150,7 +150,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     article, bad = stack[-1][1:] if stack else (False, False)
                     here, named = _place(tag, attrs, article)
                     stack.append((tag, article or here, bad or named))
-            elif not closing and attrs and tag not in VOID:
+            elif not closing and attrs and tag not in VOID and tag not in ("html", "body"):
                 _, named = _place(tag, attrs, True)    # a named paragraph or list item is a block of its own
                 if named:
                     stack.append((tag, stack[-1][1] if stack else False, True))
