@@ -20,15 +20,19 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose encoding a worker keeps between batches, and the longest word kept.
-CACHE_WORDS = 400_000
+#: Words of a generation that a worker keeps between batches, and the longest word kept.
+CACHE_WORDS = 250_000
 CACHE_WORD_CHARS = 64
+#: Distinct words from which positions are merged in numpy.
+MANY_WORDS = 3_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,7 +48,13 @@ class MergeReplay:
         self.token_of = {r: t for t, r in ranks.items()}
         self.split = regex.compile(pattern).findall
         self.pair_rank: dict[tuple[int, int], int | None] = {}
+        # every split of a token into two tokens is a pair that can merge: sorted for vectorised lookups
+        pairs = {(ranks[t[:k]] << 32) | ranks[t[k:]]: r for t, r in ranks.items() for k in range(1, len(t))
+                 if t[:k] in ranks and t[k:] in ranks}
+        self.pair_keys = np.array(sorted(pairs), dtype=np.int64)
+        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], dtype=np.int64)
         self.byte_id = [ranks[bytes([b])] for b in range(256)]
+        self.byte_ids = np.array(self.byte_id, dtype=np.int64)
 
     def _rank(self, a: int, b: int) -> int | None:
         """Rank of the merge of two tokens, remembered for pairs seen before."""
@@ -58,8 +68,108 @@ class MergeReplay:
             self.pair_rank[key] = r
             return r
 
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the merges of pairs of tokens, -1 where there is none."""
+        key = (a << 32) | b
+        at = np.searchsorted(self.pair_keys, key)
+        at[at == len(self.pair_keys)] = 0
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each word. A word that is itself in the table is that one id."""
+        return self.encode_many(words) if len(words) >= MANY_WORDS else self.encode_few(words)
+
+    def encode_many(self, words: list[bytes]) -> list[list[int]]:
+        """The replay with all positions of a rank merged together in numpy.
+
+        Merging several pairs of one word at once is leftmost first only while no
+        merge opens a lower rank; words in which that happens are replayed alone.
+        """
+        out: list[list[int]] = [[]] * len(words)
+        part = []
+        for w, word in enumerate(words):
+            whole = self.ranks.get(word)
+            if whole is not None:
+                out[w] = [whole]
+            elif word:
+                part.append(w)
+        if not part or not len(self.pair_keys):
+            return out if not part else self.encode_few(words)
+        token = self.byte_ids[np.frombuffer(b"".join([words[w] for w in part]), dtype=np.uint8)]
+        size = np.array([len(words[w]) for w in part])
+        ends = np.cumsum(size)
+        owner = np.repeat(np.arange(len(part)), size)
+        follow, before = np.arange(1, len(token) + 1), np.arange(-1, len(token) - 1)
+        follow[ends - 1] = -1
+        before[ends - size] = -1
+        redo = np.zeros(len(part), dtype=bool)
+        where: dict[int, list[np.ndarray]] = {}        # inverted index: rank of a pair -> word positions
+        queue: list[int] = []
+
+        def note(ranks: np.ndarray, places: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            bounds = [0, *cuts.tolist(), len(ranks)]
+            for r, lo, hi in zip(ranks[bounds[:-1]].tolist(), bounds[:-1], bounds[1:]):
+                if r in where:
+                    where[r].append(places[lo:hi])
+                else:
+                    where[r] = [places[lo:hi]]
+                    heapq.heappush(queue, r)
+
+        at = np.flatnonzero(follow >= 0)
+        ranks = self._ranks(token[at], token[at + 1])
+        note(ranks[ranks >= 0], at[ranks >= 0])
+        while queue:
+            r = heapq.heappop(queue)
+            got = where.pop(r)
+            p = np.sort(got[0] if len(got) == 1 else np.concatenate(got))
+            p = p[(token[p] >= 0) & (follow[p] >= 0)]
+            if not len(p):
+                continue
+            q = follow[p]
+            good = self._ranks(token[p], token[q]) == r    # else merged into a neighbour meanwhile
+            if len(p) > 1:
+                good[1:] &= p[1:] != p[:-1]
+            p, q = p[good], q[good]
+            if len(p) > 1 and (chained := q[:-1] == p[1:]).any():
+                # runs of overlapping pairs: every other one, from the left
+                start = np.maximum.accumulate(np.where(np.concatenate([[True], ~chained]), np.arange(len(p)), 0))
+                every = (np.arange(len(p)) - start) % 2 == 0
+                p, q = p[every], q[every]
+            if not len(p):
+                continue
+            k, h = follow[q], before[p]
+            token[p], token[q] = r, -1                     # a token's id is its rank
+            follow[p] = k
+            right = k >= 0
+            before[k[right]] = p[right]
+            h = before[p]
+            left = h >= 0
+            places = np.concatenate([p[right], h[left]])
+            ranks = self._ranks(token[places], token[follow[places]])
+            fresh = ranks >= 0
+            places, ranks = places[fresh], ranks[fresh]
+            if len(ranks):
+                lower = ranks < r
+                if lower.any():
+                    merged = owner[p]
+                    many = merged[1:][merged[1:] == merged[:-1]]
+                    redo[np.intersect1d(owner[places[lower]], many)] = True
+                note(ranks, places)
+        alive = np.flatnonzero(token >= 0)
+        ids = token[alive].tolist()
+        bounds = np.searchsorted(alive, np.concatenate([[0], ends])).tolist()
+        for w, lo, hi in zip(part, bounds[:-1], bounds[1:]):
+            out[w] = ids[lo:hi]
+        again = [part[i] for i in np.flatnonzero(redo)]
+        for w, ids in zip(again, self.encode_few([words[w] for w in again])):
+            out[w] = ids
+        return out
+
+    def encode_few(self, words: list[bytes]) -> list[list[int]]:
+        """The replay position by position: cheaper for few words, and exact whatever the table."""
         out: list[list[int] | None] = [None] * len(words)
         token: list[int] = []                 # the corpus: one position per byte
         follow: list[int] = []                # next live position of the word, -1 at its end
@@ -148,25 +258,36 @@ class MergeReplay:
 
 
 class Codec:
-    """A worker's encoder: merge replay plus the encodings of words seen before."""
+    """A worker's encoder: merge replay plus two generations of the words seen before."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.replay = MergeReplay(ranks, pattern)
-        self.known: dict[str, list[int]] = {}
+        self.young: dict[str, list[int]] = {}
+        self.old: dict[str, list[int]] = {}
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[list[int]]:
-        split, known = self.replay.split, self.known
+        split, young, old = self.replay.split, self.young, self.old
         words = [split(t) if t else [] for t in texts]
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        fresh = [w for w in dict.fromkeys(w for ws in words for w in ws) if w not in known]
-        found = dict(zip(fresh, self.replay.encode_words([w.encode("utf-8") for w in fresh])))
-        known.update((w, ids) for w, ids in found.items() if len(w) <= CACHE_WORD_CHARS)
+        table: dict[str, list[int]] = {}
+        fresh = []
+        for w in set(chain.from_iterable(words)):
+            ids = young.get(w)
+            if ids is None:
+                ids = old.get(w)
+                if ids is None:
+                    fresh.append(w)
+                    continue
+                young[w] = ids
+            table[w] = ids
+        for w, ids in zip(fresh, self.replay.encode_words([w.encode("utf-8") for w in fresh])):
+            table[w] = ids
+            if len(w) <= CACHE_WORD_CHARS:
+                young[w] = ids
+        if len(young) > CACHE_WORDS:
+            self.old, self.young = young, {}
+        get = table.__getitem__
         for ws in words:
-            ids: list[int] = []
-            for w in ws:
-                ids += known[w] if w in known else found[w]
-            yield ids
+            yield list(chain.from_iterable(map(get, ws)))
 
 
 _codecs: dict[str, Codec] = {}
@@ -180,7 +301,7 @@ def _codec(key: str, ranks: dict[bytes, int], pattern: str) -> Codec:
 
 
 #: Characters handled together: bounds the memory of a batch whatever its rows hold.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 6 << 20
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
