@@ -19,7 +19,5 @@ def spark():
                     extra={"spark.sql.session.timeZone": "UTC"})
     yield s
     import __spark_entry__ as E
-    for p in E._PIPELINES.values():      # intermediate tables written by registered queries
-        p.drop_tables()
-    E._PIPELINES.clear()
+    E.drop_pipelines()
     s.stop()

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from oracle_compare import _rows
 from touchcredit.oracle_sql import model_sql, sources_from_tables
-from touchcredit.plans import quality
+from touchcredit.plans import costs, marts, quality
 from touchcredit.plans.pipeline import AttributionPipeline
 from touchcredit.sources.readers import RawSources
 from touchcredit.sources.schemas import SOURCE_SCHEMAS
@@ -231,3 +231,49 @@ def test_empty_converted_set_keeps_null_profiles(spark):
     df = pipe.non_converting
     assert Counter(_rows(df.columns, [tuple(r) for r in df.collect()])) == \
         Counter(_rows(rel.columns, rel.fetchall()))
+
+
+def test_duplicate_customers_and_orders(spark):
+    """The second copy of an order -- a duplicate customer or order row -- is a repeat."""
+    rows = dict(ROWS, customers=CUSTOMERS + [("c6", "b2c", dt.date(2024, 1, 22), "555-010-0099", "frank2@example.com")],
+                orders=ORDERS + [(1009, "c3", ts(9, 9), 11.0), (1010, "c6", ts(21, 11), 13.0)])
+    pipe, con = AttributionPipeline(_sources(spark, rows)), _duck(rows)
+    try:
+        for attr, cte in (("conversions", "conversions"), ("profiles", "profiles"), ("touchpoints", "touchpoints")):
+            df, rel = getattr(pipe, attr), con.sql(model_sql(cte, sources_from_tables("hm_")))
+            assert Counter(_rows(df.columns, [tuple(r) for r in df.collect()])) == Counter(_rows(rel.columns, rel.fetchall())), attr
+        flags = sorted((r.order_id, r.is_repeat_purchase) for r in pipe.conversions.collect() if r.order_id in ("1003", "1009"))
+        assert flags == [("1003", False), ("1003", True), ("1009", False), ("1009", True)]
+    finally:
+        pipe.drop_tables()
+
+
+def test_old_touches_keep_finite_credit(spark):
+    """A touch more than a thousand half-lives before its order."""
+    rows = dict(ROWS, ga4_events=GA4 + [(20, "c7", "organic", "campaign_c", dt.datetime(1970, 1, 1))])
+    for half_life in (7.0, 0.002):
+        pipe, con = AttributionPipeline(_sources(spark, rows), materialize=False, half_life_days=half_life), _duck(rows)
+        conv = pipe.converting.cache()
+        got = marts.time_decay(conv, half_life).agg(F.sum("attributed_conversions"), F.sum("attributed_revenue")).first()
+        assert got[0] == pytest.approx(conv.select("journey_id").distinct().count())
+        assert all(x == x and abs(x) != float("inf") for x in got)
+    single = conv.where("platform_id = 'ga4|20'").withColumn("journey_id", F.lit("old"))
+    assert marts.time_decay(single).first()["attributed_conversions"] == 1.0
+    conv.unpersist()
+    for bad in (0, -1.0):
+        with pytest.raises(ValueError):
+            AttributionPipeline(_sources(spark, rows), half_life_days=bad)
+        with pytest.raises(ValueError):
+            marts.time_decay(single, bad)
+
+
+def test_costs_of_any_size(spark):
+    src = _sources(spark, dict(ROWS, google_costs=GOOGLE + [(dt.date(2024, 1, 3), "paid_search", 30_000_000_000)]))
+    assert {r.cost for r in costs.google_costs(src.google_costs).collect()} == {4.51, 9.02, 30_000.0}
+
+
+def test_half_cent_revenue(spark):
+    """Doubles half a cent apart are cut to decimals as Spark does: half up on the shortest decimal form."""
+    rows = dict(ROWS, orders=[(1, "c1", ts(10, 12), 2.675), (2, "c1", ts(11, 12), 1.005), (3, "c1", ts(12, 12), 0.125)])
+    pipe = AttributionPipeline(_sources(spark, rows), materialize=False)
+    assert {r.order_id: str(r.revenue) for r in pipe.conversions.collect()} == {"1": "2.68", "2": "1.01", "3": "0.13"}

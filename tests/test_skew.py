@@ -38,6 +38,83 @@ def skewed(spark):
     pipe.drop_tables()
 
 
+#: One day and one instant: user 0 gets a third of all events on 2024-01-05, a third of those at noon sharp.
+DAY = ("CASE WHEN user_id % 3 <> 0 THEN ts WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-05 12:00:00' "
+       "ELSE TIMESTAMP '2024-01-05 00:00:00' + make_interval(0, 0, 0, 0, 0, CAST(event_id % 1440 AS INT), 0) END")
+DAY_DUCK = ("CASE WHEN user_id % 3 <> 0 THEN ts WHEN event_id % 3 = 0 THEN TIMESTAMP '2024-01-05 12:00:00' "
+            "ELSE TIMESTAMP '2024-01-05 00:00:00' + to_minutes(CAST(event_id % 1440 AS INT)) END")
+
+
+def test_hot_day_and_instant_match_oracle(spark, monkeypatch):
+    """A third of the rows on one day of one customer: windows run over ranges of the sort key."""
+    from touchcredit.operators import chunks
+    events = (spark.read.parquet(f"{SF}/events.parquet").withColumn("ts", F.expr(DAY).cast("timestamp_ntz"))
+              .withColumn("user_id", F.expr(HOT)))
+    customer = spark.read.parquet(f"{SF}/customer.parquet")
+    monkeypatch.setattr(chunks, "MAX_CHUNK_ROWS", 300)
+    written = []
+    real = AttributionPipeline._keep
+
+    def keep(self, df, name):
+        out = real(self, df, name)
+        if name.endswith("_ranges"):
+            written.append((name, out))
+        return out
+
+    monkeypatch.setattr(AttributionPipeline, "_keep", keep)
+    pipe = AttributionPipeline(derive_sources(customer, events), materialize=True)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{SF}/customer.parquet')")
+    con.execute(f"CREATE VIEW events AS SELECT event_id, {DAY_DUCK} AS ts, {HOT} AS user_id, event_type, value, props "
+                f"FROM read_parquet('{SF}/events.parquet')")
+    try:
+        assert _same(pipe.conversions, con.sql(model_sql("conversions")))
+        assert _same(pipe.journey_rows_with_positions(), con.sql(model_sql("user_journeys")))
+        assert _same(pipe.order_intervals(), con.sql(model_sql("order_intervals")))
+        names = {n for n, _ in written}
+        assert {"asof_ranges", "journey_ranges"} <= names
+        for name, df in written:
+            group = ["__ak", "__ac"] if name == "asof_ranges" else ["__pg", "__pgn", "__pc"]
+            largest, total = df.groupBy(*group).count().agg(F.max("count"), F.sum("count")).first()
+            assert largest <= 300 < 0.16 * total, name      # the limit set above
+    finally:
+        pipe.drop_tables()
+
+
+def _executed(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_split_by_the_joins(spark, skewed):
+    """With small thresholds, the executed plans of the lookup, anti and conversion joins split the hot key."""
+    from touchcredit.operators.joins import not_in
+    from touchcredit.plans import conversions as conv
+    from touchcredit.plans import touchpoints as touch
+    pipe, _ = skewed
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    pipe.converting, pipe.converted, pipe.ga4_lookup, pipe.pixel_lookup
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        src = pipe.sources
+        # several map outputs, so that a reducer's input can be split
+        many = lambda df: df.repartition(12)
+        for df in (touch.ga4_touches(many(src.ga4_events), pipe.profiles, pipe.ga4_lookup),
+                   touch.meta_pixel_touches(many(src.meta_pixel_events), pipe.profiles, pipe.pixel_lookup),
+                   not_in(many(pipe.enriched_touches), "resolved_customer_profile_id", pipe.converting.limit(0),
+                          "resolved_customer_profile_id", ["platform_id"], pipe.converted),
+                   conv.joined_orders(type(src)(**{**src.as_dict(), "orders": many(src.orders)}), pipe.profiles)):
+            assert "skew=true" in _executed(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _same(df, rel) -> bool:
     return Counter(_rows(df.columns, [tuple(r) for r in df.collect()])) == \
         Counter(_rows(rel.columns, rel.fetchall()))

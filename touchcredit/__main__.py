@@ -5,7 +5,8 @@
     python -m touchcredit run  --fixtures SF_DIR --out DIR  # sources derived from the test tables
 
 ``--sources`` holds one parquet table per raw source (``customers``,
-``orders``, ``ga4_events``, ...). ``--select`` limits ``run`` to some models.
+``orders``, ``ga4_events``, ...). ``--select`` limits ``run`` to some
+models and what they need.
 On a cluster, ``--executors N --input-gb G`` sizes shuffle partitions and scan
 splits for the input (``session.scale_conf``).
 """
@@ -51,22 +52,19 @@ def main(argv: list[str] | None = None) -> int:
         extra = scale_conf(int(args.input_gb * (1 << 30)), args.executors)
     spark = get_session(args.master, extra=extra)
     pipe = _pipeline(spark, args)
-    if args.command == "run":
-        if not args.out:
-            ap.error("run needs --out")
-        models = {**pipe.models(), "fct_attribution_summary": pipe.summary}
-        for name, df in models.items():
-            if not args.select or name in args.select:
-                df.write.mode("overwrite").parquet(f"{args.out}/{name}")
+    try:
+        if args.command == "run":
+            if not args.out:
+                ap.error("run needs --out")
+            for name in pipe.write_models(args.out, select=args.select):
                 print(f"built {name}")
+            return 0
+        failed = [r for r in quality.run_checks(pipe.models()).collect() if r["failures"]]   # one row per rule
+        for r in failed:
+            print(f"{r['failures']} failures: {r['rule']} {r['model']}.{r['column_name']}")
+        return 1 if failed else 0
+    finally:
         pipe.drop_tables()
-        return 0
-    results = quality.run_checks(pipe.models())
-    failed = results.where("failures > 0")
-    failed.show(100, truncate=False)
-    code = 1 if failed.limit(1).count() else 0
-    pipe.drop_tables()
-    return code
 
 
 if __name__ == "__main__":

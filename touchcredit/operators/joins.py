@@ -4,8 +4,10 @@ A shuffle join hashes every NULL key to the same partition although a NULL can
 never match. ``left_lookup`` and ``not_in`` join on ``(key, key_is_null)`` and
 replace a NULL key by a deterministic per-row salt, so unmatched rows spread
 evenly and are still never matched (the other side carries ``key_is_null =
-false``). Hot non-NULL keys are left to AQE's skew-join split: the lookup side
-has one row per key (or a small fan-out), so the split replicates little.
+false``). Hot non-NULL keys are left to AQE's skew-join split, which needs both
+inputs to come straight from a shuffle and nothing after the join to rely on
+its partitioning: pass a lookup or key table that was written before (the
+pipeline does), not an aggregate, and see ``session.ENGINE_CONF`` for chains.
 Whether a lookup side is broadcast is decided by AQE from its measured size.
 """
 
@@ -17,7 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _K, _KN = "__jk", "__jk_null"
-JOIN_KEY_COLUMNS = (_K, _KN)
 
 
 def _spread(df: DataFrame, key: Column, salt: Sequence[str]) -> DataFrame:
@@ -50,7 +51,7 @@ def left_lookups(left: DataFrame, lookups: Sequence[tuple[DataFrame, str]], left
 
 
 def not_in(df: DataFrame, key: str, subset: DataFrame, subset_key: str,
-           salt: Sequence[str], keep_join_key: bool = False) -> DataFrame:
+           salt: Sequence[str], distinct_keys: DataFrame | None = None) -> DataFrame:
     """Rows of ``df`` where ``key NOT IN (SELECT subset_key FROM subset)`` holds
     under SQL three-valued logic: an empty subset keeps every row (NULL keys
     too); a subset containing NULL keeps none; otherwise rows with a non-NULL
@@ -59,16 +60,16 @@ def not_in(df: DataFrame, key: str, subset: DataFrame, subset_key: str,
     The anti join runs on the distinct non-NULL subset keys; the two subset
     facts (empty? holds NULL?) are one scalar subquery, evaluated once and
     inlined as a literal -- no cross join, no driver round trip of data.
-    With ``keep_join_key`` the output keeps ``JOIN_KEY_COLUMNS`` (the rows are
-    hash-partitioned on them, which a following aggregate can reuse).
+    ``distinct_keys``: the distinct values of ``subset_key`` as a written table, if
+    there is one; the join's inputs are then plain shuffles that AQE can split.
     """
     sk = F.col(subset_key)
     stats = subset.select(F.struct(F.count(F.lit(1)).alias("n"),
                                    F.count_if(sk.isNull()).alias("n_null")).alias("s")).scalar()
-    keys = (subset.where(sk.isNotNull()).select(sk.cast("string").alias(_K)).distinct()
+    if distinct_keys is None:
+        distinct_keys = subset.select(sk).distinct()
+    keys = (distinct_keys.where(sk.isNotNull()).select(sk.cast("string").alias(_K))
             .withColumn(_KN, F.lit(False)))
-    kept = _spread(df, F.col(key), salt).join(keys, on=[_K, _KN], how="left_anti")
-    if not keep_join_key:
-        kept = kept.drop(_K, _KN)
+    kept = _spread(df, F.col(key), salt).join(keys, on=[_K, _KN], how="left_anti").drop(_K, _KN)
     return kept.where((stats.getField("n") == 0)
                       | (F.col(key).isNotNull() & (stats.getField("n_null") == 0)))

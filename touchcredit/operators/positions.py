@@ -4,7 +4,8 @@ Adds, for ``ORDER BY ts ASC NULLS LAST, tiebreak ASC NULLS LAST`` within each
 group: ``row_number`` (1-based), ``lag(ts)``, ``lead(ts)`` and the group size
 -- the values the plain window functions give -- computed as:
 
-1. window over ``(group, time chunk)``: local row number, local lag/lead;
+1. window over ``(group, chunk)``: local row number, local lag/lead; chunks are
+   days, or ranges of the sort key where a day is too large (``operators.chunks``);
 2. per-chunk summary ``(count, min ts, max ts)`` by partial aggregation, then a
    window over the group's chunk rows for the count of earlier rows and the
    neighbouring chunks' boundary timestamps (one row per chunk, so a group's
@@ -12,33 +13,36 @@ group: ``row_number`` (1-based), ``lag(ts)``, ``lead(ts)`` and the group size
 3. join back on ``(group, chunk)``; the large side is already partitioned on
    those keys.
 
-NULL timestamps form a last chunk of their own, NULL groups are kept as a
-group of their own, exactly like window partitions.
+NULL timestamps sort last, NULL groups are kept as a group of their own, exactly
+like window partitions.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchcredit.functions.normalize import time_chunk
 from touchcredit.operators.asof import DAY_SECONDS
+from touchcredit.operators.chunks import Keep, chunked
 
 _G, _GN, _C = "__pg", "__pgn", "__pc"
 
 
-def ordered_positions(df: DataFrame, group: str, ts: str, tiebreak: str,
+def ordered_positions(df: DataFrame, group: str, ts: str, tiebreak: str | Sequence[str],
                       position: str = "position", prev_ts: str = "prev_ts",
                       next_ts: str = "next_ts", group_size: str = "group_size",
-                      chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+                      chunk_seconds: int = DAY_SECONDS, keep: Keep | None = None,
+                      max_chunk_rows: int | None = None, name: str = "position_ranges") -> DataFrame:
     t = F.col(ts)
+    order = [F.col(c).asc_nulls_last() for c in (ts, *([tiebreak] if isinstance(tiebreak, str) else tiebreak))]
     keyed = df.withColumns({
         _G: F.coalesce(F.col(group).cast("string"), F.lit("")),
         _GN: F.col(group).isNull(),
-        _C: time_chunk(ts, chunk_seconds),
     })
-    local = (Window.partitionBy(_G, _GN, _C)
-             .orderBy(t.asc_nulls_last(), F.col(tiebreak).asc_nulls_last()))
+    keyed = chunked(keyed, [F.col(_GN), F.col(_G)], order, t, chunk_seconds, _C, keep, max_chunk_rows, name)
+    local = Window.partitionBy(_G, _GN, _C).orderBy(*order)
     rows = keyed.withColumns({
         "__rn": F.row_number().over(local).cast("bigint"),
         "__lp": F.lag(t).over(local),

@@ -1,15 +1,12 @@
 """M3 -- orders as conversions, with the linked profile and a repeat flag.
 
-``is_repeat_purchase`` is false for a customer's first order by
-``(created_at, order_id)`` (NULL times last) and true otherwise; orders without
-a customer id form one group of their own. It is a first-order-per-customer
-aggregate joined back, not a window over each customer's full history, so a
-customer with a huge history does not become one task. The first-order table,
-the profile lookup and the customer lookup all join on the same customer key,
-so the orders are shuffled once for all three; the first order of the
-NULL-customer group is one scalar subquery. (Where the customer table holds
-duplicate ids, the order is repeated by the left join and both copies carry
-the flag of the order.)
+Orders meet their profile and contact in two lookups on one shared key column.
+``is_repeat_purchase`` numbers the joined rows of a customer by ``(created_at,
+order_id)``, NULLs last, with ties broken by the customer's mail, phone and
+profile: the first is false, all others true, so a second copy (a duplicate
+customer or order) counts as a repeat. Orders without a customer id are one
+group. The numbers come from ``operators.positions``, so a customer with a huge
+history -- or all guest orders -- is never one task.
 """
 
 from __future__ import annotations
@@ -17,52 +14,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchcredit.functions.normalize import asc_nulls_last
+from touchcredit.operators.asof import DAY_SECONDS
+from touchcredit.operators.chunks import Keep
 from touchcredit.operators.joins import left_lookups
-from touchcredit.operators.topk import top1
+from touchcredit.operators.positions import ordered_positions
 from touchcredit.plans import constants as K
 from touchcredit.sources.readers import RawSources
 
 
-def _keyed_orders(orders: DataFrame) -> DataFrame:
-    return orders.select("customer_id", "created_at",
-                         F.col("order_id").cast("string").alias("__oid"))
-
-
-def first_orders(orders: DataFrame) -> DataFrame:
-    """``(customer_id, first order id)`` for every non-NULL customer."""
-    keyed = _keyed_orders(orders).where(F.col("customer_id").isNotNull())
-    return top1(keyed, ["customer_id"], [F.col("created_at"), F.col("__oid")], ["__oid"]) \
-        .withColumnRenamed("__oid", "__first")
-
-
-def first_order_without_customer(orders: DataFrame):
-    """Scalar subquery: first order id among orders with a NULL customer id."""
-    keyed = _keyed_orders(orders).where(F.col("customer_id").isNull())
-    first = F.min(F.struct(*asc_nulls_last(F.col("created_at"), F.col("__oid")),
-                           F.col("__oid").alias("oid")))
-    return keyed.select(first.getField("oid")).scalar()
-
-
-def build_conversions(src: RawSources, profiles: DataFrame) -> DataFrame:
-    orders = src.orders
-    base = orders.select(
+def joined_orders(src: RawSources, profiles: DataFrame) -> DataFrame:
+    """Every order with its profile and contact; an order repeats with a customer's duplicates."""
+    base = src.orders.select(
         F.col("order_id").cast("string").alias("order_id"),
         F.col("customer_id").cast("string").alias("user_id"),
         F.col("created_at").alias("conversion_timestamp"),
-        F.col("total_price").cast("decimal(12,2)").alias("revenue"),
-        F.col("customer_id").alias("__cust"))
+        F.col("total_price").cast("decimal(12,2)").alias("revenue"))
     known = profiles.where(F.col("known_customer_id").isNotNull()).select(
         "known_customer_id", "customer_profile_id", "match_method")
     contacts = src.customers.select("customer_id", F.col("email").alias("customer_email"),
                                     F.col("phone_number").alias("customer_phone"))
-    joined = left_lookups(base, [(first_orders(orders), "customer_id"),
-                                 (known, "known_customer_id"),
-                                 (contacts, "customer_id")], F.col("__cust"), ["order_id"])
-    first = F.when(F.col("__cust").isNull(), first_order_without_customer(orders)) \
-        .otherwise(F.col("__first"))
-    return joined.select(
+    return left_lookups(base, [(known, "known_customer_id"), (contacts, "customer_id")], F.col("user_id"), ["order_id"])
+
+
+def build_conversions(src: RawSources, profiles: DataFrame, chunk_seconds: int = DAY_SECONDS, keep: Keep | None = None) -> DataFrame:
+    """``keep``: writes the joined orders once, as the numbering reads them twice."""
+    joined = joined_orders(src, profiles)
+    if keep is not None:
+        joined = keep(joined, "joined_orders")
+    numbered = ordered_positions(
+        joined, "user_id", "conversion_timestamp", ["order_id", "customer_email", "customer_phone", "customer_profile_id"],
+        position="__seq", prev_ts="__prev", next_ts="__next", group_size="__size", chunk_seconds=chunk_seconds, keep=keep,
+        name="conversion_ranges")
+    return numbered.select(
         "order_id", "user_id", "conversion_timestamp", "revenue", "customer_email",
         "customer_phone", "customer_profile_id", "match_method",
-        F.lit(K.SYS_ORDERS).alias("raw_source"),
-        (~F.col("order_id").eqNullSafe(first)).alias("is_repeat_purchase"))
+        F.lit(K.SYS_ORDERS).alias("raw_source"), (F.col("__seq") > 1).alias("is_repeat_purchase"))

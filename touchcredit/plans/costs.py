@@ -11,9 +11,10 @@ from touchcredit.sources.readers import RawSources
 
 
 def google_costs(google: DataFrame) -> DataFrame:
-    """Micros to currency: the amount is held as decimal(12,2) (overflow raises,
-    as in the reference) and divided as a double."""
-    cost = F.col("cost_micros_equivalent").cast("decimal(12,2)").cast("double") / F.lit(
+    """Micros to currency, divided as a double. The amount is held exactly at any size
+    (decimal(12,2) would fail a day of 10,000 currency and more); every value that
+    fits there gives the same result."""
+    cost = F.col("cost_micros_equivalent").cast("decimal(38,2)").cast("double") / F.lit(
         float(K.MICROS_PER_UNIT))
     return google.select(
         F.col("date").alias("cost_date"), F.col("channel_name").alias("channel"),

@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from touchcredit.functions.normalize import concat_skip_nulls, day_diff, second_diff, typed_null
 from touchcredit.operators.asof import DAY_SECONDS, asof_forward
-from touchcredit.operators.joins import JOIN_KEY_COLUMNS, not_in
+from touchcredit.operators.chunks import Keep
+from touchcredit.operators.joins import not_in
 from touchcredit.operators.positions import ordered_positions
 from touchcredit.plans import constants as K
 
@@ -38,16 +39,16 @@ def _touch_part() -> list:
     ]
 
 
-def order_intervals(conversions: DataFrame, chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+def order_intervals(conversions: DataFrame, chunk_seconds: int = DAY_SECONDS, keep: Keep | None = None) -> DataFrame:
     """Conversions with ``previous_order_timestamp`` (the customer's preceding order)."""
     return ordered_positions(
         conversions, "user_id", "conversion_timestamp", "order_id",
         position="__seq", prev_ts="previous_order_timestamp", next_ts="__next",
-        group_size="__size", chunk_seconds=chunk_seconds).drop("__seq", "__next", "__size")
+        group_size="__size", chunk_seconds=chunk_seconds, keep=keep, name="order_ranges").drop("__seq", "__next", "__size")
 
 
 def converting_journeys(touches: DataFrame, conversions: DataFrame,
-                        chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+                        chunk_seconds: int = DAY_SECONDS, keep: Keep | None = None) -> DataFrame:
     """``touches`` are enriched touchpoints (``constants.ENRICHED_TOUCH_COLUMNS``)."""
     orders = conversions.select(
         F.col("user_id").alias("__user"), F.col("conversion_timestamp").alias("__end"),
@@ -55,7 +56,7 @@ def converting_journeys(touches: DataFrame, conversions: DataFrame,
         F.col("is_repeat_purchase").alias("__rep"))
     matched = asof_forward(touches, orders, "resolved_known_customer_id", "event_timestamp",
                            "__user", "__end", "__oid", ["__user", "__end", "__oid", "__rev", "__rep"],
-                           chunk_seconds=chunk_seconds)
+                           chunk_seconds=chunk_seconds, keep=keep)
     return matched.select(
         F.col("__oid").alias("journey_id"), F.col("__user").alias("shopify_customer_id"),
         F.col("__end").alias("journey_end_date"), *_touch_part(),
@@ -64,7 +65,7 @@ def converting_journeys(touches: DataFrame, conversions: DataFrame,
 
 
 def attribution_rows(touches: DataFrame, conversions: DataFrame,
-                     chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+                     chunk_seconds: int = DAY_SECONDS, keep: Keep | None = None) -> DataFrame:
     """Converting touch rows with only the columns the marts read.
 
     Same matching as ``converting_journeys``, but the touches are projected
@@ -79,7 +80,7 @@ def attribution_rows(touches: DataFrame, conversions: DataFrame,
         F.col("order_id").alias("__oid"), F.col("revenue").alias("__rev"))
     matched = asof_forward(narrow, orders, "resolved_known_customer_id", "event_timestamp",
                            "__user", "__end", "__oid", ["__end", "__oid", "__rev"],
-                           chunk_seconds=chunk_seconds)
+                           chunk_seconds=chunk_seconds, keep=keep, name="attribution_ranges")
     return matched.select(
         F.col("__oid").alias("journey_id"), "channel", "event_timestamp", "platform_id",
         F.col("__rev").alias("order_value"), F.col("__end").alias("journey_end_date"))
@@ -89,13 +90,12 @@ def converted_profiles(converting: DataFrame) -> DataFrame:
     return converting.select("resolved_customer_profile_id").distinct()
 
 
-def non_converting_journeys(touches: DataFrame, converting: DataFrame) -> DataFrame:
+def non_converting_journeys(touches: DataFrame, converting: DataFrame,
+                            converted: DataFrame | None = None) -> DataFrame:
+    """``converted``: the written table of ``converted_profiles(converting)``, if there is one."""
     rest = not_in(touches, "resolved_customer_profile_id", converting,
-                  "resolved_customer_profile_id", salt=["platform_id"], keep_join_key=True)
-    # The join key is a function of (profile, platform id), both part of the row, so
-    # grouping by it too changes no group -- but lets the dedupe reuse the anti
-    # join's partitioning instead of shuffling every row again.
-    rest = rest.select(*_touch_part(), *JOIN_KEY_COLUMNS).dropDuplicates().drop(*JOIN_KEY_COLUMNS)
+                  "resolved_customer_profile_id", salt=["platform_id"], distinct_keys=converted)
+    rest = rest.select(*_touch_part()).dropDuplicates()
     return rest.select(
         concat_skip_nulls(F.col("resolved_customer_profile_id"),
                           F.lit(K.NO_CONVERSION_SUFFIX)).alias("journey_id"),
@@ -106,12 +106,12 @@ def non_converting_journeys(touches: DataFrame, converting: DataFrame) -> DataFr
         typed_null("boolean").alias("is_repeat_purchase"))
 
 
-def with_positions(journey_rows: DataFrame, chunk_seconds: int = DAY_SECONDS) -> DataFrame:
+def with_positions(journey_rows: DataFrame, chunk_seconds: int = DAY_SECONDS, keep: Keep | None = None) -> DataFrame:
     pos = ordered_positions(
         journey_rows, "journey_id", "event_timestamp", "platform_id",
         position="touchpoint_sequence", prev_ts="previous_touch_timestamp",
         next_ts="next_touch_timestamp", group_size="total_touches_in_journey",
-        chunk_seconds=chunk_seconds)
+        chunk_seconds=chunk_seconds, keep=keep, name="journey_ranges")
     seq, total = F.col("touchpoint_sequence"), F.col("total_touches_in_journey")
     return (pos.withColumn("days_to_conversion", day_diff("event_timestamp", "journey_end_date"))
                .withColumn("seconds_since_previous_touch",
@@ -121,9 +121,3 @@ def with_positions(journey_rows: DataFrame, chunk_seconds: int = DAY_SECONDS) ->
                .withColumn("is_single_touch_journey", F.coalesce(total == 1, F.lit(False)))
                .select(*K.JOURNEY_COLUMNS))
 
-
-def build_journeys(touches: DataFrame, conversions: DataFrame,
-                   chunk_seconds: int = DAY_SECONDS) -> DataFrame:
-    converting = converting_journeys(touches, conversions, chunk_seconds)
-    rows = converting.unionByName(non_converting_journeys(touches, converting))
-    return with_positions(rows, chunk_seconds)

@@ -1,4 +1,4 @@
-"""M6-M9 -- channel attribution marts, and their union (summary).
+"""M6-M9 -- channel attribution marts, and all four in one pass (summary).
 
 Each mart accepts journey rows -- the full ``user_journeys`` table or just the
 converting rows from ``journeys.converting_journeys`` -- and needs only
@@ -7,18 +7,23 @@ journey_end_date``. Positions are derived inside the mart by aggregation:
 
 * first / last touch: the journey's ``min`` / ``max`` of
   ``(event_timestamp, platform_id)`` -- one partial+final aggregate;
-* linear / time decay: per ``(journey, channel)`` pre-aggregates (touch count,
-  summed raw decay weight), then a per-journey total over at most one row per
-  channel, then ``groupBy(channel)``.
-
-No step ever needs all touches of one journey in one task.
+* linear: touch counts per ``(journey, channel)``, then a per-journey total
+  over at most one row per channel, then ``groupBy(channel)``;
+* time decay: touch counts per ``(journey, channel, days)``, weighted relative
+  to the journey's nearest touch: 0.5^((days - min days) / half life) gives the
+  same shares as 0.5^(days / half life), but the nearest touch always weighs 1,
+  so a journey of old touches cannot underflow to a zero total;
+* summary: one aggregate per ``(journey, channel, days)`` carries the touch
+  count and the first and last touch, one per-journey step turns it into four
+  credits, and one aggregate by channel adds them up: one scan, three exchanges.
+
+No step ever needs all touches of one journey in one task. (A journey has at
+most channels x distinct days such rows.)
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchcredit.functions.normalize import day_diff
@@ -48,9 +53,17 @@ def last_touch(journeys: DataFrame) -> DataFrame:
     return _positional(journeys, K.METHOD_LAST_TOUCH, last=True)
 
 
-def _weighted(journeys: DataFrame, method: str, touch_weight) -> DataFrame:
-    per = _converting(journeys).groupBy("journey_id", "channel").agg(
-        F.sum(touch_weight).alias("__w"), F.max("order_value").alias("__v"))
+def _check_half_life(half_life_days: float) -> float:
+    if not half_life_days > 0:
+        raise ValueError(f"half_life_days must be positive, not {half_life_days}")
+    return float(half_life_days)
+
+
+def _fractional(journeys: DataFrame, method: str, keys: list, weight) -> DataFrame:
+    """``weight``: a column over one row per ``keys`` with the touch count ``__n``."""
+    per = _converting(journeys).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"), F.max("order_value").alias("__v"))
+    per = per.withColumn("__w", F.col("__n") * weight)
     credit = F.col("__w") / F.sum("__w").over(Window.partitionBy("journey_id"))
     return (per.withColumn("__credit", credit)
                .groupBy("channel").agg(
@@ -61,22 +74,44 @@ def _weighted(journeys: DataFrame, method: str, touch_weight) -> DataFrame:
 
 def linear(journeys: DataFrame) -> DataFrame:
     """Each of a journey's n touches earns 1/n."""
-    return _weighted(journeys, K.METHOD_LINEAR, F.lit(1.0))
+    return _fractional(journeys, K.METHOD_LINEAR, ["journey_id", "channel"], F.lit(1.0))
+
+
+def _days() -> Column:
+    return day_diff("event_timestamp", "journey_end_date").alias("__days")
+
+
+def _decay(half_life_days: float) -> Column:
+    """Weight of a touch relative to its journey's nearest one; needs ``__days``."""
+    nearest = F.min("__days").over(Window.partitionBy("journey_id"))
+    return F.pow(F.lit(0.5), (F.col("__days") - nearest) / F.lit(_check_half_life(half_life_days)))
 
 
 def time_decay(journeys: DataFrame, half_life_days: float = K.DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
     """A touch d days before the order earns 0.5^(d / half_life), normalised per journey."""
-    days = day_diff("event_timestamp", "journey_end_date")
-    raw = F.pow(F.lit(0.5), days / F.lit(float(half_life_days)))
-    return _weighted(journeys, K.METHOD_TIME_DECAY, raw)
+    return _fractional(journeys, K.METHOD_TIME_DECAY, ["journey_id", "channel", _days()], _decay(half_life_days))
 
 
 def summary(journeys: DataFrame, half_life_days: float = K.DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
-    """The four marts in one table; both measures as double."""
-    marts = [first_touch(journeys), last_touch(journeys), linear(journeys),
-             time_decay(journeys, half_life_days)]
-    return reduce(DataFrame.unionByName, [
-        m.select("channel", "attribution_method",
-                 F.col("attributed_conversions").cast("double").alias("attributed_conversions"),
-                 F.col("attributed_revenue").cast("double").alias("attributed_revenue"))
-        for m in marts])
+    """The four marts in one table from one pass; both measures as double."""
+    touch = F.struct(F.col("event_timestamp").isNull().alias("n"), F.col("event_timestamp").alias("t"),
+                     F.col("platform_id").isNull().alias("m"), F.col("platform_id").alias("p"),
+                     F.col("channel").alias("c"))
+    per = _converting(journeys).groupBy("journey_id", "channel", _days()).agg(
+        F.count(F.lit(1)).alias("__n"), F.max("order_value").alias("__v"), F.min(touch).alias("__lo"), F.max(touch).alias("__hi"))
+    journey = Window.partitionBy("journey_id")
+    weight = F.col("__n") * _decay(half_life_days)
+    per = per.withColumns({
+        K.METHOD_FIRST_TOUCH: F.col("__lo").eqNullSafe(F.min("__lo").over(journey)).cast("double"),
+        K.METHOD_LAST_TOUCH: F.col("__hi").eqNullSafe(F.max("__hi").over(journey)).cast("double"),
+        K.METHOD_LINEAR: F.col("__n") / F.sum("__n").over(journey),
+        K.METHOD_TIME_DECAY: weight / F.sum(weight).over(journey)})
+    methods = [K.METHOD_FIRST_TOUCH, K.METHOD_LAST_TOUCH, K.METHOD_LINEAR, K.METHOD_TIME_DECAY]
+    value = F.col("__v").cast("double")
+    # a channel appears under first / last touch only if it got such a touch
+    sums = per.groupBy("channel").agg(*[x for m in methods for x in (
+        F.sum(m).alias(f"{m}_n"), F.sum(value * F.col(m)).alias(f"{m}_v"))])
+    rows = F.array(*[F.struct(F.lit(m).alias("attribution_method"), F.col(f"{m}_n").alias("attributed_conversions"),
+                              F.col(f"{m}_v").alias("attributed_revenue")) for m in methods])
+    return (sums.select("channel", F.explode(rows).alias("r")).select("channel", "r.*")
+            .where(F.col("attributed_conversions") > 0))

@@ -18,6 +18,7 @@ shared subtrees wherever they fan out.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
@@ -29,16 +30,38 @@ from touchcredit.plans import conversions as conv
 from touchcredit.plans import costs as cost
 from touchcredit.plans import identity, journeys, marts
 from touchcredit.plans import touchpoints as touch
+from touchcredit.plans import constants as K
 from touchcredit.plans.constants import DEFAULT_HALF_LIFE_DAYS
 from touchcredit.sources.readers import RawSources
 
 
+class LazyModels(Mapping[str, DataFrame]):
+    """Model name -> DataFrame; a model (and what it needs) is built when it is first asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 class AttributionPipeline:
     def __init__(self, sources: RawSources, materialize: bool = True,
                  chunk_seconds: int = DAY_SECONDS, half_life_days: float = DEFAULT_HALF_LIFE_DAYS):
         self.sources = sources
         self.materialize = materialize
         self.chunk_seconds = chunk_seconds
+        if not half_life_days > 0:
+            raise ValueError(f"half_life_days must be positive, not {half_life_days}")
         self.half_life_days = half_life_days
         self._run_id = uuid.uuid4().hex
 
@@ -65,6 +88,11 @@ class AttributionPipeline:
         self._written = True
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
+    @property
+    def _keeper(self):
+        """What operators write measured intermediate tables with; None for lazy plans."""
+        return self._keep if self.materialize else None
+
     def prepare(self, *names: str) -> None:
         """Materialise independent tables concurrently (one Spark job per thread;
         the scheduler runs their stages side by side). Their inputs must already
@@ -85,9 +113,19 @@ class AttributionPipeline:
     def profiles(self) -> DataFrame:
         return self._keep(identity.unify_identities(self.sources), "profiles")
 
+    # lookups are written, so that their joins read two plain shuffles and AQE can split a hot visitor
+    @cached_property
+    def ga4_lookup(self) -> DataFrame:
+        return self._keep(touch.source_id_lookup(self.profiles, K.SYS_GA4), "ga4_lookup")
+
+    @cached_property
+    def pixel_lookup(self) -> DataFrame:
+        return self._keep(touch.source_id_lookup(self.profiles, K.SYS_META_PIXEL), "pixel_lookup")
+
     @cached_property
     def enriched_touches(self) -> DataFrame:
-        return self._keep(touch.enriched_touchpoints(self.sources, self.profiles), "enriched_touches")
+        return self._keep(touch.enriched_touchpoints(self.sources, self.profiles, self.ga4_lookup, self.pixel_lookup),
+                          "enriched_touches")
 
     @property
     def touchpoints(self) -> DataFrame:
@@ -95,29 +133,43 @@ class AttributionPipeline:
 
     @cached_property
     def conversions(self) -> DataFrame:
-        return self._keep(conv.build_conversions(self.sources, self.profiles), "conversions")
+        return self._keep(conv.build_conversions(self.sources, self.profiles, self.chunk_seconds, self._keeper), "conversions")
 
     @property
     def costs(self) -> DataFrame:
         return cost.build_costs(self.sources)
 
+    def order_intervals(self) -> DataFrame:
+        return journeys.order_intervals(self.conversions, self.chunk_seconds, self._keeper)
+
     # -- journeys ----------------------------------------------------------
-    @cached_property
-    def converting(self) -> DataFrame:
+    def _touches_and_orders(self) -> tuple[DataFrame, DataFrame]:
         self.profiles
         self.prepare("enriched_touches", "conversions")
-        return self._keep(journeys.converting_journeys(self.enriched_touches, self.conversions,
-                                                       self.chunk_seconds), "converting")
+        return self.enriched_touches, self.conversions
+
+    @cached_property
+    def converting(self) -> DataFrame:
+        return self._keep(journeys.converting_journeys(*self._touches_and_orders(), self.chunk_seconds, self._keeper), "converting")
+
+    @cached_property
+    def attribution(self) -> DataFrame:
+        """The narrow converting rows that the marts read, for when no journeys are wanted."""
+        return self._keep(journeys.attribution_rows(*self._touches_and_orders(), self.chunk_seconds, self._keeper), "attribution")
+
+    @cached_property
+    def converted(self) -> DataFrame:
+        return self._keep(journeys.converted_profiles(self.converting), "converted")
 
     @cached_property
     def non_converting(self) -> DataFrame:
         # read twice by the position computation (rows and per-chunk summary)
-        return self._keep(journeys.non_converting_journeys(self.enriched_touches, self.converting),
+        return self._keep(journeys.non_converting_journeys(self.enriched_touches, self.converting, self.converted),
                           "non_converting")
 
     def journey_rows_with_positions(self) -> DataFrame:
         rows = self.converting.unionByName(self.non_converting)
-        return journeys.with_positions(rows, self.chunk_seconds)
+        return journeys.with_positions(rows, self.chunk_seconds, self._keeper)
 
     @cached_property
     def user_journeys(self) -> DataFrame:
@@ -145,32 +197,46 @@ class AttributionPipeline:
     def summary(self) -> DataFrame:
         return marts.summary(self.converting, self.half_life_days)
 
-    def register_views(self, prefix: str = "") -> list[str]:
-        """Expose every model as a temporary view under its model name, so it can be
-        queried with ``spark.sql`` (the reference materialises all models as views)."""
+    def register_views(self, prefix: str = "", select: list[str] | None = None) -> list[str]:
+        """Expose models (all, or those in ``select``) as temporary views under their names,
+        so they can be queried with ``spark.sql`` (the reference materialises all models as views)."""
         names = []
-        for name, df in {**self.models(), "fct_attribution_summary": self.summary}.items():
+        for name, df in self._selected(select):
             df.createOrReplaceTempView(prefix + name)
             names.append(prefix + name)
         return names
 
-    def write_models(self, root: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
-        """Persist every model as a table under ``root/<model name>``."""
-        for name, df in {**self.models(), "fct_attribution_summary": self.summary}.items():
+    def write_models(self, root: str, mode: str = "overwrite", fmt: str = "parquet", select: list[str] | None = None) -> list[str]:
+        """Persist models (all, or those in ``select``) as tables under ``root/<model name>``."""
+        names = []
+        for name, df in self._selected(select):
             df.write.mode(mode).format(fmt).save(f"{root}/{name}")
+            names.append(name)
+        return names
 
-    def models(self) -> dict[str, DataFrame]:
-        """Model name -> DataFrame, as addressed by the quality rules."""
-        self.profiles
-        self.prepare("enriched_touches", "conversions")
-        return {
-            "stg_customers_unification": self.profiles,
-            "stg_touchpoints": self.touchpoints,
-            "stg_conversions": self.conversions,
-            "stg_costs": self.costs,
-            "int_user_journeys": self.user_journeys,
-            "fct_attribution_first_touch": self.first_touch,
-            "fct_attribution_last_touch": self.last_touch,
-            "fct_attribution_linear": self.linear,
-            "fct_attribution_time_decay": self.time_decay,
-        }
+    def _selected(self, select: list[str] | None) -> Iterator[tuple[str, DataFrame]]:
+        models = self.models()
+        known = [*models, "fct_attribution_summary"]
+        if unknown := [n for n in select or () if n not in known]:
+            raise ValueError(f"unknown models: {', '.join(unknown)}")
+        for name in known:
+            if not select or name in select:
+                yield name, models[name] if name in models else self.summary
+
+    def models(self) -> Mapping[str, DataFrame]:
+        """Model name -> DataFrame, as addressed by the quality rules; built when asked for.
+
+        A mart is a few rows and is read by several rules, so it is written once.
+        """
+        mart = lambda name: self._keep(getattr(self, name), f"mart_{name}")
+        return LazyModels({
+            "stg_customers_unification": lambda: self.profiles,
+            "stg_touchpoints": lambda: self.touchpoints,
+            "stg_conversions": lambda: self.conversions,
+            "stg_costs": lambda: self.costs,
+            "int_user_journeys": lambda: self.user_journeys,
+            "fct_attribution_first_touch": lambda: mart("first_touch"),
+            "fct_attribution_last_touch": lambda: mart("last_touch"),
+            "fct_attribution_linear": lambda: mart("linear"),
+            "fct_attribution_time_decay": lambda: mart("time_decay"),
+        })

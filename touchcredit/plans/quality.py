@@ -11,7 +11,7 @@ usual column-test conventions:
 * ``accepted_values`` distinct non-NULL values outside the list -- all such
                       rules of a model share one scan;
 * ``relationships``   child rows whose non-NULL key has no parent row
-                      (anti join).
+                      (anti join of the counted keys).
 
 Every check is a distributed aggregate or anti join; nothing is collected.
 """
@@ -106,21 +106,18 @@ def unique_failures(df: DataFrame, model: str, column: str) -> DataFrame:
     return _result(dup.agg(F.count(F.lit(1)).alias("failures")), model, UNIQUE, column)
 
 
-def accepted_values_failures(df: DataFrame, model: str, column: str, values: tuple) -> DataFrame:
-    return accepted_values_many(df, model, [(column, values)])
-
-
 def accepted_values_many(df: DataFrame, model: str, checks: list[tuple[str, tuple]]) -> DataFrame:
     """Every ``(column, allowed values)`` check of one model in a single scan:
-    each row yields one ``(column, offending value)`` per check, NULL unless
-    the value is outside its list; the few offending values are then counted
-    distinct per column."""
+    rows with an offending value yield one ``(column, value)`` per check, and
+    the few offending values are counted distinct per column."""
     cols = [c for c, _ in checks]
     offending = [F.struct(F.lit(i).alias("i"),
                           F.when(rule_expr(c).isNotNull() & ~rule_expr(c).isin(list(vals)),
                                  rule_expr(c).cast("string")).alias("v"))
                  for i, (c, vals) in enumerate(checks)]
-    bad = (df.select(F.explode(F.array(*offending)).alias("x")).select("x.i", "x.v")
+    # only rows with any offending value are unpivoted
+    wrong = reduce(lambda a, b: a | b, [F.coalesce(~rule_expr(c).isin(list(vals)), F.lit(False)) for c, vals in checks])
+    bad = (df.where(wrong).select(F.explode(F.array(*offending)).alias("x")).select("x.i", "x.v")
            .where(F.col("v").isNotNull()).distinct())
     counts = bad.agg(*[F.count_if(F.col("i") == i).alias(f"c{i}") for i in range(len(cols))])
     stacked = counts.select(F.explode(F.array(*[
@@ -132,10 +129,12 @@ def accepted_values_many(df: DataFrame, model: str, checks: list[tuple[str, tupl
 
 def relationships_failures(child: DataFrame, parent: DataFrame, model: str, column: str,
                            to_field: str) -> DataFrame:
-    keys = child.where(F.col(column).isNotNull()).select(F.col(column).alias("__k"))
+    # one row per key on both sides, so a hot key is one row of the join
+    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__k")).count()
     parents = parent.where(F.col(to_field).isNotNull()).select(F.col(to_field).alias("__k")).distinct()
     orphans = keys.join(parents, "__k", "left_anti")
-    return _result(orphans.agg(F.count(F.lit(1)).alias("failures")), model, RELATIONSHIPS, column)
+    failures = F.coalesce(F.sum("count"), F.lit(0)).alias("failures")
+    return _result(orphans.agg(failures), model, RELATIONSHIPS, column)
 
 
 def run_checks(models: Mapping[str, DataFrame], rules: Iterable[Rule] = RULES) -> DataFrame:

@@ -56,8 +56,10 @@ def _touch_select(platform_id: Column, channel: Column, campaign: str, ts: str,
             *resolved[3:]]
 
 
-def ga4_touches(ga4_events: DataFrame, profiles: DataFrame) -> DataFrame:
-    joined = left_lookup(ga4_events, source_id_lookup(profiles, K.SYS_GA4),
+def ga4_touches(ga4_events: DataFrame, profiles: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+    """``lookup``: the written table of ``source_id_lookup``, if there is one (so that AQE can split a hot visitor)."""
+    lookup = source_id_lookup(profiles, K.SYS_GA4) if lookup is None else lookup
+    joined = left_lookup(ga4_events, lookup,
                          lower_trim(F.col("ga_user_id").cast("string")), "source_id", ["event_id"])
     return joined.select(*_touch_select(
         concat_skip_nulls(F.lit(K.PREFIX_GA4), F.col("event_id").cast("string")),
@@ -65,8 +67,10 @@ def ga4_touches(ga4_events: DataFrame, profiles: DataFrame) -> DataFrame:
         F.col("ga_user_id")))
 
 
-def meta_pixel_touches(pixel_events: DataFrame, profiles: DataFrame) -> DataFrame:
-    joined = left_lookup(pixel_events, source_id_lookup(profiles, K.SYS_META_PIXEL),
+def meta_pixel_touches(pixel_events: DataFrame, profiles: DataFrame, lookup: DataFrame | None = None) -> DataFrame:
+    """``lookup``: as for ``ga4_touches``."""
+    lookup = source_id_lookup(profiles, K.SYS_META_PIXEL) if lookup is None else lookup
+    joined = left_lookup(pixel_events, lookup,
                          lower_trim(F.col("fb_external_id").cast("string")), "source_id",
                          ["pixel_event_id"])
     return joined.select(*_touch_select(
@@ -97,11 +101,12 @@ def helpdesk_touches(emails: DataFrame, profiles: DataFrame) -> DataFrame:
         email_lower("from_email")))
 
 
-def enriched_touchpoints(src: RawSources, profiles: DataFrame) -> DataFrame:
+def enriched_touchpoints(src: RawSources, profiles: DataFrame, ga4_lookup: DataFrame | None = None,
+                         pixel_lookup: DataFrame | None = None) -> DataFrame:
     """All touches with ``TOUCH_COLUMNS`` plus ``customer_type, profile_source_system``."""
     parts = [
-        ga4_touches(src.ga4_events, profiles),
-        meta_pixel_touches(src.meta_pixel_events, profiles),
+        ga4_touches(src.ga4_events, profiles, ga4_lookup),
+        meta_pixel_touches(src.meta_pixel_events, profiles, pixel_lookup),
         call_touches(src.calls, profiles),
         helpdesk_touches(src.helpdesk_emails, profiles),
     ]

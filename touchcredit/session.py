@@ -13,6 +13,8 @@ ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split hot keys also where the chained lookups of one key then need another shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -54,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="touchcredit-ckpt-")
+    elif configured.startswith("file:") and not sc.master.startswith("local"):
+        raise RuntimeError(f"spark.checkpoint.dir must be shared by the cluster, not {configured}")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
