@@ -47,6 +47,7 @@ FURNITURE_NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "ad
                    "notices", "notification", "pager", "pagination", "popup", "promo", "promotion", "recommendations",
                    "recommended", "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "skip",
                    "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
+FURNITURE_PREFIXES = ("advert", "adsby", "breadcrumb", "comment", "cookie", "newsletter", "promo", "sidebar", "sponsor", "subscri")
 HEADER_NAMES = {"header", "topbar", "branding"}
 ARTICLE_NAMES = {"article", "post", "entry", "story", "hentry", "maintext"}
 
@@ -73,6 +74,7 @@ def _place(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     role = got.get("role", "").lower()
     article = tag in ("article", "main") or role in ("main", "article") or bool(names & ARTICLE_NAMES)
     bad = tag in FURNITURE_TAGS or role in FURNITURE_ROLES or bool(names & FURNITURE_NAMES)
+    bad = bad or any(x.startswith(FURNITURE_PREFIXES) for x in names)
     if not in_article and not article:
         bad = bad or tag == "header" or bool(names & HEADER_NAMES)
     bad = bad or "hidden" in got or got.get("aria-hidden", "").lower() == "true" or "display:none" in got.get("style", "").replace(" ", "").lower()
