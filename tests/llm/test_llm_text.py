@@ -6,6 +6,7 @@ import base64
 import hashlib
 import math
 import pickle
+import random
 import sys
 import zlib
 from collections import Counter
@@ -272,6 +273,67 @@ def test_ngram_join_equals_brute_force(hard, hard_df):
     assert row_set(got) == Counter(H.jaccard_components(hard))
 
 
+class Stream:
+    """Stands for a sorted, partitioned DataFrame: feeds batches of a few rows to a mapInArrow function."""
+
+    def __init__(self, rows, step, cells=None):
+        self.rows, self.step, self.cells = sorted(rows), step, cells
+
+    def repartition(self, *columns):
+        return self
+
+    def sortWithinPartitions(self, *columns):
+        return self
+
+    def mapInArrow(self, run, schema):
+        def batches():
+            for at in range(0, len(self.rows), self.step):
+                part = list(zip(*self.rows[at:at + self.step]))
+                cols = [pa.array(c, t) for c, t in zip(part, (pa.int64(), pa.int32(), pa.int64(), pa.bool_()))]
+                names = ["gram", "n", "sig", "head"]
+                if self.cells is not None:
+                    cols.append(pa.array([self.cells] * len(cols[0]), pa.binary()))
+                    names.append("cells")
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+        return [tuple(r) for b in run(batches()) for r in zip(*(c.to_pylist() for c in b.columns))]
+
+
+@pytest.mark.parametrize("step", [1, 2, 5, 1000])
+def test_candidate_streams_lose_no_pair(step, monkeypatch):
+    """Groups across batches, small and large: repeats go, lone postings go, admissible pairs stay connected."""
+    rng = random.Random(step)
+    for _ in range(40):
+        monkeypatch.setattr(ngram_join, "GROUP_PAIRS", rng.choice([2, 3, 5]))
+        n = {s: rng.randint(4, 12) for s in range(40)}
+        rows = [(g, n[s], s, rng.random() < 0.7) for g in range(rng.randint(1, 25)) for s in rng.sample(range(40), rng.choice([1, 1, 2, 3, 4, 9]))]
+        shared = ngram_join.shared_postings(Stream(rows + rng.sample(rows, len(rows) // 3), step))
+        counts = Counter(r[0] for r in rows)
+        assert sorted(shared) == sorted(r for r in rows if counts[r[0]] > 1)
+        part = {s: s for s in n}
+
+        def find(x):
+            while part[x] != x:
+                x = part[x]
+            return x
+
+        for a, b in ngram_join.candidates(Stream(shared, step, bytes([255] * ngram_join.SUMMARY)), 85):
+            part[find(a)] = find(b)
+        for k, x in enumerate(sorted(shared)):
+            for y in sorted(shared)[k + 1:]:
+                if x[0] == y[0] and x[3] and 100 * x[1] >= 85 * y[1]:
+                    assert find(x[2]) == find(y[2])
+
+
+def test_summary_bounds_the_intersection():
+    rng = np.random.default_rng(0)
+    pool = rng.integers(0, 1 << 62, 60_000).astype(np.uint64)
+    sets = [np.unique(rng.choice(pool, k)) for k in (1, 5, 300, 3000, 30_000, 50_000)]
+    rows = np.array([np.frombuffer(ngram_join.summary(s), dtype=np.uint8) for s in sets])
+    for a in range(len(sets)):
+        bound = ngram_join.shared_at_most(np.repeat(rows[a:a + 1], len(sets), axis=0), rows)
+        assert all(x >= len(np.intersect1d(sets[a], s)) for x, s in zip(bound, sets))
+
+
 def test_ngram_join_of_large_clusters(spark, monkeypatch):
     """Many near copies of one text in small chunks: all three rounds, stragglers included."""
     ensure_importable(spark)

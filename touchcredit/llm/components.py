@@ -71,7 +71,8 @@ def connected_components(edges: DataFrame, ws: Workspace, name: str = "cc") -> D
     a, b = (F.col(f"`{c}`") for c in edges.columns[:2])
     links = edges.select(a.cast("long").alias("a"), b.cast("long").alias("b")).filter("a <> b")
     stars = ws.keep(contract(links).distinct(), f"{name}-0")
-    state, step = None, 0
+    digest = lambda df: tuple(df.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    state, step = digest(stars), 0
     while True:
         # large star: a node's larger neighbours point to its smallest one
         both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -85,7 +86,7 @@ def connected_components(edges: DataFrame, ws: Workspace, name: str = "cc") -> D
                  .unionByName(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct())
         step += 1
         stars = ws.keep(small, f"{name}-{step}")
-        now = tuple(stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        now = digest(stars)
         if now == state:
             return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 stars.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

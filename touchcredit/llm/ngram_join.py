@@ -6,10 +6,15 @@
    order makes prefix filtering exact, the counts only make it selective. Each
    class posts the first n - ceil(t*n) + 1 shingles of its set: two sets that
    reach the threshold share one of them.
-3. Postings meet by shingle, sorted by set size. Neighbours in that order are
-   chained while the length filter allows it; a gap rules out every pair across
-   it. That is linear in the postings, however large a group is. The connected
-   chains are the candidate clusters.
+3. Postings meet by shingle, sorted by set size; those that share one are kept
+   and get a small histogram of their set. By the positional filter the smaller
+   set of a pair holds its first shared shingle within its shorter index prefix.
+   Within a group of up to ``GROUP_PAIRS`` sets, the pairs that pass the length,
+   positional and histogram (suffix) filters are candidates. In a larger group a
+   posting is chained to the nearest index posting before it that the length
+   filter allows; index postings of one length range are chained to each other
+   that way, so no pair is lost and the work stays linear in the postings,
+   however large a group is. The connected candidates are the clusters.
 4. Texts of a cluster meet in chunks of bounded size, and a task verifies the
    pairs that share a prefix shingle and pass the length, positional and suffix
    filters, once each and only while the two are not connected yet. Large
@@ -30,7 +35,9 @@ not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +46,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from touchcredit.llm.common import Workspace, free_name
-from touchcredit.llm.components import connected_components, local_components
+from touchcredit.llm.components import connected_components
 from touchcredit.llm.textscan import find_words, hash_words, mix64, text_slices
 
-SKETCH_BITS = 18
+SKETCH_BITS = 20
+#: Cells of a packed piece of the sketch.
+PIECE = 1 << 12
 #: Members and shingles of a chunk, on average.
 CHUNK_ROWS = 512
 CHUNK_SHINGLES = 400_000
 HISTOGRAM_BITS = 4
+#: Sets that share a shingle, up to which their pairs are filtered one by one.
+GROUP_PAIRS = 48
+#: Cells of the histogram that travels with a posting.
+SUMMARY = 128
 
 _PLACE = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64)) for k in range(64)]     # odd, one per word of a shingle
 _SHORT = np.uint64(0xD6E8FEB86659FD93)
@@ -94,30 +107,62 @@ def sketch_cell(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
+def summary(grams: np.ndarray) -> bytes:
+    """Counts of the set's members by cell; 255 stands for that many or more."""
+    return np.minimum(np.bincount((grams % np.uint64(SUMMARY)).astype(np.int64), minlength=SUMMARY), 255).astype(np.uint8).tobytes()
+
+
+def shared_at_most(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Upper bound of the intersection of sets with these summaries (rows)."""
+    least = np.minimum(a, b)
+    return np.where((least == 255).any(axis=1), np.iinfo(np.int64).max, least.sum(axis=1, dtype=np.int64))
+
+
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (doc_id, n, sig) of every document, and (cell, count) of each partition's shingle sketch."""
+    """Rows (doc_id, n, sig, cells: histogram of the set) of every document, and (piece, cells) of each partition's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        names = ["doc_id", "n", "sig", "cell"]
+        names = ["doc_id", "n", "sig", "piece", "cells"]
         for batch in batches:
-            sizes, sigs = [], []
+            sizes, sigs, summaries = [], [], []
             for _, _, data, offs in text_slices(batch.column(1)):
+                cells = []
                 for grams in shingle_sets(data, offs, words):
                     sizes.append(len(grams))
+                    summaries.append(summary(grams))
                     sigs.append(signature(grams) if len(grams) else None)
-                    np.add.at(sketch, sketch_cell(grams), 1)
+                    cells.append(sketch_cell(grams))
+                sketch += np.bincount(np.concatenate(cells), minlength=len(sketch))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sigs, pa.int64()),
-                                              pa.nulls(len(sizes), pa.int32())], names=names)
-        at = np.flatnonzero(sketch)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.int64()), pa.array(sketch[at]), pa.nulls(len(at), pa.int64()),
-                                          pa.array(at.astype(np.int32))], names=names)
+                                              pa.nulls(len(sizes), pa.int32()), pa.array(summaries, pa.binary())], names=names)
+        pieces = range(len(sketch) // PIECE)
+        packed = [zlib.compress(sketch[k * PIECE:(k + 1) * PIECE].tobytes(), 1) for k in pieces]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(packed), pa.int64()), pa.nulls(len(packed), pa.int64()), pa.nulls(len(packed), pa.int64()),
+                                          pa.array(list(pieces), pa.int32()), pa.array(packed, pa.binary())], names=names)
+
+    return docs.mapInArrow(run, "doc_id long, n long, sig long, piece int, cells binary")
+
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig long, cell int")
+def summed_sketch(pieces: DataFrame) -> np.ndarray:
+    """The sketch of all partitions: pieces are added up in a stream, so only sums are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                sums[k] = sums.get(k, 0) + np.frombuffer(zlib.decompress(cells), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
+                                         names=["piece", "cells"])
+
+    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
+    for k, cells in pieces.repartition("piece").mapInArrow(run, "piece int, cells binary").collect():    # fixed size
+        counts[k * PIECE:(k + 1) * PIECE] = np.frombuffer(bytes(cells), dtype=np.int64)
+    return counts
 
 
 def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(gram, n, sig) of the prefix of every document's set; copies within a task post once."""
+    """(gram, n, sig, head) of the prefix of every document's set, ``head`` for its index prefix; copies within a task post once."""
     sent = docs.sparkSession.sparkContext.broadcast(counts)       # 2**SKETCH_BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +170,7 @@ def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> D
         seen: set[int] = set()
         for batch in batches:
             for _, _, data, offs in text_slices(batch.column(1)):
-                grams_out, n_out, sig_out = [], [], []
+                grams_out, n_out, sig_out, head_out = [], [], [], []
                 for grams in shingle_sets(data, offs, words):
                     n = len(grams)
                     if not n:
@@ -141,28 +186,109 @@ def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> D
                     grams_out.append(grams[np.argsort(count, kind="stable")[:p]])   # ties by hash: grams are sorted
                     n_out.append(np.full(p, n))
                     sig_out.append(np.full(p, sig))
+                    # with a partner of this size or larger, the first shared one has need <= n - position
+                    head_out.append(np.arange(p) <= n - -(-2 * percent * n // (100 + percent)))
                 if grams_out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(grams_out).view(np.int64)), pa.array(np.concatenate(n_out).astype(np.int32)),
-                         pa.array(np.concatenate(sig_out))], names=["gram", "n", "sig"])
+                         pa.array(np.concatenate(sig_out)), pa.array(np.concatenate(head_out))], names=["gram", "n", "sig", "head"])
 
-    return docs.mapInArrow(run, "gram long, n int, sig long")
+    return docs.mapInArrow(run, "gram long, n int, sig long, head boolean")
 
 
-def chains(posted: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between neighbours by set size that share a prefix shingle and pass the length filter."""
+def shared_postings(posted: DataFrame) -> DataFrame:
+    """The postings, once each, whose shingle several sets have posted."""
+    names = ["gram", "n", "sig", "head"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gram, n, sig = (np.zeros(0, np.int64) for _ in range(3))
+        held = None                            # the last posting so far, and whether it is known to be shared
         for batch in batches:
-            gram = np.concatenate([gram[-1:], batch.column(0).to_numpy()])     # with the last row so far
-            n = np.concatenate([n[-1:], batch.column(1).to_numpy()])
-            sig = np.concatenate([sig[-1:], batch.column(2).to_numpy()])
-            near = (gram[1:] == gram[:-1]) & (sig[1:] != sig[:-1]) & (100 * n[:-1].astype(np.int64) >= percent * n[1:].astype(np.int64))
-            pairs = np.unique(np.stack([sig[:-1][near], sig[1:][near]], axis=1), axis=0)
+            cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            if held is not None:
+                cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+            gram, sig = cols[0], cols[2]
+            new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (sig[1:] != sig[:-1])])
+            cols = [c[new] for c in cols]
+            gram = cols[0]
+            same = gram[1:] == gram[:-1]
+            shared = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+            # the last one waits: it may repeat or be shared in the next batch
+            if held is not None and carried and len(gram) > 1:
+                shared[0] = True
+            carried = bool(shared[-1]) or (held is not None and carried and len(gram) == 1)
+            out = shared[:-1]
+            yield pa.RecordBatch.from_arrays([pa.array(c[:-1][out]) for c in cols], names=names)
+            held = [c[-1:] for c in cols]
+        if held is not None and carried:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
+
+    return posted.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(run, "gram long, n int, sig long, head boolean")
+
+
+def candidates(shared: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b): filtered pairs of small groups, chains of large ones. ``shared``: postings with ``cells``, the summary."""
+
+    def pairs_of(cols: list[np.ndarray], first: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+        _, n, sig, head, cells = cols
+        for k in np.unique(size[size > 1]):
+            lo, hi = np.triu_indices(int(k), 1)
+            at = first[size == k]
+            step = max(1, 200_000 // len(lo))
+            for s in range(0, len(at), step):
+                x, y = (at[s:s + step, None] + lo).ravel(), (at[s:s + step, None] + hi).ravel()
+                near = head[x] & (100 * n[x] >= percent * n[y])
+                x, y = x[near], y[near]
+                need = -(-percent * (n[x] + n[y]) // (100 + percent))
+                x, y = (v[shared_at_most(cells[x], cells[y]) >= need] for v in (x, y))
+                yield np.stack([sig[x], sig[y]], axis=1)
+
+    def chain_of(cols: list[np.ndarray]) -> np.ndarray:
+        gram, n, sig, head, _ = cols
+        before = np.concatenate([[-1], np.maximum.accumulate(np.where(head, np.arange(len(head)), -1))[:-1]])
+        y = np.flatnonzero(before >= 0)
+        x = before[y]
+        near = (gram[x] == gram[y]) & (100 * n[x] >= percent * n[y])
+        return np.stack([sig[x[near]], sig[y[near]]], axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None   # the last group so far, or of a large one its last index posting
+        large = False
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
+                cols[1] = cols[1].astype(np.int64)
+                cols.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint8).reshape(-1, SUMMARY))
+                if not len(cols[0]):
+                    continue
+                if held is not None:
+                    cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
+            elif held is None:
+                return
+            else:
+                cols = held
+            gram = cols[0]
+            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+            size = np.diff(np.append(first, len(gram)))
+            big = size > GROUP_PAIRS
+            big[0] |= large
+            if batch is not None and not big[-1]:                  # the last group may go on
+                done = first[-1]
+                held, large = [c[done:] for c in cols], False
+                first, size, big = first[:-1], size[:-1], big[:-1]
+            else:
+                done = len(gram)
+                last = np.flatnonzero(cols[3][first[-1]:])[-1:] + first[-1]
+                held, large = [c[last] for c in cols] if len(last) else None, len(last) > 0
+                if batch is None:
+                    held = None
+            found = [np.zeros((0, 2), np.int64), *pairs_of(cols, first[~big], size[~big])]
+            inside = np.repeat(big, size)
+            if inside.any():
+                found.append(chain_of([c[:done][inside] for c in cols]))
+            pairs = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
-    return posted.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(run, "a long, b long")
+    return shared.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(run, "a long, b long")
 
 
 class Sets:
@@ -243,32 +369,32 @@ def linked_labels(sets: list[np.ndarray], label: np.ndarray, allowed, percent: i
     return np.array([find(p) for p in parent.tolist()], dtype=np.int64)
 
 
-def verify(tasks: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links (a, b) found by the tasks: rows (cluster, task, part, side, chunk, label, sig, text).
+def verify(tasks: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) found by the tasks: rows (cluster, task, part, side, chunk, last, sig, text).
 
     A pair is looked at if it has a row of each side, or any pair if all rows have side 0;
-    between sides, members of one chunk, and of the first chunk with any, have met before.
+    between sides, members of one chunk have met before, and in the last round so has the
+    first chunk with all others. ``labels``: the components known so far, dealt to the same tasks.
     """
 
-    def run(table: pa.Table) -> pa.Table:
-        column = table["text"].combine_chunks()
+    def run(table: pa.Table, known: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
         sets: list[np.ndarray] = []
-        for _, _, data, offs in text_slices(column):
+        for _, _, data, offs in text_slices(table["text"]):
             sets.extend(shingle_sets(data, offs, words))
         sig, side = table["sig"].to_numpy(), table["side"].to_numpy()
-        chunk, last = table["chunk"].to_numpy(), table["last"].to_numpy()
         # one row per set and side, whose text is the one that was classed (an id may repeat with another text)
         right = np.array([len(s) > 0 and signature(s) == g for s, g in zip(sets, sig)], dtype=bool)
         at = np.flatnonzero(right)
         _, first = np.unique(np.stack([sig[at], side[at]]), axis=1, return_index=True)
         at = at[np.sort(first)]
         sets = [sets[i] for i in at]
-        sig, side, chunk, last, label = sig[at], side[at], chunk[at], last[at], table["label"].to_numpy()[at]
-        names, code = np.unique(np.concatenate([label, sig]), return_inverse=True)
-        # rows that share a label or a signature are connected already
-        known = local_components(len(names), code[:len(sig)], code[len(sig):])[code[len(sig):]]
-        roots, known = np.unique(known, return_inverse=True)
-        start = np.array([np.flatnonzero(known == k)[0] for k in range(len(roots))], dtype=np.int64)[known] if len(sig) else known
+        sig, side, chunk, last = sig[at], side[at], table["chunk"].to_numpy()[at], table["last"].to_numpy()[at]
+        # rows of one signature or one label are connected already: start from the first row of each
+        label = dict(zip(known["sig"].to_pylist(), known["label"].to_pylist()))
+        place: dict[int, int] = {}
+        start = np.array([place.setdefault(label.get(g, g), i) for i, g in enumerate(sig.tolist())], dtype=np.int64)
         two = side.max(initial=0) > 0
 
         def allowed(i: int, others: np.ndarray) -> np.ndarray:
@@ -281,7 +407,34 @@ def verify(tasks: DataFrame, words: int, percent: int) -> DataFrame:
         moved = np.flatnonzero(found != np.arange(len(found)))
         return pa.table({"a": pa.array(sig[moved]), "b": pa.array(sig[found[moved]])})
 
-    return tasks.groupBy("cluster", "task", "part").applyInArrow(run, "a long, b long")
+    told = labels.select(F.col("cluster").alias("of_cluster"), F.col("task").alias("of_task"), F.col("part").alias("of_part"), "sig", "label")
+    return (tasks.groupBy("cluster", "task", "part").cogroup(told.groupBy("of_cluster", "of_task", "of_part"))
+            .applyInArrow(run, "a long, b long"))
+
+
+def to_first_chunk(rows: DataFrame, *payload: str) -> DataFrame:
+    """Tasks of the second round: every further chunk of a cluster with its first one."""
+    cols = ["chunk", F.lit(False).alias("last"), "sig", *payload]
+    others = rows.filter("chunk > 0").select("cluster", F.col("chunk").alias("task"), F.lit(0).alias("part"), F.lit(0).alias("side"), *cols)
+    hub = rows.filter("chunk = 0").withColumn("task", F.explode(F.sequence(F.lit(1), F.col("chunks") - 1)))
+    return others.unionByName(hub.select("cluster", "task", F.lit(0).alias("part"), F.lit(1).alias("side"), *cols))
+
+
+def to_outsiders(rows: DataFrame, outside: DataFrame, *payload: str) -> DataFrame:
+    """Tasks of the last round: parts of the outsiders of a cluster with each of its further chunks.
+
+    ``outside``: (out_sig, of_cluster, parts), the members outside their cluster's main component.
+    """
+    cols = ["chunk", F.lit(True).alias("last"), "sig", *payload]
+    parts = outside.select("of_cluster", "parts").distinct()
+    others = (rows.filter("chunk > 0").join(parts, F.col("cluster") == F.col("of_cluster"))
+              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+              .select("cluster", F.col("chunk").alias("task"), "part", F.lit(0).alias("side"), *cols))
+    part = F.pmod(F.xxhash64("sig", F.lit(1)), F.col("parts")).cast("int")
+    asks = (rows.join(outside, F.col("sig") == F.col("out_sig"))
+            .withColumn("task", F.explode(F.sequence(F.lit(1), F.col("chunks") - 1)))
+            .select("cluster", "task", part.alias("part"), F.lit(1).alias("side"), *cols))
+    return others.unionByName(asks)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
@@ -326,13 +479,16 @@ def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     ws = Workspace(docs.sparkSession, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = ws.keep(fingerprints(docs, words), "fingerprints")
-    rows = prints.filter("cell is null").select("doc_id", "n", "sig")
-    cells = prints.filter("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()   # fixed size
-    counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+    rows = prints.filter("piece is null").select("doc_id", "n", "sig")
+    summaries = prints.filter("piece is null and sig is not null").select(F.col("sig").alias("of"), "cells")
+    counts = summed_sketch(prints.filter("piece is not null").select("piece", "cells"))
 
     classes = ws.keep(rows.filter("sig is not null").groupBy("sig").agg(F.max("n").alias("n"), F.min("doc_id").alias("least")), "classes")
-    links = ws.keep(chains(postings(docs, counts, words, percent), percent), "chains")
+    shared = ws.keep(shared_postings(postings(docs, counts, words, percent)), "shared")
+    # one summary of each set that shares a shingle
+    some = summaries.join(shared.select("sig").distinct(), F.col("of") == F.col("sig"), "left_semi").groupBy("of").agg(F.max("cells").alias("cells"))
+    known = ws.keep(some, "summaries")
+    links = ws.keep(candidates(shared.join(known, F.col("sig") == F.col("of")).select("gram", "n", "sig", "head", "cells"), percent), "candidates")
     clusters = connected_components(links, ws, "clusters").withColumnRenamed("root", "cluster")
     members = ws.keep(clusters.join(classes, F.col("node") == F.col("sig")).select("cluster", "sig", "n", "least"), "members")
     sizes = members.groupBy(F.col("cluster").alias("of_cluster")).agg(
@@ -343,37 +499,32 @@ def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
         "cluster", "sig", "chunks", "chunk", "text")
     texts = ws.keep(texts, "texts")
 
-    def row(task, part, side: int, last: bool, label="sig") -> list:
-        return ["cluster", task.alias("task"), part.alias("part"), F.lit(side).alias("side"), "chunk",
-                F.lit(last).alias("last"), F.col(label).alias("label"), "sig", "text"]
-
-    zero = F.lit(0)
-    found = ws.keep(verify(texts.select(*row(F.col("chunk"), zero, 0, False)), words, percent), "within")
-    large = texts.filter("chunks > 1")
-    if large.limit(1).count():
+    # members by their narrow columns: labels travel to the tasks without the texts
+    places = texts.select("cluster", "sig", "chunks", "chunk")
+    alone = ["cluster", F.col("chunk").alias("task"), F.lit(0).alias("part"), F.lit(0).alias("side"), "chunk", F.lit(False).alias("last"), "sig"]
+    found = ws.keep(verify(texts.select(*alone, "text"), places.limit(0).select(*alone, F.col("sig").alias("label")), words, percent), "within")
+    large, large_places = texts.filter("chunks > 1"), places.filter("chunks > 1")
+    if large_places.limit(1).count():
         def labelled(name: str) -> DataFrame:
             roots = connected_components(found, ws, name)
-            return ws.keep(large.join(roots, F.col("sig") == F.col("node"), "left")
-                           .select(*large.columns, F.coalesce("root", "sig").alias("label")), f"{name}-labels")
+            return ws.keep(large_places.join(roots, F.col("sig") == F.col("node"), "left")
+                           .select(*large_places.columns, F.coalesce("root", "sig").alias("label")), f"{name}-labels")
 
         now = labelled("round2")
-        hub = now.filter("chunk = 0").withColumn("to", F.explode(F.sequence(F.lit(1), F.col("chunks") - 1)))
-        tasks = now.filter("chunk > 0").select(*row(F.col("chunk"), zero, 0, False, "label")).unionByName(
-            hub.select(*row(F.col("to"), zero, 1, False, "label")))
-        found = ws.keep(found.unionByName(verify(tasks, words, percent)), "with-first")
+        open_ = now.groupBy(F.col("cluster").alias("open")).agg(F.countDistinct("label").alias("n")).filter("n > 1").select("open")
+        pick = lambda df: df.join(open_, F.col("cluster") == F.col("open"), "left_semi")
+        found = ws.keep(found.unionByName(verify(to_first_chunk(pick(large), "text"), to_first_chunk(pick(now), "label"), words, percent)),
+                        "with-first")
         now = labelled("round3")
         main = (now.groupBy("cluster", "label").count().groupBy(F.col("cluster").alias("of_cluster"))
                 .agg(F.max_by("label", F.struct("count", "label")).alias("main")))
-        rest = now.join(main, F.col("cluster") == F.col("of_cluster")).filter("label <> main").drop("of_cluster", "main")
+        rest = now.join(main, F.col("cluster") == F.col("of_cluster")).filter("label <> main").select(F.col("sig").alias("out_sig"), "of_cluster")
         rest = ws.keep(rest, "outside")
-        parts = rest.groupBy(F.col("cluster").alias("of_cluster")).agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("parts"))
-        rest = rest.join(parts, F.col("cluster") == F.col("of_cluster")).drop("of_cluster")
-        part = F.pmod(F.xxhash64("sig", F.lit(1)), F.col("parts")).cast("int")
-        asks = rest.withColumn("to", F.explode(F.sequence(F.lit(1), F.col("chunks") - 1))).select(*row(F.col("to"), part, 1, True, "label"))
-        others = (now.filter("chunk > 0").join(parts, F.col("cluster") == F.col("of_cluster"))
-                  .withColumn("to", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-                  .select(*row(F.col("chunk"), F.col("to"), 0, True, "label")))
-        found = ws.keep(found.unionByName(verify(others.unionByName(asks), words, percent)), "all-links")
+        if rest.limit(1).count():
+            parts = rest.groupBy(F.col("of_cluster").alias("c")).agg(F.ceil(F.count("*") / CHUNK_ROWS).cast("int").alias("parts"))
+            outside = ws.keep(rest.join(parts, F.col("of_cluster") == F.col("c")).select("out_sig", "of_cluster", "parts"), "parts")
+            found = ws.keep(found.unionByName(verify(to_outsiders(large, outside, "text"), to_outsiders(now, outside, "label"), words, percent)),
+                            "all-links")
 
     roots = connected_components(found, ws, "components").select(F.col("node"), "root")
     named = ws.keep(classes.join(roots, F.col("sig") == F.col("node"), "left")
