@@ -268,6 +268,14 @@ def row_set(df):
     return Counter((None if a != a else int(a), int(b), None if c != c else int(c)) for a, b, c in df.itertuples(index=False))
 
 
+def test_shingle_hashes_tell_orders_apart():
+    """All shingles over a tiny vocabulary: no two of them, in any order of the words, share a hash."""
+    from itertools import product
+    grams = [" ".join(w) for size in (1, 2, 3, 4) for w in product("abcde", repeat=size)]
+    seen = [int(g[0]) for _, _, data, offs in textscan.text_slices(pa.array(grams)) for g in ngram_join.shingle_sets(data, offs, 4)]
+    assert len(set(seen)) == len(grams)
+
+
 def test_ngram_join_equals_brute_force(hard, hard_df):
     got = ngram_join.near_duplicates(hard_df).select("doc_id", "n_shingles", "component_id").toPandas()
     assert row_set(got) == Counter(H.jaccard_components(hard))

@@ -61,7 +61,9 @@ GROUP_PAIRS = 48
 #: Cells of the histogram that travels with a posting.
 SUMMARY = 128
 
-_PLACE = [np.uint64(0x9E3779B97F4A7C15 * (2 * k + 1) % (1 << 64)) for k in range(64)]     # odd, one per word of a shingle
+#: One odd multiplier per word of a shingle. They must not be multiples of one another, or
+#: shingles with the same words in another order can meet.
+_PLACE = list(mix64(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1))
 _SHORT = np.uint64(0xD6E8FEB86659FD93)
 
 
