@@ -160,6 +160,26 @@ def test_suffix_tree_empty(hard_df):
     assert suffix_tree.score_documents(hard_df.limit(0)).count() == 0
 
 
+def test_suffix_tree_grows_with_the_input(spark):
+    """Ten times the topics: ten times the contexts and pairs, and each still scores its follower, however small its share of the text."""
+    ensure_importable(spark)
+    kept = {}
+    for topics in (20, 200):
+        rows = [(2 * k, " ".join(f"a{k} b{k} f{(7 * j + k) % 50}" for j in range(300))) for k in range(topics)]
+        rows += [(2 * k + 1, f"a{k} b{k}") for k in range(topics)]
+        docs, train = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), F.col("doc_id") % 2 == 0
+        deep, flat = (suffix_tree.score(docs, train, p_min=0.5, depth=depth).filter("not train").toPandas().set_index("doc_id")["score"]
+                      for depth in (3, 0))
+        # b follows a in all of 300 sightings
+        assert len(deep) == topics and (deep - flat > 0.5 * math.log10(topics)).all()
+        ws = suffix_tree.Workspace(spark, "growth")
+        blocks = ws.keep(suffix_tree.pack_blocks(docs.withColumn("train", train)), "blocks")
+        _, told = suffix_tree.grow(blocks, ws.keep(suffix_tree.count_words(blocks), "counts"), ws, p_min=0.5)
+        kept[topics] = {kind: len({x for d in told for r in d.filter(F.col("kind") == kind).collect()
+                                   for x in np.frombuffer(r["keys"], dtype=np.uint64).tolist()}) for kind in ("states1", "pairs1")}
+    assert all(kept[200][kind] > 8 * kept[20][kind] > 0 for kind in kept[200])
+
+
 # -- 4 quality ---------------------------------------------------------------------------------------------
 
 def test_quality_statistics_match_plain_counts(hard):
