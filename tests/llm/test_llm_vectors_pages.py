@@ -173,6 +173,37 @@ def test_extraction_of_hard_pages(spark):
     assert len(got) == len(rows) and extract.extract(df.limit(0)).count() == 0
 
 
+LONG = "This paragraph tells a part of the whole story in some more words than a short line of a menu would ever have."
+
+
+@pytest.mark.parametrize("opening, closing", [
+    ("<main class='has-sidebar'>", "</main>"), ("<main id='search-main' class=social>", "</main>"),
+    ("<article class='post category-social'>", "</article>"), ("<article class='post tag-search'>", "</article>"),
+    ("<article class='post'><p>One.</p></article><article class='post share-buttons'>", "</article>"),
+    ("<div id='page-nav-wrap'><article>", "</article></div>"), ("<div id='page-nav-wrap'><main>", "</main></div>"),
+    ("<form id=aspnet><div class=sidebar-page><div role='main'>", "</div></div></form>"),
+    ("<div class='page comments-open'><main>", "</main></div>")])
+def test_layout_names_do_not_hide_the_article(opening, closing):
+    page = f"""<body><div class="menu"><a href=x>Home</a></div>{opening}<h1>A title</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>
+    <div class="share">Share this</div>{closing}<section id="comments"><article class="comment-body"><p>{LONG}</p></article></section>
+    <div class="sidebar"><p>{LONG}</p></div></body>"""
+    want = " ".join((["One."] if "One." in opening else []) + ["A title", LONG, LONG, LONG])
+    assert extract.main_text(page, extract.train()) == want
+
+
+@pytest.mark.parametrize("opening", ["<div class='content with-sidebar'>", "<div id='page-nav-wrap'>"])
+def test_layout_names_without_an_article(opening):
+    page = f"<body><div class=menu><a href=x>Home</a></div>{opening}<p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><div class=sidebar><p>{LONG}</p></div></body>"
+    assert extract.main_text(page, extract.train()) == " ".join([LONG] * 3)
+
+
+def test_furniture_names_still_hide():
+    page = f"""<article><p>{LONG}</p></article><div class=sidebar><article><p>{LONG} Other.</p></article></div>
+    <article class=sponsored><p>{LONG} Paid.</p></article><div id=comments><article class=comment><p>{LONG} Said.</p></article></div>"""
+    assert extract.main_text(page, extract.train()) == LONG
+    assert extract.main_text(f"<div class=cookie-notice><p>{LONG}</p></div>", extract.train()) == ""
+
+
 # -- 6 archives -----------------------------------------------------------------------------------------------
 
 def hard_pages():

@@ -6,6 +6,9 @@ two hints of its place: whether it lies in an article container, and whether a
 container or its class, id or role names boilerplate. A decision tree (Gini
 splits) grown on a small labelled table tells main text from the rest.
 
+Names are weak hints: a container that holds the page's main or article element,
+or most of its running text, is not boilerplate by its class or id alone.
+
 Defined cases: null or empty html gives empty text; unclosed and stray tags,
 comments and cut-off pages are read as far as they go; character references are
 decoded as browsers do; an empty table gives an empty result; repeated rows give
@@ -48,6 +51,13 @@ FURNITURE_NAMES = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "ad
                    "recommended", "related", "replies", "reply", "search", "share", "sharing", "sidebar", "signup", "skip",
                    "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"}
 FURNITURE_PREFIXES = ("advert", "adsby", "breadcrumb", "comment", "cookie", "newsletter", "promo", "sidebar", "sponsor", "subscri")
+#: Of those, names of parts that may hold article elements of their own; the others say nothing about an article or main element.
+SECOND_NAMES = {"ad", "ads", "adv", "related", "recommended", "recommendations", "replies", "reply", "disqus"}
+SECOND_PREFIXES = ("advert", "adsby", "comment", "promo", "sponsor")
+#: First parts of class names that tell a layout or a topic, not what the element is.
+MODIFIERS = {"has", "with", "without", "no", "not", "is", "category", "cat", "tag", "type", "format", "status", "layout"}
+#: A named container with this share of the page's unlinked words, and this many paragraphs of so many words, is no furniture.
+MOST, PARAGRAPHS, PARAGRAPH_WORDS = 0.5, 3, 12
 HEADER_NAMES = {"header", "topbar", "branding"}
 ARTICLE_NAMES = {"article", "post", "entry", "story", "hentry", "maintext"}
 
@@ -64,29 +74,62 @@ _NAME = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _place(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """(opens an article container, is named as boilerplate)."""
+def _place(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, str]:
+    """(opens an article container, is boilerplate, "" or how its name hints at boilerplate: "weak", "second")."""
     got = {}
     if attrs:
         for m in _ATTR.finditer(attrs):
             got.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
-    names = set(_NAME.findall(_CAMEL.sub(" ", " ".join((got.get("class", ""), got.get("id", "")))).lower()))
+    parts = [_NAME.findall(_CAMEL.sub(" ", x).lower()) for x in (got.get("class", "") + " " + got.get("id", "")).split()]
+    parts = [x for x in parts if x and not (len(x) > 1 and x[0] in MODIFIERS)]
+    names = {y for x in parts for y in x}
     role = got.get("role", "").lower()
-    article = tag in ("article", "main") or role in ("main", "article") or bool(names & ARTICLE_NAMES)
-    bad = tag in FURNITURE_TAGS or role in FURNITURE_ROLES or bool(names & FURNITURE_NAMES)
-    bad = bad or any(x.startswith(FURNITURE_PREFIXES) for x in names)
+    explicit = tag in ("article", "main") or role in ("main", "article")
+    article = explicit or bool(names & ARTICLE_NAMES)
+    bad = tag in FURNITURE_TAGS - {"form"} or role in FURNITURE_ROLES
     if not in_article and not article:
-        bad = bad or tag == "header" or bool(names & HEADER_NAMES)
+        bad = bad or tag == "header"
     bad = bad or "hidden" in got or got.get("aria-hidden", "").lower() == "true" or "display:none" in got.get("style", "").replace(" ", "").lower()
-    return article, bad
+    if explicit:
+        # only what the element is called, not words inside the name
+        second = tag != "main" and role != "main" and any(x[0] in SECOND_NAMES or x[0].startswith(SECOND_PREFIXES) for x in parts)
+        return article, bad, "second" if second else ""
+    if any(x in SECOND_NAMES or x.startswith(SECOND_PREFIXES) for x in names):
+        return article, bad, "second"
+    weak = tag == "form" or bool(names & FURNITURE_NAMES) or any(x.startswith(FURNITURE_PREFIXES) for x in names)
+    weak = weak or not in_article and not article and bool(names & HEADER_NAMES)
+    return article, bad, "weak" if weak else ""
+
+
+def excused(hints: list[str], found: list[tuple], holders: list[tuple[bool, tuple[int, ...]]]) -> set[int]:
+    """Numbers of the name hints that do not count.
+
+    ``found``: blocks (text, words, words in links, in article, boilerplate, numbers of its containers' hints);
+    ``holders``: of each article or main element outside boilerplate, (is main, numbers of the hints).
+    """
+    out = {k for main, at in holders if main for k in at}
+    chains = [{k for k in at if k not in out} for _, at in holders]
+    if chains and all(chains):                         # no article free of hints: those around the least hidden ones go
+        open_ = [c for c in chains if all(hints[k] == "weak" for k in c)]
+        least = min((len(c) for c in open_), default=0)
+        out |= {k for c in open_ if len(c) == least for k in c}
+    total = sum(b[1] - b[2] for b in found)
+    for k, hint in enumerate(hints):
+        if hint == "weak" and k not in out:
+            inside = [b for b in found if k in b[5] and not b[4] and not any(hints[i] == "second" for i in b[5])]
+            if sum(b[1] - b[2] for b in inside) > MOST * total and sum(b[1] >= PARAGRAPH_WORDS and 2 * b[2] < b[1] for b in inside) >= PARAGRAPHS:
+                out.add(k)
+    return out
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """Flat blocks in page order: (text, words, words in links, in article, named as boilerplate)."""
-    out: list[tuple[str, int, int, bool, bool]] = []
+    out: list[tuple[str, int, int, bool, bool, tuple[int, ...]]] = []
+    hints: list[str] = []
+    holders: list[tuple[bool, tuple[int, ...]]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []           # (tag, in article, boilerplate), inherited downwards
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []   # (tag, in article, boilerplate, name hints), inherited downwards
     links = 0
     skip = ""                                          # the dropped element we are in, and how deep
     depth = 0
@@ -95,11 +138,16 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                article, bad = stack[-1][1:] if stack else (False, False)
-                out.append((text, text.count(" ") + 1, len("".join(linked).split()), article, bad))
+                article, bad, named = stack[-1][1:] if stack else (False, False, ())
+                out.append((text, text.count(" ") + 1, len("".join(linked).split()), article, bad, named))
             parts.clear()
             linked.clear()
 
+    def hinted(named: tuple[int, ...], hint: str) -> tuple[int, ...]:
+        if hint:
+            hints.append(hint)
+        return (*named, len(hints) - 1) if hint else named
+
     def add(text: str) -> None:
         if text and not skip:
             text = entities.unescape(text)
@@ -149,17 +197,29 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                             del stack[i:]
                             break
                 elif not attrs.endswith("/"):
-                    article, bad = stack[-1][1:] if stack else (False, False)
-                    here, named = _place(tag, attrs, article)
-                    stack.append((tag, article or here, bad or named))
+                    article, bad, named = stack[-1][1:] if stack else (False, False, ())
+                    here, furniture, hint = _place(tag, attrs, article)
+                    stack.append((tag, article or here, bad or furniture, hinted(named, hint)))
+                    if here and not stack[-1][2] and (main := _explicit(tag, attrs)):
+                        holders.append((main == "main", stack[-1][3]))
             elif not closing and attrs and tag not in VOID and tag not in ("html", "body"):
-                _, named = _place(tag, attrs, True)    # a named paragraph or list item is a block of its own
-                if named:
-                    stack.append((tag, stack[-1][1] if stack else False, True))
+                _, furniture, hint = _place(tag, attrs, True)   # a named paragraph or list item is a block of its own
+                if furniture or hint:
+                    article, bad, named = stack[-1][1:] if stack else (False, False, ())
+                    stack.append((tag, article, bad or furniture, hinted(named, hint)))
             elif closing and stack and stack[-1][0] == tag:
                 stack.pop()
     flush()
-    return out
+    free = excused(hints, out, holders) if hints else set()
+    return [(*b[:4], b[4] or any(k not in free for k in b[5])) for b in out]
+
+
+def _explicit(tag: str, attrs: str) -> str:
+    """"main" or "article" if the element is one by tag or role."""
+    if tag in ("article", "main"):
+        return tag
+    m = re.search(r"\brole\s*=\s*[\"']?(main|article)\b", attrs, re.I)
+    return m[1].lower() if m else ""
 
 
 def _past_raw(page: str, at: int, tag: str) -> int:
