@@ -204,6 +204,24 @@ def test_furniture_names_still_hide():
     assert extract.main_text(f"<div class=cookie-notice><p>{LONG}</p></div>", extract.train()) == ""
 
 
+def test_short_blocks_without_an_article():
+    """Headings, dialogue, list items and short paragraphs of a plain page; link lists and lines among them go."""
+    lines = ["A heading", "Yes.", "No, not today.", "Item one", "Item two", "He left.", LONG, "The end."]
+    menu = "<ul><li><a href=x>Home</a></li><li>Or</li><li><a href=y>About us</a></li></ul>"
+    page = f"<body>{menu}<p>{LONG}</p>" + "".join(f"<p>{x}</p>" for x in lines) + f"<div>{LONG}</div>{menu}</body>"
+    assert extract.main_text(page, extract.train()) == " ".join([LONG, *lines, LONG])
+    assert extract.main_text("<h1>Title</h1><p>One.</p><ul><li>Two</li><li>Three</li></ul>", extract.train()) == "Title One. Two Three"
+    assert [list(extract.train().predict(np.array([[*r[:-1]]], float)))[0] for r in extract.labelled_blocks()] == [bool(r[-1]) for r in extract.labelled_blocks()]
+
+
+@pytest.mark.parametrize("text", ["これは長い段落であり本文の一部として残るべき文章です", "这是一个很长的段落应该作为正文保留下来而不是被丢弃", "นี่คือย่อหน้ายาวที่ควรเก็บไว้เป็นข้อความหลักของหน้า"])
+def test_unspaced_scripts_without_an_article(text):
+    assert extract.count_words(text) == len(text) and extract.count_words(f"two {text} words") == len(text) + 2
+    nav = "<ul><li><a href=x>" + text[:4] + "</a></li><li><a href=y>" + text[4:8] + "</a></li></ul>"
+    page = f"<body>{nav}<p>{text}</p>{nav}<h2>{text[:5]}</h2><p>{text}</p>{nav}</body>"
+    assert extract.main_text(page, extract.train()) == f"{text} {text[:5]} {text}"
+
+
 # -- 6 archives -----------------------------------------------------------------------------------------------
 
 def hard_pages():

@@ -2,8 +2,9 @@
 
 A page is cut at block-level tags into flat text blocks. A block is described by
 its word count and link density, those of the blocks before and after it, and
-two hints of its place: whether it lies in an article container, and whether a
-container or its class, id or role names boilerplate. A decision tree (Gini
+hints of its place: whether it lies in an article container, whether a
+container or its class, id or role names boilerplate, and whether the page has
+an article container at all. Scripts without spaces count a word a character. A decision tree (Gini
 splits) grown on a small labelled table tells main text from the rest.
 
 Names are weak hints: a container that holds the page's main or article element,
@@ -71,9 +72,19 @@ _MARKUP = re.compile(
     """, re.S | re.X)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME = re.compile(r"[a-z0-9]+")
+#: Thai to Burmese, Khmer, kana, Han: letters of scripts written without spaces between words.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+def count_words(text: str) -> int:
+    """Words between spaces; each letter of a script without spaces is one."""
+    if text.isascii():
+        return len(text.split())
+    rest, letters = _UNSPACED.subn(" ", text)
+    return letters + len(rest.split())
+
+
 def _place(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, str]:
     """(opens an article container, is boilerplate, "" or how its name hints at boilerplate: "weak", "second")."""
     got = {}
@@ -139,7 +150,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             text = " ".join("".join(parts).split())
             if text:
                 article, bad, named = stack[-1][1:] if stack else (False, False, ())
-                out.append((text, text.count(" ") + 1, len("".join(linked).split()), article, bad, named))
+                out.append((text, count_words(text), count_words("".join(linked)), article, bad, named))
             parts.clear()
             linked.clear()
 
@@ -232,38 +243,42 @@ def block_features(found: list[tuple[str, int, int, bool, bool]]) -> np.ndarray:
     density = np.array([min(1.0, b[2] / b[1]) for b in found])
     before, after = lambda x: np.append(0.0, x[:-1]), lambda x: np.append(x[1:], 0.0)
     return np.stack([words, density, before(words), before(density), after(words), after(density),
-                     np.array([float(b[3]) for b in found]), np.array([float(b[4]) for b in found])], axis=1)
+                     np.array([float(b[3]) for b in found]), np.array([float(b[4]) for b in found]),
+                     np.full(len(found), float(any(b[3] and not b[4] for b in found)))], axis=1)
 
 
 def labelled_blocks() -> list[tuple]:
     """The labelled table: kinds of blocks, each set between every pair of typical neighbours.
 
     Rows are words, link density, words before, link density before, words
-    after, link density after, in an article container, named as boilerplate;
-    label 1 is main text.
+    after, link density after, in an article container, named as boilerplate,
+    on a page with an article container; label 1 is main text.
     """
-    nothing, word, link, line, paragraph = (0, 0.0), (1, 0.0), (3, 1.0), (5, 0.0), (45, 0.0)
+    nothing, word, link, line, short, paragraph = (0, 0.0), (1, 0.0), (3, 1.0), (5, 0.0), (12, 0.0), (45, 0.0)
     rows = []
-    for before in (nothing, word, link, line, paragraph):
-        for after in (nothing, word, link, line, paragraph):
+    for before in (nothing, word, link, line, short, paragraph):
+        for after in (nothing, word, link, line, short, paragraph):
             near = (*before, *after)
-            beside = paragraph in (before, after)
-            between_links = before == after == link
             # in an article: headings, short lines, list items and paragraphs are text; a link is text unless among links
-            rows += [(w, d, *near, 1, 0, 1) for w, d in ((1, 0.0), (5, 0.0), (30, 0.1), (90, 0.2))]
-            rows += [(3, 1.0, *near, 1, 0, int(not between_links))]
-            # elsewhere: paragraphs are text, lines only beside a paragraph, links never
-            rows += [(12, 0.1, *near, 0, 0, 1), (90, 0.0, *near, 0, 0, 1), (1, 0.0, *near, 0, 0, int(beside)), (5, 0.0, *near, 0, 0, int(beside))]
-            rows += [(2, 1.0, *near, 0, 0, 0), (15, 0.8, *near, 0, 0, 0)]
-            # named as boilerplate: never, whatever its shape and place
-            rows += [(w, d, *near, article, 1, 0) for w, d in ((1, 0.0), (4, 1.0), (50, 0.0)) for article in (0, 1)]
+            between_links = before == after == link
+            rows += [(w, d, *near, 1, 0, 1, 1) for w, d in ((1, 0.0), (5, 0.0), (30, 0.1), (90, 0.2))]
+            rows += [(3, 1.0, *near, 1, 0, 1, int(not between_links))]
+            for has in (0, 1):
+                # elsewhere: paragraphs are text, links never; lines beside a long paragraph, and on a page
+                # without an article container beside any paragraph or away from links
+                beside = paragraph in (before, after) or not has and (short in (before, after) or link not in (before, after))
+                rows += [(12, 0.1, *near, 0, 0, has, 1), (90, 0.0, *near, 0, 0, has, 1)]
+                rows += [(w, 0.0, *near, 0, 0, has, int(beside)) for w in (1, 5)]
+                rows += [(2, 1.0, *near, 0, 0, has, 0), (15, 0.8, *near, 0, 0, has, 0)]
+                # named as boilerplate: never, whatever its shape and place
+                rows += [(w, d, *near, article, 1, has, 0) for w, d in ((1, 0.0), (4, 1.0), (50, 0.0)) for article in range(has + 1)]
     return rows
 
 
 class Tree:
     """A binary decision tree by Gini impurity; thresholds lie halfway between neighbouring values."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, least: int = 1, depth: int = 12):
+    def __init__(self, x: np.ndarray, y: np.ndarray, least: int = 1, depth: int = 16):
         self.label = bool(y.mean() >= 0.5)
         self.feature = -1
         if depth == 0 or len(np.unique(y)) == 1:
