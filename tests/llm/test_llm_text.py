@@ -389,6 +389,25 @@ def test_ngram_dedup_keeps_one_of_each(hard, hard_df):
     assert ngram_join.deduplicate(hard_df.limit(0)).count() == 0
 
 
+def test_ngram_join_of_rows_without_ids(spark):
+    """A~B~C with B's id null are one component; of copies and near copies without any id one stays."""
+    ensure_importable(spark)
+    base = [f"w{k}" for k in range(100)]
+    change = lambda words, *at: [f"x{k}" if k in at else w for k, w in enumerate(words)]
+    a, b, c = change(base, 10, 11), base, change(base, 60, 61, 62, 63)
+    other, near = [f"o{k}" for k in range(80)], change([f"o{k}" for k in range(80)], 40)
+    rows = [(1, a), (None, b), (None, b), (2, c), (None, other), (None, other), (None, near), (3, ["lone", "words", "of", "a", "text"])]
+    rows = [(i, " ".join(w), "en", "s") for i, w in rows] + [(None, "", "en", "s"), (None, None, "en", "s")]
+    docs = H.documents(spark, rows)
+    got = ngram_join.near_duplicates(docs).select("doc_id", "n_shingles", "component_id").toPandas()
+    assert {r[0]: r[2] for r in row_set(got) if r[0] is not None} == {1: 1, 2: 1, 3: 3}
+    assert row_set(got) == Counter(H.jaccard_components(rows))
+    kept = Counter((r["doc_id"], r["text"]) for r in ngram_join.deduplicate(docs).collect())
+    unnamed = [t for i, t in kept.elements() if i is None]
+    assert sorted(i for i, _ in kept if i is not None) == [1, 3]
+    assert sum(t in (" ".join(other), " ".join(near)) for t in unnamed) == 1 and len(unnamed) == 3
+
+
 # -- 10 language -------------------------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):

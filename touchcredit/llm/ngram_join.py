@@ -442,20 +442,25 @@ def to_outsiders(rows: DataFrame, outside: DataFrame, *payload: str) -> DataFram
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4,
                     percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; links at Jaccard >= ``percent`` / 100."""
-    return classed(docs, id_col, text_col, words, percent).drop("sig")
+    return classed(docs, id_col, text_col, words, percent).drop("sig", "root")
 
 
 def deduplicate(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others) with the smallest id of their component.
 
-    Rows without an id or without shingles stay. If kept ids are repeated, the row
-    is picked by its text's signature, and one of rows equal in both stays.
+    Rows without shingles stay. Of rows without an id, one stays of a component that
+    has no id at all. If kept ids are repeated, the row is picked by its text's
+    signature, and one of rows equal in both stays.
     """
     found = Workspace(docs.sparkSession, "ngram-dedup").keep(classed(docs, "doc_id", "text", words, percent), "classed")
     kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("of_doc"), F.col("sig").alias("of_sig"))
-    anonymous = docs.filter("doc_id is null")
+    sig = free_name(docs, "sig")
+    unnamed = (found.filter("doc_id is null and component_id is null and sig is not null").groupBy("root")
+               .agg(F.min("sig").alias("of_sig")).select("of_sig"))
+    anonymous = docs.filter("doc_id is null").withColumn(sig, signatures("text", words))
+    anonymous = (anonymous.join(unnamed, F.col(sig) == F.col("of_sig"), "left_semi").dropDuplicates([sig])
+                 .unionByName(anonymous.filter(F.col(sig).isNull())).drop(sig))
     if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        sig = free_name(docs, "sig")
         rows = docs.withColumn(sig, signatures("text", words))
         rows = rows.join(kept.distinct(), (F.col("doc_id") == F.col("of_doc")) & F.col(sig).eqNullSafe(F.col("of_sig")), "left_semi")
         # rows without shingles are linked with nothing, not even with each other
@@ -477,7 +482,7 @@ def signatures(text_col: str, words: int) -> Column:
 
 
 def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """(doc_id, sig, n_shingles, component_id) of every row."""
+    """(doc_id, sig, root, n_shingles, component_id) of every row; ``root`` is the signature that stands for its component."""
     ws = Workspace(docs.sparkSession, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     prints = ws.keep(fingerprints(docs, words), "fingerprints")
@@ -499,7 +504,11 @@ def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
         "cluster", "sig", "least", "chunks", F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int").alias("chunk"))
     texts = docs.filter("doc_id is not null").join(members.hint("shuffle_hash"), F.col("doc_id") == F.col("least")).select(
         "cluster", "sig", "chunks", "chunk", "text")
-    texts = ws.keep(texts, "texts")
+    # classes whose rows all lack an id: one text of each by its signature
+    lone = members.filter("least is null").select(F.col("sig").alias("lone"), "cluster", "chunks", "chunk")
+    unnamed = (docs.filter("doc_id is null").select(signatures("text", words).alias("sig"), "text")
+               .join(lone, F.col("sig") == F.col("lone")).dropDuplicates(["sig"]))
+    texts = ws.keep(texts.unionByName(unnamed.select("cluster", "sig", "chunks", "chunk", "text")), "texts")
 
     # members by their narrow columns: labels travel to the tasks without the texts
     places = texts.select("cluster", "sig", "chunks", "chunk")
@@ -532,6 +541,6 @@ def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     named = ws.keep(classes.join(roots, F.col("sig") == F.col("node"), "left")
                     .select("sig", "least", F.coalesce("root", "sig").alias("root")), "named")
     component = named.groupBy(F.col("root").alias("of_root")).agg(F.min("least").alias("component_id"))
-    named = ws.keep(named.join(component, F.col("root") == F.col("of_root")).select(F.col("sig").alias("of_sig"), "component_id"), "result")
+    named = ws.keep(named.join(component, F.col("root") == F.col("of_root")).select(F.col("sig").alias("of_sig"), "root", "component_id"), "result")
     return rows.join(named, F.col("sig") == F.col("of_sig"), "left").select(
-        "doc_id", "sig", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        "doc_id", "sig", "root", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
