@@ -306,6 +306,13 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert at[4][1].count() == sum(mixed_out.values())
 
 
+def test_stage_links_at_five_words(spark):
+    """One of 51 words changed: 42/52 five-word shingles are shared, and one copy goes."""
+    base = [f"w{k}" for k in range(51)]
+    rows = [(1, " ".join(base), "en", "s"), (2, " ".join("x" if k == 25 else w for k, w in enumerate(base)), "en", "s")]
+    assert [r["doc_id"] for r in stages.one_of_each_group(spark, H.documents(spark, rows), "").collect()] == [1]
+
+
 def test_run_equals_its_stages(spark):
     sf = "/root/testdata/sf0.001"
     got = corpus_pipeline.run(spark, sf)

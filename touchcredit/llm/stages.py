@@ -38,9 +38,9 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group."""
+    """The document with the smallest id of every near-duplicate group: five-word shingles, Jaccard 0.8."""
     ensure_importable(spark)
-    return ngram_join.deduplicate(docs, words=4, percent=85)
+    return ngram_join.deduplicate(docs, words=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
