@@ -99,6 +99,15 @@ def test_top_k_equals_brute_force(spark, sizes):
     assert Counter(tuple(int(x) for x in r) for r in got[["query_id", "rank", "vec_id", "score"]].itertuples(index=False)) == expect
 
 
+def test_top_k_of_a_repeated_query_id(spark):
+    """Two vectors of one query id are ranked together, as the SQL does; equal rows count once."""
+    ensure_importable(spark)
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.exact_top_k(df, F.col("vec_id") == 0, k=3, scale=1.0).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 1, 3), (2, 2, 2), (3, 1, 1)]
+
+
 def test_ball_tree_prunes_and_keeps_ties():
     rng = np.random.default_rng(4)
     x = np.vstack([rng.normal(scale=3, size=(64, 8)) + 60 * np.eye(8)[k] for k in range(8)]).round()

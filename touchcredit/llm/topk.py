@@ -14,7 +14,7 @@ exact. Defined cases: null or empty vectors, vectors with null or non-finite
 components, and rows without an id take no part. A query never meets rows of
 its own id. Ties go to the smaller id. Vectors of another length than the query
 are no candidates. Fewer candidates than k give fewer rows. A repeated query
-row is answered once. Empty tables give empty results; other columns are not read.
+row is answered once; the vectors of a repeated query id are ranked together. Empty tables give empty results; other columns are not read.
 """
 
 from __future__ import annotations
@@ -132,7 +132,7 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     rows = ws.keep(rows.filter(F.col("vec_id").isNotNull() & finite("embedding")).withColumn("dim", F.size("embedding")), "rows")
     n = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().collect()}     # one row per vector length
-    asked = rows.filter(F.coalesce(queries, F.lit(False))).dropDuplicates(["vec_id"])
+    asked = rows.filter(F.coalesce(queries, F.lit(False))).dropDuplicates(["vec_id", "embedding"])
     n_q = {r["dim"]: r["count"] for r in asked.groupBy("dim").count().collect()}
 
     def parts(counts: dict[int, int], size: int) -> Column:
