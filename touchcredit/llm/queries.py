@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchcredit.llm import bpe, embed_dedup, extract, language, mixing, ngram_join, quality, suffix_tree, topk, warc
+from touchcredit.llm import bpe, embed_dedup, extract, language, mixing, ngram_join, order_minhash, quality, suffix_tree, topk, warc
 from touchcredit.llm.common import Workspace, fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_top_k": op2_exact_top_k,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_language_id": op10_language_id,
+    "op12_order_minhash": op12_order_minhash,
 }
 
 OP1_SQL = r"""
