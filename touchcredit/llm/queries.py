@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchcredit.llm import bpe, embed_dedup, extract, language, mixing, ngram_join, order_minhash, quality, suffix_tree, topk, warc
+from touchcredit.llm import bpe, conversations, embed_dedup, extract, language, mixing, ngram_join, order_minhash, quality, suffix_tree, topk, warc
 from touchcredit.llm.common import Workspace, fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -69,6 +69,10 @@ def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprint_edits(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audit(conversations.damage(conversations.as_turns(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_exact_top_k": op2_exact_top_k,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_language_id": op10_language_id,
     "op12_order_minhash": op12_order_minhash,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 OP1_SQL = r"""
