@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchcredit.llm import bpe, conversations, embed_dedup, extract, language, mixing, ngram_join, order_minhash, quality, suffix_tree, topk, warc
+from touchcredit.llm import bpe, conversations, embed_dedup, extract, language, mixing, ngram_join, order_minhash, quality, suffix_tree, token_align, topk, warc
 from touchcredit.llm.common import Workspace, fold, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -65,6 +66,14 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "language.lang_pred", "language.score")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    definition = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return token_align.align(table(spark, sf_dir, "documents"), definition, model)
+
+
 def op12_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprint_edits(table(spark, sf_dir, "documents"))
 
@@ -84,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_language_id": op10_language_id,
+    "op11_token_alignment": op11_token_alignment,
     "op12_order_minhash": op12_order_minhash,
     "op13_conversation_repair": op13_conversation_repair,
 }
