@@ -76,7 +76,7 @@ def test_hot_day_and_instant_match_oracle(spark, monkeypatch):
         for name, df in written:
             group = ["__ak", "__ac"] if name == "asof_ranges" else ["__pg", "__pgn", "__pc"]
             largest, total = df.groupBy(*group).count().agg(F.max("count"), F.sum("count")).first()
-            assert largest <= 300 < 0.16 * total, name      # the limit set above
+            assert largest <= 300 < total, name      # the limit set above; only the rows of hot days are written
     finally:
         pipe.drop_tables()
 
