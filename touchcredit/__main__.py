@@ -1,7 +1,9 @@
 """Command line: build the models or run the data-quality rules.
 
     python -m touchcredit run  --sources DIR --out DIR      # all models -> parquet tables
+    python -m touchcredit run  --sources DIR --database DB  # all models -> catalog tables, replaced as a whole
     python -m touchcredit test --sources DIR                # 58 rules, non-zero exit on failure
+    python -m touchcredit test --sources DIR --rules FILE   # own rules (YAML or JSON), see plans.quality.load_rules
     python -m touchcredit run  --fixtures SF_DIR --out DIR  # sources derived from the test tables
 
 ``--sources`` holds one parquet table per raw source (``customers``,
@@ -19,6 +21,7 @@ import sys
 from touchcredit.plans import quality
 from touchcredit.plans.pipeline import AttributionPipeline
 from touchcredit.session import get_session, scale_conf
+from touchcredit.sources.catalog import create_database
 from touchcredit.sources.fixtures import load_fixture_sources
 from touchcredit.sources.readers import read_sources
 from touchcredit.sources.schemas import SOURCE_SCHEMAS
@@ -40,6 +43,8 @@ def main(argv: list[str] | None = None) -> int:
     where.add_argument("--fixtures")
     ap.add_argument("--format", default="parquet")
     ap.add_argument("--out")
+    ap.add_argument("--database")
+    ap.add_argument("--rules")
     ap.add_argument("--select", nargs="*")
     ap.add_argument("--half-life-days", type=float, default=7.0)
     ap.add_argument("--master")
@@ -54,12 +59,15 @@ def main(argv: list[str] | None = None) -> int:
     pipe = _pipeline(spark, args)
     try:
         if args.command == "run":
-            if not args.out:
-                ap.error("run needs --out")
-            for name in pipe.write_models(args.out, select=args.select):
+            if bool(args.out) == bool(args.database):
+                ap.error("run needs --out or --database")
+            if args.database:
+                create_database(spark, args.database)
+            for name in pipe.write_models(args.out, select=args.select, database=args.database):
                 print(f"built {name}")
             return 0
-        failed = [r for r in quality.run_checks(pipe.models()).collect() if r["failures"]]   # one row per rule
+        rules = quality.load_rules(args.rules) if args.rules else quality.RULES
+        failed = [r for r in quality.run_checks(pipe.models(), rules).collect() if r["failures"]]   # one row per rule
         for r in failed:
             print(f"{r['failures']} failures: {r['rule']} {r['model']}.{r['column_name']}")
         return 1 if failed else 0

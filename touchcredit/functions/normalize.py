@@ -40,6 +40,14 @@ def concat_skip_nulls(*cols: ColumnOrName) -> Column:
     return F.concat_ws("", *[_c(c) for c in cols])
 
 
+def money(c: ColumnOrName, to: str = "decimal(12,2)") -> Column:
+    """A double as a decimal with two places: hundredths are taken of the binary value, then rounded half
+    away from zero, so 1.005 (just below, in binary) is 1.00. Spark's own cast rounds the shortest decimal
+    form instead. Too large an amount fails, as the cast does."""
+    hundredths = F.round(_c(c).cast("double") * F.lit(100.0)).cast("decimal(36,0)")
+    return (hundredths * F.lit("0.01").cast("decimal(2,2)")).cast(to)
+
+
 def typed_null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)
 

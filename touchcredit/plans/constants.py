@@ -34,6 +34,8 @@ CHANNEL_PHONE = "phone"
 CHANNEL_EMAIL_INBOUND = "email_inbound"
 CHANNELS = ["paid_search", "paid_social", "organic", "email", "phone", "email_inbound"]
 COST_CHANNELS = ["paid_search", "paid_social"]
+#: Channels of the cost feeds by the channel of the touches they pay for.
+CHANNEL_OF_COST = {"paid_search": "paid_search", "paid_social": "paid_social"}
 MATCH_METHODS = ["customer_id_match", "phone_match", "email_match", "unknown", "customer_table"]
 CUSTOMER_TYPES = ["b2b", "b2c"]
 

@@ -13,7 +13,7 @@ journey_end_date``. Positions are derived inside the mart by aggregation:
   to the journey's nearest touch: 0.5^((days - min days) / half life) gives the
   same shares as 0.5^(days / half life), but the nearest touch always weighs 1,
   so a journey of old touches cannot underflow to a zero total;
-* summary: one aggregate per ``(journey, channel, days)`` carries the touch
+* all four (``all_marts``, ``summary``): one aggregate per ``(journey, channel, days)`` carries the touch
   count and the first and last touch, one per-journey step turns it into four
   credits, and one aggregate by channel adds them up: one scan, three exchanges.
 
@@ -23,6 +23,8 @@ most channels x distinct days such rows.)
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -92,8 +94,12 @@ def time_decay(journeys: DataFrame, half_life_days: float = K.DEFAULT_HALF_LIFE_
     return _fractional(journeys, K.METHOD_TIME_DECAY, ["journey_id", "channel", _days()], _decay(half_life_days))
 
 
-def summary(journeys: DataFrame, half_life_days: float = K.DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
-    """The four marts in one table from one pass; both measures as double."""
+METHODS = [K.METHOD_FIRST_TOUCH, K.METHOD_LAST_TOUCH, K.METHOD_LINEAR, K.METHOD_TIME_DECAY]
+
+
+def all_marts(journeys: DataFrame, half_life_days: float = K.DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
+    """One row per channel with the conversions and revenue of every method (``<method>_n``, ``<method>_v``),
+    in the types of the single marts, from one pass over the converting rows."""
     touch = F.struct(F.col("event_timestamp").isNull().alias("n"), F.col("event_timestamp").alias("t"),
                      F.col("platform_id").isNull().alias("m"), F.col("platform_id").alias("p"),
                      F.col("channel").alias("c"))
@@ -102,16 +108,47 @@ def summary(journeys: DataFrame, half_life_days: float = K.DEFAULT_HALF_LIFE_DAY
     journey = Window.partitionBy("journey_id")
     weight = F.col("__n") * _decay(half_life_days)
     per = per.withColumns({
-        K.METHOD_FIRST_TOUCH: F.col("__lo").eqNullSafe(F.min("__lo").over(journey)).cast("double"),
-        K.METHOD_LAST_TOUCH: F.col("__hi").eqNullSafe(F.max("__hi").over(journey)).cast("double"),
+        K.METHOD_FIRST_TOUCH: F.col("__lo").eqNullSafe(F.min("__lo").over(journey)),
+        K.METHOD_LAST_TOUCH: F.col("__hi").eqNullSafe(F.max("__hi").over(journey)),
         K.METHOD_LINEAR: F.col("__n") / F.sum("__n").over(journey),
         K.METHOD_TIME_DECAY: weight / F.sum(weight).over(journey)})
-    methods = [K.METHOD_FIRST_TOUCH, K.METHOD_LAST_TOUCH, K.METHOD_LINEAR, K.METHOD_TIME_DECAY]
-    value = F.col("__v").cast("double")
-    # a channel appears under first / last touch only if it got such a touch
-    sums = per.groupBy("channel").agg(*[x for m in methods for x in (
-        F.sum(m).alias(f"{m}_n"), F.sum(value * F.col(m)).alias(f"{m}_v"))])
-    rows = F.array(*[F.struct(F.lit(m).alias("attribution_method"), F.col(f"{m}_n").alias("attributed_conversions"),
-                              F.col(f"{m}_v").alias("attributed_revenue")) for m in methods])
-    return (sums.select("channel", F.explode(rows).alias("r")).select("channel", "r.*")
-            .where(F.col("attributed_conversions") > 0))
+    sums = []
+    for m in METHODS:
+        if m in (K.METHOD_FIRST_TOUCH, K.METHOD_LAST_TOUCH):
+            sums += [F.count(F.when(F.col(m), F.col("journey_id"))).alias(f"{m}_n"),
+                     F.sum(F.when(F.col(m), F.col("__v"))).cast("decimal(38,2)").alias(f"{m}_v"), F.count_if(F.col(m)).alias(f"{m}_rows")]
+        else:
+            sums += [F.sum(m).alias(f"{m}_n"), F.sum(F.col("__v").cast("double") * F.col(m)).alias(f"{m}_v"), F.count(F.lit(1)).alias(f"{m}_rows")]
+    return per.groupBy("channel").agg(*sums)
+
+
+def mart_of(marts: DataFrame, method: str) -> DataFrame:
+    """One method's mart out of ``all_marts``: a channel appears under first / last touch only if it got such a touch."""
+    return marts.where(F.col(f"{method}_rows") > 0).select(
+        "channel", F.lit(method).alias("attribution_method"), F.col(f"{method}_n").alias("attributed_conversions"),
+        F.col(f"{method}_v").alias("attributed_revenue"))
+
+
+def summary(journeys: DataFrame, half_life_days: float = K.DEFAULT_HALF_LIFE_DAYS) -> DataFrame:
+    """The four marts in one table from one pass; both measures as double."""
+    rows = F.array(*[F.struct(F.lit(m).alias("attribution_method"), F.col(f"{m}_n").cast("double").alias("attributed_conversions"),
+                              F.col(f"{m}_v").cast("double").alias("attributed_revenue"), (F.col(f"{m}_rows") > 0).alias("any"))
+                     for m in METHODS])
+    return (all_marts(journeys, half_life_days).select("channel", F.explode(rows).alias("r")).where("r.any")
+            .select("channel", "r.attribution_method", "r.attributed_conversions", "r.attributed_revenue"))
+
+
+def summary_with_costs(summary: DataFrame, costs: DataFrame, channel_of: Mapping[str, str] = K.CHANNEL_OF_COST) -> DataFrame:
+    """The summary beside what its channels cost: cost, cost per conversion and return on spend.
+
+    ``channel_of`` maps channels of the cost feeds to channels of the touches; others keep their name. Channels on
+    one side only stay: without touches their method and measures are null, without spend their cost is. A ratio to
+    nothing (no conversions, no cost) is null.
+    """
+    named = F.create_map(*[F.lit(x) for pair in channel_of.items() for x in pair]) if channel_of else F.create_map().cast("map<string,string>")
+    spent = costs.groupBy(F.coalesce(F.try_element_at(named, F.col("channel")), F.col("channel")).alias("__channel")).agg(F.sum("cost").alias("cost"))
+    both = summary.join(spent, F.col("channel").eqNullSafe(F.col("__channel")), "full_outer")
+    per = lambda a, b: F.try_divide(F.col(a), F.nullif(F.col(b), F.lit(0.0)))
+    return both.select(F.coalesce("channel", "__channel").alias("channel"), "attribution_method", "attributed_conversions", "attributed_revenue",
+                       "cost", per("cost", "attributed_conversions").alias("cost_per_conversion"),
+                       per("attributed_revenue", "cost").alias("return_on_spend"))

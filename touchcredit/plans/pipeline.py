@@ -32,6 +32,7 @@ from touchcredit.plans import identity, journeys, marts
 from touchcredit.plans import touchpoints as touch
 from touchcredit.plans import constants as K
 from touchcredit.plans.constants import DEFAULT_HALF_LIFE_DAYS
+from touchcredit.sources import catalog
 from touchcredit.sources.readers import RawSources
 
 
@@ -56,13 +57,14 @@ class LazyModels(Mapping[str, DataFrame]):
 
 class AttributionPipeline:
     def __init__(self, sources: RawSources, materialize: bool = True,
-                 chunk_seconds: int = DAY_SECONDS, half_life_days: float = DEFAULT_HALF_LIFE_DAYS):
+                 chunk_seconds: int = DAY_SECONDS, half_life_days: float = DEFAULT_HALF_LIFE_DAYS, heavy_rows: int | None = None):
         self.sources = sources
         self.materialize = materialize
         self.chunk_seconds = chunk_seconds
         if not half_life_days > 0:
             raise ValueError(f"half_life_days must be positive, not {half_life_days}")
         self.half_life_days = half_life_days
+        self.heavy_rows = heavy_rows
         self._run_id = uuid.uuid4().hex
 
     def table_dir(self, spark) -> str:
@@ -113,7 +115,7 @@ class AttributionPipeline:
     def profiles(self) -> DataFrame:
         return self._keep(identity.unify_identities(self.sources), "profiles")
 
-    # lookups are written, so that their joins read two plain shuffles and AQE can split a hot visitor
+    # lookups are written: their keys are counted before they are joined
     @cached_property
     def ga4_lookup(self) -> DataFrame:
         return self._keep(touch.source_id_lookup(self.profiles, K.SYS_GA4), "ga4_lookup")
@@ -124,8 +126,8 @@ class AttributionPipeline:
 
     @cached_property
     def enriched_touches(self) -> DataFrame:
-        return self._keep(touch.enriched_touchpoints(self.sources, self.profiles, self.ga4_lookup, self.pixel_lookup),
-                          "enriched_touches")
+        return self._keep(touch.enriched_touchpoints(self.sources, self.profiles, self.ga4_lookup, self.pixel_lookup,
+                                                     self._keeper, self.heavy_rows), "enriched_touches")
 
     @property
     def touchpoints(self) -> DataFrame:
@@ -133,7 +135,8 @@ class AttributionPipeline:
 
     @cached_property
     def conversions(self) -> DataFrame:
-        return self._keep(conv.build_conversions(self.sources, self.profiles, self.chunk_seconds, self._keeper), "conversions")
+        return self._keep(conv.build_conversions(self.sources, self.profiles, self.chunk_seconds, self._keeper, self.heavy_rows),
+                          "conversions")
 
     @property
     def costs(self) -> DataFrame:
@@ -197,20 +200,41 @@ class AttributionPipeline:
     def summary(self) -> DataFrame:
         return marts.summary(self.converting, self.half_life_days)
 
-    def register_views(self, prefix: str = "", select: list[str] | None = None) -> list[str]:
-        """Expose models (all, or those in ``select``) as temporary views under their names,
-        so they can be queried with ``spark.sql`` (the reference materialises all models as views)."""
+    @property
+    def summary_with_costs(self) -> DataFrame:
+        return marts.summary_with_costs(self.summary, self.costs)
+
+    @cached_property
+    def all_marts(self) -> DataFrame:
+        """The four marts side by side, from one pass over the converting rows."""
+        return self._keep(marts.all_marts(self.converting, self.half_life_days), "marts")
+
+    def register_views(self, prefix: str = "", select: list[str] | None = None, database: str | None = None) -> list[str]:
+        """Expose models (all, or those in ``select``) as views under their names, so they can be
+        queried with ``spark.sql`` (the reference materialises all models as views). With
+        ``database`` the views are stored in the catalog, over written tables, and outlive the
+        session; without it they are temporary and lazy."""
         names = []
         for name, df in self._selected(select):
-            df.createOrReplaceTempView(prefix + name)
+            if database:
+                catalog.publish(df, f"{database}.{prefix}{name}")
+            else:
+                df.createOrReplaceTempView(prefix + name)
             names.append(prefix + name)
         return names
 
-    def write_models(self, root: str, mode: str = "overwrite", fmt: str = "parquet", select: list[str] | None = None) -> list[str]:
-        """Persist models (all, or those in ``select``) as tables under ``root/<model name>``."""
+    def write_models(self, root: str | None = None, mode: str = "overwrite", fmt: str = "parquet", select: list[str] | None = None,
+                     database: str | None = None) -> list[str]:
+        """Persist models (all, or those in ``select``): as tables of ``database``, each replaced only when its
+        new rows are complete, or as plain folders ``root/<model name>``."""
+        if (root is None) == (database is None):
+            raise ValueError("give either root or database")
         names = []
         for name, df in self._selected(select):
-            df.write.mode(mode).format(fmt).save(f"{root}/{name}")
+            if database:
+                catalog.replace_table(df, f"{database}.{name}", fmt)
+            else:
+                df.write.mode(mode).format(fmt).save(f"{root}/{name}")
             names.append(name)
         return names
 
@@ -226,17 +250,17 @@ class AttributionPipeline:
     def models(self) -> Mapping[str, DataFrame]:
         """Model name -> DataFrame, as addressed by the quality rules; built when asked for.
 
-        A mart is a few rows and is read by several rules, so it is written once.
+        The marts come from one written table of a few rows.
         """
-        mart = lambda name: self._keep(getattr(self, name), f"mart_{name}")
+        mart = lambda method: marts.mart_of(self.all_marts, method)
         return LazyModels({
             "stg_customers_unification": lambda: self.profiles,
             "stg_touchpoints": lambda: self.touchpoints,
             "stg_conversions": lambda: self.conversions,
             "stg_costs": lambda: self.costs,
             "int_user_journeys": lambda: self.user_journeys,
-            "fct_attribution_first_touch": lambda: mart("first_touch"),
-            "fct_attribution_last_touch": lambda: mart("last_touch"),
-            "fct_attribution_linear": lambda: mart("linear"),
-            "fct_attribution_time_decay": lambda: mart("time_decay"),
+            "fct_attribution_first_touch": lambda: mart(K.METHOD_FIRST_TOUCH),
+            "fct_attribution_last_touch": lambda: mart(K.METHOD_LAST_TOUCH),
+            "fct_attribution_linear": lambda: mart(K.METHOD_LINEAR),
+            "fct_attribution_time_decay": lambda: mart(K.METHOD_TIME_DECAY),
         })

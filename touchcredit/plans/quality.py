@@ -1,26 +1,35 @@
 """M10 -- declarative data-quality checks.
 
-A rule names a model, a check and a column (or expression). ``run_checks``
-turns a rule list into one DataFrame of ``(model, rule, column_name,
-failures)``; a rule passes when ``failures == 0``. Failure counts follow the
-usual column-test conventions:
-
-* ``not_null``        rows whose value is NULL -- all columns of a model are
-                      counted in a single aggregation pass;
-* ``unique``          distinct non-NULL values occurring more than once;
-* ``accepted_values`` distinct non-NULL values outside the list -- all such
-                      rules of a model share one scan;
-* ``relationships``   child rows whose non-NULL key has no parent row
-                      (anti join of the counted keys).
-
-Every check is a distributed aggregate or anti join; nothing is collected.
+A rule names a model, a check and a column or any SQL expression over the
+model's columns. ``run_checks`` turns a rule list into one DataFrame of
+``(model, rule, column_name, failures)``; a rule passes when ``failures == 0``.
+Failure counts follow the usual column-test conventions:
+
+* ``not_null``            rows whose value is NULL
+* ``unique``              distinct non-NULL values occurring more than once
+* ``accepted_values``     distinct non-NULL values outside the list
+* ``relationships``       child rows whose non-NULL key has no parent row
+* ``expression_is_true``  rows for which the expression is false (NULL passes)
+
+Rules are data: ``load_rules`` reads them from a dict or a YAML / JSON file in
+the usual model-properties layout.
+
+All rules share one plan. Each model is scanned once, whatever its rules: a row
+is expanded to the (rule, value) entries that matter -- every value of a unique
+or relationship column, also of parents, but only the failing ones of the other
+checks. The entries of all models are counted by (rule, value) in one aggregate
+(partial sums first, so a hot value is one row per task), and one more adds up
+each rule's failures. Nothing is collected.
 """
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +37,7 @@ from pyspark.sql import functions as F
 from touchcredit.plans import constants as K
 
 NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS = "not_null", "unique", "accepted_values", "relationships"
+EXPRESSION = "expression_is_true"
 JOURNEY_KEY_EXPR = "journey_id || '::' || platform_id"
 
 
@@ -75,89 +85,118 @@ RULES: list[Rule] = [
 ]
 
 
-def rule_expr(column: str) -> Column:
-    """Column or the one supported expression (``a || '::' || b``, NULL-propagating)."""
-    if column == JOURNEY_KEY_EXPR:
-        return F.concat(F.col("journey_id"), F.lit("::"), F.col("platform_id"))
-    return F.col(column)
-
-
-def _result(df: DataFrame, model: str, rule: str, column: str) -> DataFrame:
-    """``df`` holds one ``failures`` row."""
-    return df.select(F.lit(model).alias("model"), F.lit(rule).alias("rule"),
-                     F.lit(column).alias("column_name"),
-                     F.col("failures").cast("bigint").alias("failures"))
+def load_rules(spec: Mapping | str | Path) -> list[Rule]:
+    """Rules from a dict, or from a YAML or JSON file, in the layout of model properties::
+
+        models:
+          - name: stg_costs
+            data_tests:
+              - unique: {column_name: "cost_date || channel"}
+              - expression_is_true: {expression: "cost >= 0"}
+            columns:
+              - name: channel
+                data_tests:
+                  - not_null
+                  - accepted_values: {values: [paid_search, paid_social]}
+                  - relationships: {to: ref('other_model'), field: channel}
+
+    ``tests`` is read like ``data_tests``; a column's name may be any SQL expression; parameters may stand under
+    ``arguments``.
+    """
+    if not isinstance(spec, Mapping):
+        text = Path(spec).read_text(encoding="utf-8")
+        if str(spec).endswith(".json"):
+            spec = json.loads(text)
+        else:
+            import yaml     # only YAML files need it
+
+            spec = yaml.safe_load(text)
+    rules = []
+    for model in spec.get("models", ()):
+        places = [(model, None), *((c, c["name"]) for c in model.get("columns", ()))]
+        for place, column in places:
+            for test in [*place.get("data_tests", ()), *place.get("tests", ())]:
+                kind, args = (test, {}) if isinstance(test, str) else next(iter(test.items()))
+                args = {**(args or {}), **(args or {}).get("arguments", {})}
+                rules.append(_rule(model["name"], kind, column, args))
+    return rules
+
+
+def _rule(model: str, kind: str, column: str | None, args: Mapping) -> Rule:
+    column = column or args.get("column_name") or args.get("expression")
+    if kind not in (NOT_NULL, UNIQUE, ACCEPTED, RELATIONSHIPS, EXPRESSION):
+        raise ValueError(f"unknown check {kind!r} on {model}")
+    if not column:
+        raise ValueError(f"{kind} on {model} names no column or expression")
+    if kind == EXPRESSION and "expression" in args and column != args["expression"]:
+        column = f"{column} {args['expression']}"        # on a column: the comparison that follows it
+    to = re.sub(r"""^ref\(['"](.*)['"]\)$""", r"\1", str(args["to"])) if "to" in args else None
+    return Rule(model, kind, column, tuple(args.get("values", ())), to, args.get("field"))
 
 
-def not_null_failures(df: DataFrame, model: str, columns: Iterable[str]) -> DataFrame:
-    cols = list(columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
-    # one row per column (stack), still one scan of the model
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("failures"))
-        for i, c in enumerate(cols)])).alias("r")).select("r.*")
-    return stacked.select(F.lit(model).alias("model"), F.lit(NOT_NULL).alias("rule"),
-                          "column_name", F.col("failures").cast("bigint").alias("failures"))
+def rule_expr(column: str) -> Column:
+    """A column name or any SQL expression over the model's columns."""
+    return F.expr(column)
+
+
+def _entry(i: int, value: Column | None, parent: bool = False) -> Column:
+    return F.struct(F.lit(i).alias("rule"), (F.lit(None) if value is None else value).cast("string").alias("value"), F.lit(parent).alias("parent"))
+
+
+def _entries(df: DataFrame, rules: list[tuple[int, Rule]], parents: list[tuple[int, str]]) -> DataFrame:
+    """(rule, value, parent) of one scan of a model."""
+    always, seldom, wrong = [], [], []
+    for i, r in rules:
+        e = rule_expr(r.column)
+        if r.rule in (UNIQUE, RELATIONSHIPS):
+            always.append(F.when(e.isNotNull(), _entry(i, e)))
+            continue
+        if r.rule == ACCEPTED:
+            fails, value = F.coalesce(~e.isin(list(r.values)), F.lit(False)), e
+        else:
+            fails, value = (e.isNull() if r.rule == NOT_NULL else F.coalesce(~e, F.lit(False))), None
+        wrong.append(fails)
+        seldom.append(F.when(fails, _entry(i, value)))
+    always += [F.when(F.col(c).isNotNull(), _entry(i, F.col(c), True)) for i, c in parents]
+    kind = "array<struct<rule:int,value:string,parent:boolean>>"
+    none = F.array().cast(kind)
+    every = F.array(*always).cast(kind) if always else none
+    if seldom:
+        # the failing entries of a row are built only if it has any
+        bad = reduce(lambda a, b: a | b, wrong)
+        if not always:
+            df, every = df.where(bad), F.array(*seldom).cast(kind)
+        else:
+            every = F.concat(every, F.when(bad, F.array(*seldom).cast(kind)).otherwise(none))
+    return df.select(F.explode(every).alias("x")).where(F.col("x").isNotNull()).select("x.rule", "x.value", "x.parent")
 
 
-def unique_failures(df: DataFrame, model: str, column: str) -> DataFrame:
-    e = rule_expr(column)
-    dup = df.where(e.isNotNull()).groupBy(e.alias("__v")).count().where(F.col("count") > 1)
-    return _result(dup.agg(F.count(F.lit(1)).alias("failures")), model, UNIQUE, column)
+def run_checks(models: Mapping[str, DataFrame], rules: Iterable[Rule] = RULES) -> DataFrame:
+    rules = list(rules)
+    by_model: dict[str, tuple[list, list]] = {}
+    for i, r in enumerate(rules):
+        by_model.setdefault(r.model, ([], []))[0].append((i, r))
+        if r.rule == RELATIONSHIPS:
+            by_model.setdefault(r.to_model, ([], []))[1].append((i, r.to_field))
+    parts = [_entries(models[m], tested, parents) for m, (tested, parents) in by_model.items()]
+    values = reduce(DataFrame.unionByName, parts).groupBy("rule", "value").agg(
+        F.count_if(~F.col("parent")).alias("n"), F.max("parent").alias("parent"))
+    found = values.groupBy("rule").agg(
+        F.sum("n").alias("rows"), F.count_if(F.col("n") > 0).alias("kinds"), F.count_if(F.col("n") > 1).alias("repeated"),
+        F.sum(F.when(~F.col("parent"), F.col("n"))).alias("orphans")).withColumnRenamed("rule", "of")
+    listed = models[rules[0].model].sparkSession.createDataFrame(
+        [(i, r.model, r.rule, r.column) for i, r in enumerate(rules)], "i int, model string, rule string, column_name string")
+    kind = F.col("rule")
+    failures = (F.when(kind == UNIQUE, F.col("repeated")).when(kind == ACCEPTED, F.col("kinds"))
+                .when(kind == RELATIONSHIPS, F.col("orphans")).otherwise(F.col("rows")))
+    # a rule without any entry has no failures
+    return listed.join(found, F.col("i") == F.col("of"), "left").select(
+        "model", "rule", "column_name", F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"))
 
 
 def accepted_values_many(df: DataFrame, model: str, checks: list[tuple[str, tuple]]) -> DataFrame:
-    """Every ``(column, allowed values)`` check of one model in a single scan:
-    rows with an offending value yield one ``(column, value)`` per check, and
-    the few offending values are counted distinct per column."""
-    cols = [c for c, _ in checks]
-    offending = [F.struct(F.lit(i).alias("i"),
-                          F.when(rule_expr(c).isNotNull() & ~rule_expr(c).isin(list(vals)),
-                                 rule_expr(c).cast("string")).alias("v"))
-                 for i, (c, vals) in enumerate(checks)]
-    # only rows with any offending value are unpivoted
-    wrong = reduce(lambda a, b: a | b, [F.coalesce(~rule_expr(c).isin(list(vals)), F.lit(False)) for c, vals in checks])
-    bad = (df.where(wrong).select(F.explode(F.array(*offending)).alias("x")).select("x.i", "x.v")
-           .where(F.col("v").isNotNull()).distinct())
-    counts = bad.agg(*[F.count_if(F.col("i") == i).alias(f"c{i}") for i in range(len(cols))])
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("failures"))
-        for i, c in enumerate(cols)])).alias("r")).select("r.*")
-    return stacked.select(F.lit(model).alias("model"), F.lit(ACCEPTED).alias("rule"),
-                          "column_name", F.col("failures").cast("bigint").alias("failures"))
-
-
-def relationships_failures(child: DataFrame, parent: DataFrame, model: str, column: str,
-                           to_field: str) -> DataFrame:
-    # one row per key on both sides, so a hot key is one row of the join
-    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__k")).count()
-    parents = parent.where(F.col(to_field).isNotNull()).select(F.col(to_field).alias("__k")).distinct()
-    orphans = keys.join(parents, "__k", "left_anti")
-    failures = F.coalesce(F.sum("count"), F.lit(0)).alias("failures")
-    return _result(orphans.agg(failures), model, RELATIONSHIPS, column)
-
-
-def run_checks(models: Mapping[str, DataFrame], rules: Iterable[Rule] = RULES) -> DataFrame:
-    rules = list(rules)
-    parts: list[DataFrame] = []
-    not_null_by_model: dict[str, list[str]] = {}
-    accepted_by_model: dict[str, list[tuple[str, tuple]]] = {}
-    for r in rules:
-        if r.rule == NOT_NULL:
-            not_null_by_model.setdefault(r.model, []).append(r.column)
-        elif r.rule == ACCEPTED:
-            accepted_by_model.setdefault(r.model, []).append((r.column, r.values))
-    for model, cols in not_null_by_model.items():
-        parts.append(not_null_failures(models[model], model, cols))
-    for model, checks in accepted_by_model.items():
-        parts.append(accepted_values_many(models[model], model, checks))
-    for r in rules:
-        if r.rule == UNIQUE:
-            parts.append(unique_failures(models[r.model], r.model, r.column))
-        elif r.rule == RELATIONSHIPS:
-            parts.append(relationships_failures(models[r.model], models[r.to_model], r.model,
-                                                r.column, r.to_field))
-    return reduce(DataFrame.unionByName, parts)
+    """Every ``(column, allowed values)`` check of one model in a single scan."""
+    return run_checks({model: df}, [Rule(model, ACCEPTED, c, tuple(v)) for c, v in checks])
 
 
 def rules_of(kind: str, expression: bool | None = None) -> list[Rule]:
