@@ -156,6 +156,88 @@ def test_suffix_tree_distributions_sum_to_one():
     assert abs(sum((c - d) / n for c in counts) + mass - 1) < 1e-12
 
 
+def plain_tree(texts, train, seen, depth, gamma=suffix_tree.GAMMA, divergence=suffix_tree.DIVERGENCE):
+    """log10 probability of every text by dictionaries over whole texts, and the retained contexts."""
+    tokens = [H.words(t) + [None] for t in texts]
+    learnt = [t for t, use in zip(tokens, train) if use]
+    c = Counter(w for t in learnt for w in t)
+    n, v = sum(c.values()), len(c)
+    once, twice = (sum(x == k for x in c.values()) for k in (1, 2))
+    d = min(0.9, max(0.1, once / (once + 2 * twice))) if once + twice else 0.5
+    size, after, states = {(w,): x for w, x in c.items() if w is not None and x >= seen}, {}, {}
+    heads = {w for w, in size}
+
+    def parent(context, k):
+        for j in range(k - 1, 0, -1):
+            if context[-j:] in states:
+                return context[-j:]
+        return ()
+
+    for k in range(1, depth + 1):
+        if k > 1:
+            found = Counter(tuple(t[i - k:i]) for t in learnt for i in range(k, len(t)))
+            size.update({x: m for x, m in found.items() if m >= seen and set(x) <= heads and x[1:] in size and x[:-1] in size})
+        for t in learnt:
+            for i in range(k, len(t)):
+                x = tuple(t[i - k:i])
+                if x in size:
+                    after.setdefault(x, Counter())[t[i]] += 1
+        for x in [x for x in size if len(x) == k]:
+            above = parent(x, k)
+            kl = q_rest = p_rest = 0.0
+            q_rest = p_rest = 1.0
+            symbols = 0
+            for w, m in after[x].items():
+                if m >= gamma * size[x]:
+                    q = m / size[x]
+                    p = (after[above][w] if after[above][w] > 1 else 1) / size[above] if above else c[w] / n
+                    kl, q_rest, p_rest, symbols = kl + q * math.log(q / p), q_rest - q, p_rest - p, symbols + 1
+            q_rest, p_rest = max(q_rest, 1e-12), max(p_rest, 1e-12)
+            if kl + q_rest * math.log(q_rest / p_rest) - symbols / (2 * size[x]) >= divergence:
+                states[x] = 0.98 / (size[x] + len(after[x]))
+    scores = []
+    for t in tokens:
+        total = 0.0
+        for i, w in enumerate(t):
+            p = (c[w] - d) / n if c[w] else d * v / n
+            for k in range(1, min(depth, i) + 1):
+                x = tuple(t[i - k:i])
+                if x not in size:
+                    break
+                if x in states:
+                    p = (after[x][w] if after[x][w] > 1 else 0) * states[x] + (1 - states[x] * sum(m for m in after[x].values() if m > 1)) * p
+            total += math.log10(p)
+        scores.append(total)
+    return scores, states
+
+
+@pytest.mark.parametrize("seed,depth", [(1, 3), (2, 2), (3, 1)])
+def test_suffix_tree_against_plain_tree(spark, seed, depth):
+    """Retained contexts and scores on random texts with order, repeats, unknown words and empty texts."""
+    ensure_importable(spark)
+    rng = random.Random(seed)
+    texts = []
+    for i in range(120):
+        w = [rng.randint(0, 11)]
+        for _ in range(rng.randint(0, 60)):
+            w.append((w[-1] * 5 + (w[-2] if len(w) > 1 and rng.random() < 0.5 else 0) + (rng.random() < 0.2)) % 12)
+        texts.append(" ".join(f"W{x}" if rng.random() < 0.3 else f"w{x}" for x in w) + (f" only{i}" if i % 9 == 0 else ""))
+    texts += ["", None, "w1", "the same line again", "the same line again"] + ["the same line again"] * 20
+    train = [i % 4 != 0 for i in range(len(texts))]
+    want, states = plain_tree(texts, train, 10, depth)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in suffix_tree.score(docs, F.col("doc_id") % 4 != 0, depth=depth, seen=10).collect()}
+    assert len(states) > 5 and len({len(x) for x in states}) == depth
+    assert all(close(got[i], x) for i, x in enumerate(want))
+
+
+def test_suffix_tree_drops_repeated_contexts(spark):
+    """A context whose followers are those of its suffix is no state, however it is smoothed."""
+    texts = [f"x{i % 2} b f{i // 2 % 50}" for i in range(3000)]
+    _, states = plain_tree(texts, [True] * 3000, 100, 2)
+    assert ("b",) in states and not any(len(x) == 2 and x[1] == "b" for x in states)
+
+
 def test_suffix_tree_empty(hard_df):
     assert suffix_tree.score_documents(hard_df.limit(0)).count() == 0
 
