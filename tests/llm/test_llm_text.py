@@ -320,6 +320,22 @@ def tokenizer():
     return ranks, public.PATTERN, tiktoken.Encoding("own", pat_str=public.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def test_bpe_two_vocabularies_in_one_session(spark, hard, tokenizer):
+    """Vocabularies of one size keep apart, also in reused workers."""
+    import public_tokenizers
+    import tiktoken
+
+    ranks, pattern, library = tokenizer
+    other = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    assert len(other) == len(ranks) and bpe.vocabulary_key(other, pattern) != bpe.vocabulary_key(ranks, pattern)
+    second = tiktoken.Encoding("second", pat_str=pattern, mergeable_ranks=other, special_tokens={})
+    rows = [(i, t) for i, t, *_ in hard if t and len(t) < 3000]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for table, plain in ((ranks, library), (other, second), (ranks, library)):
+        got = Counter((r["doc_id"], tuple(r["ids"])) for r in bpe.encode(docs, table, pattern).collect())
+        assert got == Counter((i, tuple(plain.encode_ordinary(t))) for i, t in rows)
+
+
 def test_bpe_equals_the_library(tokenizer, hard, hard_df):
     ranks, pattern, library = tokenizer
     got = bpe.encode(hard_df, ranks, pattern).toPandas()
@@ -511,6 +527,81 @@ def test_language_hard_cases(hard, hard_df):
     assert language.predict(hard_df.limit(0), model).count() == 0
 
 
+def plain_language(rows, learn):
+    """(prediction, posterior) of every text with exact n-gram dictionaries instead of buckets."""
+    def grams(t):
+        s = "".join(c if c.isalpha() else " " for c in (t or "").lower())
+        s = "".join(c for k, c in enumerate(s) if c != " " or (k and s[k - 1] != " "))
+        return Counter(s[k:k + n] for n in (1, 2, 3) for k in range(len(s) - n + 1) if s[k:k + n].strip())
+
+    counts, texts = {}, Counter()
+    for (_, t, lang, *_), use in zip(rows, learn):
+        if use and t is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(grams(t))
+            texts[lang] += 1
+    buckets = language.BUCKETS
+    out = []
+    for _, t, *_ in rows:
+        g = grams(t)
+        if not g:
+            out.append(("und", 0.0))
+            continue
+        total = {x: math.log(texts[x] / sum(texts.values()))
+                 + sum(n * math.log((c[y] + language.SMOOTHING) / (sum(c.values()) + language.SMOOTHING * buckets)) for y, n in g.items())
+                 for x, c in counts.items()}
+        best = min(total, key=lambda x: (-total[x], x))
+        out.append((best, 1 / sum(math.exp(v - total[best]) for v in total.values())))
+    return out
+
+
+def test_language_against_plain_bayes(spark, hard):
+    """Equal up to n-grams that share a bucket: almost all predictions, and posteriors of clear ones."""
+    rows = [(i, *r[1:]) for i, r in enumerate(x for x in hard if len(x[1] or "") < 5000)]
+    learn = [i % 5 != 0 for i in range(len(rows))]
+    want = plain_language(rows, learn)
+    df = spark.createDataFrame([(r[0], r[1], r[2], k) for r, k in zip(rows, learn)], "doc_id long, text string, lang string, learn boolean").repartition(3)
+    got = {r["doc_id"]: r["language"] for r in language.predict(df, language.train(df.filter("learn"))).collect()}
+    same = [got[i]["lang_pred"] == w[0] for i, w in enumerate(want)]
+    assert sum(same) >= len(same) - 1
+    assert all(abs(got[i]["score"] - w[1]) < 0.02 for i, w in enumerate(want) if same[i] and w[1] > 0.999)
+
+
+def test_language_slices_equal_one_matrix(spark, hard_df, monkeypatch):
+    """Languages in slices of one and two, against all at once."""
+    df = hard_df.withColumn("lang", F.when(F.col("lang").isNotNull(), F.concat("lang", (F.col("doc_id") % 3).cast("string"))))
+    one = language.predict(df, language.train(df)).select("doc_id", "text", "language.*").toPandas()
+    order = ["doc_id", "text", "lang_pred"]
+    for size in (1, 2):
+        monkeypatch.setattr(language, "MATRIX_BYTES", size * 4 * language.BUCKETS)
+        model = language.train(df)
+        assert model.slices > 1 and model.per_slice == size
+        got = language.predict(df, model).select("doc_id", "text", "language.*").toPandas()
+        a, b = (x.sort_values(order, na_position="first").reset_index(drop=True) for x in (one, got))
+        assert a[order].equals(b[order]) and np.allclose(a["score"], b["score"])
+
+
+def test_language_of_a_dirty_column(spark, monkeypatch):
+    """More languages than a matrix holds: every text keeps a prediction."""
+    ensure_importable(spark)
+    monkeypatch.setattr(language, "MATRIX_BYTES", 1000 * 4 * language.BUCKETS)
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} word{'abcdefghij'[i % 10]}", f"x{i:05d}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.train(df)
+    assert model.slices == 3
+    got = language.predict(df, model).select("doc_id", "language.*").collect()
+    assert len(got) == 3000 and all(0 < r["score"] <= 1 and r["lang_pred"].startswith("x") for r in got)
+
+
+def test_language_of_a_long_text_in_pieces(monkeypatch):
+    text = "".join(random.Random(4).choice("abc  É12-ß\x00") for _ in range(5000))
+    whole = [np.sort(b) for b, _ in language.ngrams([text], 1 << 14)]
+    monkeypatch.setattr(language, "SLICE_CHARS", 7)
+    parts = [[], [], []]
+    for order, bucket in language.long_ngrams(text, 1 << 14):
+        parts[order].append(bucket)
+    assert all(np.array_equal(np.sort(np.concatenate(p)), w) for p, w in zip(parts, whole))
+
+
 def test_language_ngrams_match_plain_ones():
     texts = ["Hello, World 12", "", "a", "ÄÖ ü\x00x", "  --  "]
     got = [Counter() for _ in texts]

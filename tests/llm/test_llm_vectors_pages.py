@@ -343,3 +343,12 @@ def test_queries_match_their_sql(spark, name):
     columns = sorted(want.columns)
     sort = lambda df: df[columns].sort_values(columns).reset_index(drop=True)
     assert sort(got).equals(sort(want).astype(got[columns].dtypes.to_dict()))
+
+
+def test_warc_read_back_in_many_tasks(spark, monkeypatch):
+    """Every archive gets a task of its own, whatever AQE makes of the small manifest."""
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 20_000)
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}</p>" * 300) for i in range(80)], "page_id long, url string, html string").repartition(2)
+    got = warc.archive_round_trip(pages)
+    tasks = got.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert got.count() == 80 and tasks > 5

@@ -28,8 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchcredit.llm.common import tidy
+
 #: Words of a generation that a worker keeps between batches, and the longest word kept.
-CACHE_WORDS = 250_000
+CACHE_WORDS = 120_000
 CACHE_WORD_CHARS = 64
 #: Distinct words from which positions are merged in numpy.
 MANY_WORDS = 3_000
@@ -300,8 +302,16 @@ def _codec(key: str, ranks: dict[bytes, int], pattern: str) -> Codec:
     return _codecs[key]
 
 
+def vocabulary_key(ranks: dict[bytes, int], pattern: str) -> str:
+    """Digest of every token with its rank, and of the pattern: a worker keeps one vocabulary's codec."""
+    digest = hashlib.sha256(pattern.encode("utf-8"))
+    for token, rank in sorted(ranks.items(), key=lambda x: x[1]):
+        digest.update(b"%d:%d:%b" % (rank, len(token), token))
+    return digest.hexdigest()
+
+
 #: Characters handled together: bounds the memory of a batch whatever its rows hold.
-BATCH_CHARS = 6 << 20
+BATCH_CHARS = 3 << 20
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
@@ -310,7 +320,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     whole text, and the digest of what decoding them gives back."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(ranks)
-    key = hashlib.sha256(repr((len(ranks), pattern)).encode()).hexdigest()
+    key = vocabulary_key(ranks, pattern)
     fields = [("doc_id", docs.schema[id_col].dataType.simpleString()), ("n_tokens", "long"), ("ids_sha256", "string"),
               ("decoded_sha256", "string")] + [("ids", "array<int>")] * keep_ids
     schema = ", ".join(f"{a} {b}" for a, b in fields)
@@ -340,4 +350,4 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
                 yield pa.RecordBatch.from_arrays(cols, names=[a for a, _ in fields])
                 at = end
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(tidy(run), schema)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
 import uuid
+from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +37,41 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
+def hand_back() -> None:
+    """Return freed memory of this worker to the system: it waits for its next task, maybe of another stage."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):          # another C library: it does so by itself, or not at all
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` (an iterator of batches to an iterator), which hands memory back at the end of a task."""
+
+    @functools.wraps(run)
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            hand_back()
+
+    return tidied
+
+
+#: Bytes of a batch that Spark hands to a Python worker: both sides hold a few of them.
+BATCH_BYTES = 8 << 20
+
+
 def ensure_importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver did, unless it is installed there.
+    """Let Python workers import this package from where the driver did, unless it is installed there, and bound
+    the bytes of their batches (a limit of rows alone lets long texts add up).
 
     Spark prepends this to the workers' PYTHONPATH; a folder that an executor lacks is ignored.
     """
+    limit = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").removesuffix("b")
+    if not limit.isdigit() or int(limit) > BATCH_BYTES:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     env = spark.sparkContext.environment
     here = str(Path(__file__).resolve().parents[2])
     if here not in env.get("PYTHONPATH", "").split(os.pathsep):

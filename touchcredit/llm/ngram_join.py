@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from touchcredit.llm.common import Workspace, free_name
+from touchcredit.llm.common import Workspace, free_name, tidy
 from touchcredit.llm.components import connected_components
 from touchcredit.llm.textscan import find_words, hash_words, mix64, text_slices
 
@@ -143,7 +143,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.nulls(len(packed), pa.int64()), pa.nulls(len(packed), pa.int64()), pa.nulls(len(packed), pa.int64()),
                                           pa.array(list(pieces), pa.int32()), pa.array(packed, pa.binary())], names=names)
 
-    return docs.mapInArrow(run, "doc_id long, n long, sig long, piece int, cells binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, n long, sig long, piece int, cells binary")
 
 
 def summed_sketch(pieces: DataFrame) -> np.ndarray:
@@ -158,7 +158,7 @@ def summed_sketch(pieces: DataFrame) -> np.ndarray:
                                          names=["piece", "cells"])
 
     counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-    for k, cells in pieces.repartition("piece").mapInArrow(run, "piece int, cells binary").collect():    # fixed size
+    for k, cells in pieces.repartition("piece").mapInArrow(tidy(run), "piece int, cells binary").collect():    # fixed size
         counts[k * PIECE:(k + 1) * PIECE] = np.frombuffer(bytes(cells), dtype=np.int64)
     return counts
 
@@ -195,7 +195,7 @@ def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> D
                         [pa.array(np.concatenate(grams_out).view(np.int64)), pa.array(np.concatenate(n_out).astype(np.int32)),
                          pa.array(np.concatenate(sig_out)), pa.array(np.concatenate(head_out))], names=["gram", "n", "sig", "head"])
 
-    return docs.mapInArrow(run, "gram long, n int, sig long, head boolean")
+    return docs.mapInArrow(tidy(run), "gram long, n int, sig long, head boolean")
 
 
 def shared_postings(posted: DataFrame) -> DataFrame:
@@ -224,7 +224,7 @@ def shared_postings(posted: DataFrame) -> DataFrame:
         if held is not None and carried:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
 
-    return posted.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(run, "gram long, n int, sig long, head boolean")
+    return posted.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(tidy(run), "gram long, n int, sig long, head boolean")
 
 
 def candidates(shared: DataFrame, percent: int) -> DataFrame:
@@ -290,7 +290,7 @@ def candidates(shared: DataFrame, percent: int) -> DataFrame:
             pairs = np.unique(np.concatenate(found), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
 
-    return shared.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(run, "a long, b long")
+    return shared.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(tidy(run), "a long, b long")
 
 
 class Sets:
@@ -478,7 +478,7 @@ def signatures(text_col: str, words: int) -> Column:
             yield pa.array([signature(g) if len(g) else None for _, _, data, offs in text_slices(column)
                             for g in shingle_sets(data, offs, words)], pa.int64())
 
-    return arrow_udf(run, "long")(F.col(text_col))
+    return arrow_udf(tidy(run), "long")(F.col(text_col))
 
 
 def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:

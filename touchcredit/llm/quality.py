@@ -24,6 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from touchcredit.llm.common import tidy
+
 from touchcredit.llm.textscan import IS_SPACE, find_words, hash_words, mix64, row_of, segment_sum, text_slices
 
 COSINES = 256
@@ -95,7 +97,7 @@ def features(text: Column) -> Column:
             offs = np.arange(0, len(flat) + 1, len(FEATURES), dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))
 
-    return arrow_udf(run, "array<double>")(text)
+    return arrow_udf(tidy(run), "array<double>")(text)
 
 
 def _summed(rows: DataFrame, size: int, add) -> np.ndarray:
@@ -115,9 +117,9 @@ def _summed(rows: DataFrame, size: int, add) -> np.ndarray:
                 total += np.frombuffer(blob.as_py())
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    parts = rows.mapInArrow(first, "sums binary").repartition(32).mapInArrow(more, "sums binary")
+    parts = rows.mapInArrow(tidy(first), "sums binary").repartition(32).mapInArrow(tidy(more), "sums binary")
     total = np.zeros(size)
-    for r in parts.coalesce(1).mapInArrow(more, "sums binary").collect():      # one row
+    for r in parts.coalesce(1).mapInArrow(tidy(more), "sums binary").collect():      # one row
         total += np.frombuffer(bytes(r[0]))
     return total
 
@@ -189,7 +191,7 @@ def score(column: Column, model: dict) -> Column:
         for c in columns:
             yield pa.array(probability(c.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)), m))
 
-    return arrow_udf(run, "double")(column)
+    return arrow_udf(tidy(run), "double")(column)
 
 
 def labelled(feats: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc_id") -> DataFrame:

@@ -14,7 +14,8 @@ with the smallest id is the response, the others are revisits without a block.
 Defined cases: null html is an empty payload; a null id is never a group's
 smallest while another exists; rows repeated with the smallest id are all
 responses; control characters and spaces in a url are percent-encoded in the
-header; an empty table gives no archives and no rows. Other columns are not read.
+header, so the read-back ``target_uri`` is not always the page's url (a null one
+is ``urn:page:`` and the id); an empty table gives no archives and no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ from touchcredit.llm.common import Workspace
 CHUNK = 1 << 20
 #: Uncompressed bytes after which a partition starts another archive.
 ARCHIVE_BYTES = 64 << 20
+#: Tasks that read archives at most, as a multiple of the shuffle partitions.
+READ_TASKS = 4
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -193,7 +196,13 @@ def open_folder(uri: str):
 
 
 def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to) of every record, read by offset."""
+    """(page_id, target_uri, payload_bytes, payload_digest, record_type, refers_to) of every record, read by offset.
+
+    Archives are dealt by range of name over as many tasks as there are archives, up to a multiple of the shuffle
+    partitions: the manifest is a few rows, which the session would otherwise put into one task.
+    """
+    spark = manifest.sparkSession
+    tasks = max(1, min(manifest.count(), READ_TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = open_folder(folder)
@@ -209,8 +218,8 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                             rows = []
                 yield packed(rows)
 
-    return (manifest.select("archive").repartition("archive")
-            .mapInArrow(run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"))
+    return (manifest.select("archive").repartitionByRange(tasks, "archive")
+            .mapInArrow(run, "page_id long, target_uri string, payload_bytes long, payload_digest string, record_type string, refers_to long"))
 
 
 def described(raw: bytes) -> tuple:
@@ -228,7 +237,7 @@ def described(raw: bytes) -> tuple:
 
 
 def packed(rows: list[tuple]) -> pa.RecordBatch:
-    names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    names = ["page_id", "target_uri", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64()]
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=names)
 
