@@ -99,6 +99,56 @@ def test_top_k_equals_brute_force(spark, sizes):
     assert Counter(tuple(int(x) for x in r) for r in got[["query_id", "rank", "vec_id", "score"]].itertuples(index=False)) == expect
 
 
+def brute_top_k(rows, k, scale=64):
+    use = [(i, [math.floor(scale * x) for x in v]) for i, v in rows if good(v, True)]
+    out = []
+    for q in sorted({i for i, _ in use if i % 20 == 0}):
+        mine = next(v for i, v in use if i == q)
+        best = sorted((-sum(a * b for a, b in zip(mine, v)), i) for i, v in use if i != q and len(v) == len(mine))[:k]
+        out += [(q, r, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, i) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def ranked(df):
+    return sorted(tuple(int(x) for x in r) for r in df.select("query_id", "rank", "vec_id", "score").collect())
+
+
+@pytest.mark.parametrize("size", [1e6, 1e9, 1e12, 1e200])
+def test_top_k_of_large_components(spark, size):
+    """Scores past 2^53, and past a long: ranked in whole numbers."""
+    ensure_importable(spark)
+    rng = random.Random(int(math.log10(size)))
+    base = [rng.uniform(-1, 1) * size for _ in range(4)]
+    rows = [(i, [rng.uniform(-1, 1) * size * rng.choice([1, 1e-6, 1e-12]) for _ in range(4)]) for i in range(90)]
+    # rows that differ by one unit in the last place of a product
+    rows += [(100 + i, [base[0], base[1], base[2], i / 64]) for i in range(30)] + [(40, [size, 1.0, 0.0, 1.0]), (60, base)]
+    rows = list({i: (i, v) for i, v in rows}.values())
+    if size > 1e18:      # products pass 38 digits: ranks are not defined there, but rows come back
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+        assert len(ranked(topk.exact_top_k(df, F.col("vec_id") % 20 == 0, k=5))) == 5 * sum(i % 20 == 0 for i, _ in rows)
+        return
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for shard, group in ((4096, 16), (16, 2)):
+        assert ranked(topk.exact_top_k(df, F.col("vec_id") % 20 == 0, k=20, shard_rows=shard, query_rows=4, group_shards=group)) == brute_top_k(rows, 20)
+
+
+def test_top_k_does_not_clip(spark):
+    ensure_importable(spark)
+    df = spark.createDataFrame([(0, [1e6, 1.0]), (1, [3e5, 0.0]), (2, [4e5, 0.0]), (3, [2.7e5, 9.0])], "vec_id long, embedding array<float>")
+    got = topk.exact_top_k(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r["vec_id"] for r in got] == [2, 1, 3]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE embeddings AS SELECT * FROM (VALUES (0::BIGINT, [1e6::FLOAT, 1]), (1, [3e5, 0]), (2, [4e5, 0]), (3, [2.7e5, 9])) t(vec_id, embedding)")
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(queries.OP2_SQL).fetchall())
+
+
+def test_top_k_with_many_copies(spark):
+    """A third of all rows are one row, which is also asked for: copies count, k of them at most."""
+    rows = [(20, [1.0, 2.0])] * 700 + [(i, [float(i % 7), float(i % 5)]) for i in range(21, 1400)]
+    got = ranked(topk.exact_top_k(vectors(spark, rows), F.col("vec_id") % 20 == 0, k=6, shard_rows=64, query_rows=16, group_shards=2))
+    assert got == brute_top_k(rows, 6)
+
+
 def test_top_k_of_a_repeated_query_id(spark):
     """Two vectors of one query id are ranked together, as the SQL does; equal rows count once."""
     ensure_importable(spark)

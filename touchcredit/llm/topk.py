@@ -9,8 +9,17 @@ are shared along the way: shards of a task are searched one after another with
 one running result, and the results over a first group of shards are the
 starting cut-off of the tasks over all other groups.
 
-Components are floor(scale * x) as integers, saturated at +-2^24, so scores are
-exact. Defined cases: null or empty vectors, vectors with null or non-finite
+Components are floor(scale * x), integers of any size that a double holds. Where
+dim x largest x largest component stay below 2^53, sums of doubles are exact.
+Where they do not, sums of doubles with a proven error bound choose which rows a
+query can still want, and those are scored in whole numbers of any length
+(``ExactBest``). Scores are ranked exactly up to 38 digits; the column ``score``
+is a long and holds its largest or smallest value where a score passes that.
+
+Rows are dealt into shards by a hash of id and vector, so a repeated id spreads;
+of equal rows, k copies take part, as no more can be among a query's best.
+
+Defined cases: null or empty vectors, vectors with null or non-finite
 components, and rows without an id take no part. A query never meets rows of
 its own id. Ties go to the smaller id. Vectors of another length than the query
 are no candidates. Fewer candidates than k give fewer rows. A repeated query
@@ -24,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,18 +44,29 @@ LEAF_ROWS = 128
 QUERY_ROWS = 1024
 #: Shards that one task searches in turn.
 GROUP_SHARDS = 16
-LIMIT = float(1 << 24)
+#: Sums of integers below this are exact in a double.
+EXACT = float(1 << 53)
 
 
-def finite(column: str) -> Column:
+def finite(column: str, scale: float = 1.0) -> Column:
+    """Whether a vector has components, all of them finite, also times ``scale``."""
     c = F.col(column)
     return F.coalesce(c.isNotNull() & (F.size(c) > 0) & F.forall(
-        c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))), F.lit(False))
+        c, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * F.lit(scale)) != float("inf"))), F.lit(False))
 
 
 def integers(column: pa.Array, dim: int, scale: float) -> np.ndarray:
     x = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
-    return np.clip(np.floor(scale * x), -LIMIT, LIMIT)
+    return np.floor(scale * x)
+
+
+def reach(x: np.ndarray) -> float:
+    """Largest absolute component."""
+    return float(np.abs(x).max()) if x.size else 0.0
+
+
+def integer_rows(x: np.ndarray) -> list[list[int]]:
+    return [[int(c) for c in row] for row in x.tolist()]
 
 
 class BallTree:
@@ -95,12 +116,40 @@ class Best:
         self.cut[rows] = np.maximum(self.cut[rows], self.score[rows, -1])
 
 
-def search(tree: BallTree, q: np.ndarray, q_ids: np.ndarray, best: Best) -> int:
+    def found(self) -> tuple[np.ndarray, np.ndarray, list]:
+        """(query rows, ids, scores)."""
+        got = np.isfinite(self.score)
+        return np.nonzero(got)[0], self.id[got], self.score[got].astype(np.int64).tolist()
+
+
+class ExactBest:
+    """``Best`` in whole numbers of any length, for blocks whose products a double cannot hold."""
+
+    def __init__(self, q: np.ndarray, k: int, cut: np.ndarray):
+        self.k, self.cut, self.q = k, cut.copy(), integer_rows(q)
+        self.best: list[list[tuple[int, int]]] = [[] for _ in self.q]         # (-score, id), rising
+
+    def offer(self, row: int, x: list[list[int]], ids: list[int]) -> None:
+        mine = self.q[row]
+        self.best[row] = sorted(self.best[row] + [(-sum(map(int.__mul__, mine, y)), i) for y, i in zip(x, ids)])[:self.k]
+        if len(self.best[row]) == self.k:
+            # the next double below, so that an exact tie is never cut off
+            kth = min(-self.best[row][-1][0], 10 ** 308)
+            self.cut[row] = max(self.cut[row], np.nextafter(float(kth), -np.inf) if kth > -10 ** 308 else -np.inf)
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, list]:
+        rows = [(r, i, -s) for r, b in enumerate(self.best) for s, i in b]
+        return np.array([r for r, _, _ in rows], np.int64), np.array([i for _, i, _ in rows], np.int64), [s for _, _, s in rows]
+
+
+def search(tree: BallTree, q: np.ndarray, q_ids: np.ndarray, best: Best | ExactBest) -> int:
     """Offer the tree's rows to all queries that they can still help; returns the products computed."""
     norm = np.sqrt((q * q).sum(axis=1))
     # the bound is a float sum: room for its rounding, so that an exact tie is never cut off
     room = 1e-9 * (1.0 + norm * (np.abs(tree.centres).max() * np.sqrt(q.shape[1]) + tree.radii.max()))
-    bound = lambda node, rows: q[rows] @ tree.centres[node] + norm[rows] * tree.radii[node] + room[rows]
+    def bound(node: int, rows: np.ndarray) -> np.ndarray:
+        b = q[rows] @ tree.centres[node] + norm[rows] * tree.radii[node] + room[rows]
+        return np.where(np.isnan(b), np.inf, b)        # components beyond the square root of a double's range
     done = 0
     stack = [(0, np.arange(len(q)))]
     while stack:
@@ -114,8 +163,17 @@ def search(tree: BallTree, q: np.ndarray, q_ids: np.ndarray, best: Best) -> int:
             stack += [(right, rows), (left, rows)] if lo >= hi else [(left, rows), (right, rows)]
             continue
         at, end = tree.spans[node]
-        scores = q[rows] @ tree.x[at:end].T            # integers below 2^53 in the doubles: exact
+        scores = q[rows] @ tree.x[at:end].T
         done += scores.size
+        if isinstance(best, ExactBest):
+            # a sum of d products is off by less than (d + 1) rounding errors of the sum of their sizes
+            error = (q.shape[1] + 1) * 2.3e-16 * (np.abs(q[rows]) @ np.abs(tree.x[at:end]).T)
+            near = ~(scores + error < best.cut[rows][:, None]) & (q_ids[rows][:, None] != tree.ids[None, at:end])
+            x = integer_rows(tree.x[at:end]) if near.any() else []
+            for i in np.flatnonzero(near.any(axis=1)):
+                some = np.flatnonzero(near[i])
+                best.offer(int(rows[i]), [x[j] for j in some], tree.ids[at:end][some].tolist())
+            continue
         scores[q_ids[rows][:, None] == tree.ids[None, at:end]] = -np.inf
         useful = (scores >= best.cut[rows][:, None]).any(axis=1)
         if useful.any():
@@ -130,9 +188,12 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
     spark = vectors.sparkSession
     ws = Workspace(spark, "top-k")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
-    rows = ws.keep(rows.filter(F.col("vec_id").isNotNull() & finite("embedding")).withColumn("dim", F.size("embedding")), "rows")
+    rows = rows.filter(F.col("vec_id").isNotNull() & finite("embedding", scale)).withColumn("dim", F.size("embedding"))
+    # copies of a row meet as counts; an array of floats is grouped by its bits
+    rows = rows.groupBy("vec_id", "embedding", "dim").agg(F.count(F.lit(1)).alias("copies"))
+    rows = ws.keep(rows.select("vec_id", "embedding", "dim", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))).alias("copy")), "rows")
     n = {r["dim"]: r["count"] for r in rows.groupBy("dim").count().collect()}     # one row per vector length
-    asked = rows.filter(F.coalesce(queries, F.lit(False))).dropDuplicates(["vec_id", "embedding"])
+    asked = rows.filter(F.coalesce(queries, F.lit(False)) & (F.col("copy") == 1))
     n_q = {r["dim"]: r["count"] for r in asked.groupBy("dim").count().collect()}
 
     def parts(counts: dict[int, int], size: int) -> Column:
@@ -146,7 +207,7 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
         x = integers(table["embedding"].combine_chunks(), dim, scale)
         tree = BallTree(table["vec_id"].to_numpy(), x.astype(np.float64))
         return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()),
-                         "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+                         "tree": pa.array([pickle.dumps(tree)], pa.binary()), "reach": pa.array([reach(tree.x)])})
 
     def pack(table: pa.Table) -> pa.Table:
         dim, block = table["dim"][0].as_py(), table["block"][0].as_py()
@@ -154,30 +215,33 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
         return pa.table({"dim": pa.array([dim], pa.int32()), "block": pa.array([block], pa.int32()),
                          "asked": pa.array([pickle.dumps((table["vec_id"].to_numpy(), q, np.full(len(q), -np.inf)))], pa.binary())})
 
-    shards = ws.keep(rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", F.lit(1)), parts(n, shard_rows)).cast("int"))
-                     .groupBy("dim", "shard").applyInArrow(plant, "dim int, shard int, tree binary")
+    shards = ws.keep(rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding", "copy"), parts(n, shard_rows)).cast("int"))
+                     .groupBy("dim", "shard").applyInArrow(plant, "dim int, shard int, tree binary, reach double")
                      .withColumn("group", F.floor(F.col("shard") / group_shards).cast("int")), "shards")
-    blocks = ws.keep(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(2)), parts(n_q, query_rows)).cast("int"))
+    blocks = ws.keep(asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "embedding", F.lit("q")), parts(n_q, query_rows)).cast("int"))
                      .groupBy("dim", "block").applyInArrow(pack, "dim int, block int, asked binary"), "blocks")
 
+    wide = pa.decimal128(38, 0)
+
     def find(left: pa.Table, right: pa.Table) -> pa.Table:
         """Answers of one block of queries over the shards of one group."""
-        none = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.int64()),
+        none = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], wide),
                 "dim": pa.array([], pa.int32()), "block": pa.array([], pa.int32())}
         if not left.num_rows or not right.num_rows:
             return pa.table(none)
         dim, block = left["dim"][0].as_py(), left["block"][0].as_py()
         ids, q, cut = pickle.loads(left["asked"][0].as_py())
-        best = Best(len(ids), k, cut)
+        small = dim * pc.max(right["reach"]).as_py() * reach(q) < EXACT
+        best = Best(len(ids), k, cut) if small else ExactBest(q, k, cut)
         for tree in right["tree"]:
             search(pickle.loads(tree.as_py()), q, ids, best)
-        got = np.isfinite(best.score)
-        at = np.nonzero(got)[0]
-        return pa.table({"query_id": pa.array(ids[at]), "vec_id": pa.array(best.id[got]),
-                         "score": pa.array(best.score[got].astype(np.int64)),
+        at, who, scores = best.found()
+        most = 10 ** 38 - 1
+        return pa.table({"query_id": pa.array(ids[at]), "vec_id": pa.array(who),
+                         "score": pa.array([max(-most, min(most, x)) for x in scores], wide),
                          "dim": pa.array(np.full(len(at), dim, np.int32)), "block": pa.array(np.full(len(at), block, np.int32))})
 
-    found_type = "query_id long, vec_id long, score long, dim int, block int"
+    found_type = "query_id long, vec_id long, score decimal(38,0), dim int, block int"
 
     def run(asked_blocks: DataFrame, of: DataFrame) -> DataFrame:
         # one task per block of queries and group of shards: both sides are small packed rows
@@ -185,7 +249,7 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
         left = asked_blocks.join(groups, F.col("dim") == F.col("of_dim")).select("dim", "block", F.col("of_group").alias("group"), "asked")
         some = asked_blocks.select(F.col("dim").alias("of_dim"), F.col("block").alias("of_block")).distinct()
         right = of.join(some, F.col("dim") == F.col("of_dim")).select(
-            F.col("of_dim").alias("to_dim"), F.col("of_block").alias("to_block"), F.col("group").alias("to_group"), "tree")
+            F.col("of_dim").alias("to_dim"), F.col("of_block").alias("to_block"), F.col("group").alias("to_group"), "tree", "reach")
         return (left.groupBy("dim", "block", "group").cogroup(right.groupBy("to_dim", "to_block", "to_group"))
                 .applyInArrow(find, found_type))
 
@@ -196,13 +260,13 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
         if not left.num_rows:
             return left.select(["dim", "block", "asked"])
         ids, q, cut = pickle.loads(left["asked"][0].as_py())
-        who, score = right["query_id"].to_numpy(), right["score"].to_numpy()
+        who, score = right["query_id"].to_numpy(), right["score"].cast(pa.float64()).to_numpy()
         order = np.lexsort((-score, who))
         who, score = who[order], score[order]
         uniq, at, count = np.unique(who, return_index=True, return_counts=True)
         full = count >= k
         kth = dict(zip(uniq[full].tolist(), score[at[full] + k - 1].tolist()))
-        cut = np.array([kth.get(i, -np.inf) for i in ids.tolist()])
+        cut = np.nextafter(np.array([kth.get(i, -np.inf) for i in ids.tolist()]), -np.inf)    # a proven lower bound, rounded or not
         return pa.table({"dim": left["dim"], "block": left["block"], "asked": pa.array([pickle.dumps((ids, q, cut))], pa.binary())})
 
     if max(n.values(), default=0) > group_shards * shard_rows or shards.filter("group > 0").limit(1).count():
@@ -212,4 +276,5 @@ def exact_top_k(vectors: DataFrame, queries: Column, k: int = 20, scale: float =
         found = found.unionByName(run(ws.keep(tight, "tight"), shards.filter("group > 0")))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.greatest(F.least(
+                "score", F.lit((1 << 63) - 1).cast("decimal(38,0)")), F.lit(-(1 << 63)).cast("decimal(38,0)")).cast("long").alias("score")))
