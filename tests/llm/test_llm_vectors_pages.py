@@ -273,6 +273,45 @@ def test_short_blocks_without_an_article():
     assert [list(extract.train().predict(np.array([[*r[:-1]]], float)))[0] for r in extract.labelled_blocks()] == [bool(r[-1]) for r in extract.labelled_blocks()]
 
 
+WORDS = "Plain running text of the article goes on for quite some words so that nobody takes it for anything else."
+
+
+@pytest.mark.parametrize("before,after", [
+    ("<datalist id=x><option value=a><option value=b></datalist>", ""), ("<select><option>one<option>two</select>", ""),
+    ("<select><option>one<input name=q>", ""), ("<p>old <option>option</p>", ""), ("", "</div></div></nav></section>"),
+    ("</article></main></aside>", "</p></p>")])
+def test_open_elements_lose_nothing(before, after):
+    tree = extract.train()
+    page = f"<html><body><article><p>{WORDS}</p>{before}<p>{WORDS} Second.</p></article>{after}</body></html>"
+    assert extract.main_text(page, tree).endswith(f"{WORDS} Second.")
+
+
+def test_head_left_open():
+    tree = extract.train()
+    for head in ("<head><title>No text</title>", "<head><meta charset=utf-8><style>p {}</style>", "<title>x</title>"):
+        assert extract.main_text(f"<html>{head}<p>{WORDS}</p><p>{WORDS}</p>", tree) == f"{WORDS} {WORDS}"
+
+
+def test_formulas_and_fallbacks_are_text():
+    tree = extract.train()
+    page = (f"<article><p>{WORDS} <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds.</p>"
+            f"<svg><title>no</title><text>Figure label</text></svg><p>{WORDS}</p><noscript><p>Shown without scripts.</p></noscript></article>")
+    text = extract.main_text(page, tree)
+    assert "x=2 holds." in text.replace("x = 2", "x=2") and text.count("x=2") == 1
+    assert "Figure label" in text and "Shown without scripts." in text and "no " not in text.split("Figure")[0][-4:]
+
+
+@pytest.mark.parametrize("opening,closing", [("<div class=widget>", ""), ("<div class=widget>", "</div>"), ("<div>", ""), ("<p class=promo>", ""),
+                                             ("<div class=ad><article>", ""), ("", "</div>")])
+def test_time_is_linear_in_containers(opening, closing):
+    import time
+
+    tree, n = extract.train(), 100_000
+    start = time.process_time()
+    extract.main_text(f"<body>{(opening + 'text here ') * n}{closing * n}<p>{WORDS}</p>", tree)
+    assert time.process_time() - start < 30
+
+
 @pytest.mark.parametrize("text", ["これは長い段落であり本文の一部として残るべき文章です", "这是一个很长的段落应该作为正文保留下来而不是被丢弃", "นี่คือย่อหน้ายาวที่ควรเก็บไว้เป็นข้อความหลักของหน้า"])
 def test_unspaced_scripts_without_an_article(text):
     assert extract.count_words(text) == len(text) and extract.count_words(f"two {text} words") == len(text) + 2

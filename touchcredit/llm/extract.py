@@ -13,13 +13,16 @@ or most of its running text, is not boilerplate by its class or id alone.
 Defined cases: null or empty html gives empty text; unclosed and stray tags,
 comments and cut-off pages are read as far as they go; character references are
 decoded as browsers do; an empty table gives an empty result; repeated rows give
-repeated results. Columns other than the id, url and html are not read.
+repeated results; formulas, drawings and fallback content are text like any
+other. Time is linear in a page, however many containers are left open. Columns
+other than the id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,12 @@ from pyspark.sql import functions as F
 
 # -- fixed values: HTML element classes and usual names of page furniture ----------------------------
 #: Content of these is never text.
-DROPPED = {"script", "style", "title", "textarea", "noscript", "template", "iframe", "object", "svg", "math", "select", "option",
-           "button", "canvas", "audio", "video", "head"}
+DROPPED = {"script", "style", "title", "textarea", "template", "iframe", "select", "datalist", "button", "audio", "video", "desc",
+           "metadata", "annotation", "annotation-xml"}
+#: A list of choices that is left open ends before these.
+ENDS_SELECT = {"select", "input", "textarea"}
 #: Of those, elements whose content is not markup.
-RAW = {"script", "style", "title", "textarea", "noscript", "iframe"}
+RAW = {"script", "style", "title", "textarea", "iframe"}
 #: These start and end a block.
 BLOCKS = {"address", "article", "aside", "blockquote", "body", "br", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
           "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html",
@@ -112,35 +117,76 @@ def _place(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, str]:
     return article, bad, "weak" if weak else ""
 
 
-def excused(hints: list[str], found: list[tuple], holders: list[tuple[bool, tuple[int, ...]]]) -> set[int]:
-    """Numbers of the name hints that do not count.
+class Hints:
+    """Name hints of a page's containers, each with the hint around it: (index of the outer one or -1, "weak" or "second")."""
 
-    ``found``: blocks (text, words, words in links, in article, boilerplate, numbers of its containers' hints);
-    ``holders``: of each article or main element outside boilerplate, (is main, numbers of the hints).
+    def __init__(self) -> None:
+        self.outer: list[int] = []
+        self.kind: list[str] = []
+
+    def add(self, around: int, kind: str) -> int:
+        self.outer.append(around)
+        self.kind.append(kind)
+        return len(self.kind) - 1
+
+    def counted(self, test) -> list[int]:
+        """Per hint, how many of it and those around it pass; one pass, as outer ones come first. The last entry, 0, is for -1."""
+        out = [0] * (len(self.kind) + 1)
+        for k, around in enumerate(self.outer):
+            out[k] = out[around] + bool(test(k))
+        return out
+
+    def free(self, k: int, out: set[int]) -> None:
+        """Add a hint and those around it; whoever is in has all around it in."""
+        while k >= 0 and k not in out:
+            out.add(k)
+            k = self.outer[k]
+
+
+def excused(hints: Hints, found: list[tuple], holders: list[tuple[bool, int]]) -> set[int]:
+    """Numbers of the name hints that do not count, in time linear in hints and blocks.
+
+    ``found``: blocks (text, words, words in links, in article, boilerplate, innermost hint);
+    ``holders``: of each article or main element outside boilerplate, (is main, innermost hint).
     """
-    out = {k for main, at in holders if main for k in at}
-    chains = [{k for k in at if k not in out} for _, at in holders]
-    if chains and all(chains):                         # no article free of hints: those around the least hidden ones go
-        open_ = [c for c in chains if all(hints[k] == "weak" for k in c)]
-        least = min((len(c) for c in open_), default=0)
-        out |= {k for c in open_ if len(c) == least for k in c}
+    out: set[int] = set()
+    for main, k in holders:
+        if main:
+            hints.free(k, out)
+    left = hints.counted(lambda k: k not in out)
+    strong = hints.counted(lambda k: k not in out and hints.kind[k] != "weak")
+    if holders and all(left[k] for _, k in holders):   # no article free of hints: those around the least hidden ones go
+        open_ = [k for _, k in holders if not strong[k]]
+        least = min((left[k] for k in open_), default=0)
+        for k in open_:
+            if left[k] == least:
+                hints.free(k, out)
     total = sum(b[1] - b[2] for b in found)
-    for k, hint in enumerate(hints):
-        if hint == "weak" and k not in out:
-            inside = [b for b in found if k in b[5] and not b[4] and not any(hints[i] == "second" for i in b[5])]
-            if sum(b[1] - b[2] for b in inside) > MOST * total and sum(b[1] >= PARAGRAPH_WORDS and 2 * b[2] < b[1] for b in inside) >= PARAGRAPHS:
-                out.add(k)
-    return out
+    second = hints.counted(lambda k: hints.kind[k] == "second")
+    text, paragraphs = [0] * len(left), [0] * len(left)
+    for b in found:
+        if not b[4] and not second[b[5]]:
+            text[b[5]] += b[1] - b[2]
+            paragraphs[b[5]] += b[1] >= PARAGRAPH_WORDS and 2 * b[2] < b[1]
+    most = set()
+    for k in range(len(hints.kind) - 1, -1, -1):       # inner ones first: what they hold, the outer ones hold too
+        if hints.kind[k] == "weak" and text[k] > MOST * total and paragraphs[k] >= PARAGRAPHS:
+            most.add(k)
+        if hints.outer[k] >= 0:
+            text[hints.outer[k]] += text[k]
+            paragraphs[hints.outer[k]] += paragraphs[k]
+    return out | most
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """Flat blocks in page order: (text, words, words in links, in article, named as boilerplate)."""
-    out: list[tuple[str, int, int, bool, bool, tuple[int, ...]]] = []
-    hints: list[str] = []
-    holders: list[tuple[bool, tuple[int, ...]]] = []
+    out: list[tuple[str, int, int, bool, bool, int]] = []
+    hints = Hints()
+    holders: list[tuple[bool, int]] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []   # (tag, in article, boilerplate, name hints), inherited downwards
+    stack: list[tuple[str, bool, bool, int]] = []      # (tag, in article, boilerplate, innermost hint), inherited downwards
+    open_tags: Counter[str] = Counter()
     links = 0
     skip = ""                                          # the dropped element we are in, and how deep
     depth = 0
@@ -149,15 +195,14 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                article, bad, named = stack[-1][1:] if stack else (False, False, ())
+                article, bad, named = stack[-1][1:] if stack else (False, False, -1)
                 out.append((text, count_words(text), count_words("".join(linked)), article, bad, named))
             parts.clear()
             linked.clear()
 
-    def hinted(named: tuple[int, ...], hint: str) -> tuple[int, ...]:
-        if hint:
-            hints.append(hint)
-        return (*named, len(hints) - 1) if hint else named
+    def enter(tag: str, article: bool, bad: bool, named: int, hint: str) -> None:
+        stack.append((tag, article, bad, hints.add(named, hint) if hint else named))
+        open_tags[tag] += 1
 
     def add(text: str) -> None:
         if text and not skip:
@@ -177,17 +222,16 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         if not tag:
             continue
         attrs, closing = m["attrs"] or m["attrs2"] or "", bool(m["close"] or m["close2"])
+        if skip == "select" and not closing and tag in ENDS_SELECT:
+            skip, depth = "", 0
         if skip:
             if tag == skip:
                 depth += -1 if closing else 1
                 if depth == 0:
                     skip = ""
-            elif skip == "head" and tag == "body":     # a head left open
-                skip, depth = "", 0
             elif tag in RAW and not closing:
                 at = _past_raw(page, at, tag)
-            if skip or tag != "body":
-                continue
+            continue
         if tag in RAW and not closing:
             at = _past_raw(page, at, tag)
             continue
@@ -203,26 +247,28 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
             links = 0 if tag not in ("br", "p") else links
             if tag in CONTAINERS:
                 if closing:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == tag:
-                            del stack[i:]
+                    while open_tags[tag]:
+                        last = stack.pop()[0]
+                        open_tags[last] -= 1
+                        if last == tag:
                             break
                 elif not attrs.endswith("/"):
-                    article, bad, named = stack[-1][1:] if stack else (False, False, ())
+                    article, bad, named = stack[-1][1:] if stack else (False, False, -1)
                     here, furniture, hint = _place(tag, attrs, article)
-                    stack.append((tag, article or here, bad or furniture, hinted(named, hint)))
+                    enter(tag, article or here, bad or furniture, named, hint)
                     if here and not stack[-1][2] and (main := _explicit(tag, attrs)):
                         holders.append((main == "main", stack[-1][3]))
             elif not closing and attrs and tag not in VOID and tag not in ("html", "body"):
                 _, furniture, hint = _place(tag, attrs, True)   # a named paragraph or list item is a block of its own
                 if furniture or hint:
-                    article, bad, named = stack[-1][1:] if stack else (False, False, ())
-                    stack.append((tag, article, bad or furniture, hinted(named, hint)))
+                    article, bad, named = stack[-1][1:] if stack else (False, False, -1)
+                    enter(tag, article, bad or furniture, named, hint)
             elif closing and stack and stack[-1][0] == tag:
-                stack.pop()
+                open_tags[stack.pop()[0]] -= 1
     flush()
-    free = excused(hints, out, holders) if hints else set()
-    return [(*b[:4], b[4] or any(k not in free for k in b[5])) for b in out]
+    free = excused(hints, out, holders) if hints.kind else set()
+    counting = hints.counted(lambda k: k not in free)
+    return [(*b[:4], b[4] or counting[b[5]] > 0) for b in out]
 
 
 def _explicit(tag: str, attrs: str) -> str:
