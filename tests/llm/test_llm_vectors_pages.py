@@ -77,6 +77,37 @@ def test_near_duplicate_vectors(spark, block_rows):
     assert Counter(tuple(r) for r in got[["vec_id", "n_links", "component_id", "kept"]].itertuples(index=False, name=None)) == expect
 
 
+def test_leaves_and_boxes():
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(size=(400, 3)), np.zeros((200, 3)), np.repeat(rng.normal(size=(3, 3)), 50, axis=0)])
+    for most in (1, 2, 7, 64):
+        leaves = embed_dedup.Leaves(x, most)
+        at = leaves.place(x)
+        assert 1 <= leaves.count <= most and set(at.tolist()) <= set(range(leaves.count)) and (leaves.count > most // 2 or most < 3)
+    u = embed_dedup.unit(rng.normal(size=(500, 6)))
+    at = embed_dedup.Leaves(u[:, :3], 32).place(u[:, :3])
+    low, high = (np.array([f(u[at == k, :3], axis=0) for k in range(at.max() + 1)]) for f in (np.min, np.max))
+    near = {tuple(p) for p in embed_dedup.near_boxes(low, high, 0.95).tolist()}
+    a, b = np.nonzero(u @ u.T >= 0.95)
+    assert all((at[i], at[j]) in near for i, j in zip(a, b)) and len(near) < 0.8 * (at.max() + 1) ** 2
+
+
+def test_far_blocks_are_not_paired(spark):
+    """Rows reach only blocks of leaves near theirs, and all links are found."""
+    ensure_importable(spark)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 16)) * 4
+    rows = [(i, [float(np.float32(v)) for v in centres[i % 12] + 0.4 * rng.normal(size=16)]) for i in range(600)]
+    df = vectors(spark, rows)
+    classes = df.select(F.col("vec_id").alias("cls"), F.lit(1).cast("long").alias("copies"), "embedding", F.size("embedding").alias("dim"))
+    axes = spark.sparkContext.broadcast(embed_dedup.principal_axes(classes))
+    tiles = embed_dedup.paired_blocks(classes, axes, 0.95, 50)
+    assert tiles.count() < 0.6 * 600 * 12 and tiles.select("cls").distinct().count() == 600
+    got = {r["vec_id"]: r["n_links"] for r in embed_dedup.near_duplicates(df, block_rows=50).collect()}
+    u = embed_dedup.unit(np.array([v for _, v in rows]))
+    assert got == dict(enumerate(((u @ u.T >= 0.95).sum(axis=1) - 1).tolist()))
+
+
 def test_vectors_empty(spark):
     none = vectors(spark, hard_vectors()).limit(0)
     assert embed_dedup.near_duplicates(none).count() == 0

@@ -1,11 +1,16 @@
 """Near-duplicate embeddings: PCA-ordered tiled comparison.
 
 Vectors are scaled to unit length and rotated to their principal axes, largest
-variance first. Rows are dealt into blocks of bounded size and every pair of
-blocks is one task. A task multiplies leading dimensions first; the rest of a
-product is at most the product of the two suffix norms, so a pair stops as soon
-as its cosine cannot reach the threshold. Survivors are verified in double
-precision. Links are counted and contracted inside the task: no pair leaves it.
+variance first. The leading axes cut them into leaves of neighbours (medians of
+a bounded sample, which only balance the leaves), leaves into blocks of bounded
+size. Unit vectors of cosine c are sqrt(2 - 2c) apart, and no nearer on some
+axes than on all: two leaves whose bounding boxes on the leading axes lie
+further apart than the threshold allows are never compared or even sent to each
+other. Every other pair of blocks is one task. A task multiplies leading
+dimensions first; the rest of a product is at most the product of the two suffix
+norms, so a pair stops as soon as its cosine cannot reach the threshold.
+Survivors are verified in double precision. Links are counted and contracted
+inside the task: no pair leaves it.
 
 Equal vectors are one class with a multiplicity, so large groups of exact
 copies cost one row. Defined cases: null, zero and empty vectors, and vectors
@@ -21,8 +26,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from touchcredit.llm.common import Workspace
 from touchcredit.llm.components import connected_components, local_components
@@ -34,6 +41,10 @@ STRIP_ROWS = 256
 STEP_DIMS = 16
 #: Room for rounding of the single-precision bounds.
 SLACK = 1e-4
+#: Leading axes of a leaf's bounding box, leaves at most, and sampled rows that place their borders.
+LEADS = 8
+LEAVES = 512
+SAMPLE_ROWS = 50_000
 
 
 def usable(column: str) -> Column:
@@ -89,6 +100,50 @@ def principal_axes(vectors: DataFrame) -> dict[int, np.ndarray]:
     return axes
 
 
+class Leaves:
+    """Cells of the leading axes: medians of sampled rows along the widest axis, over and over."""
+
+    def __init__(self, x: np.ndarray, most: int):
+        self.axis, self.at, self.kids = [], [], []
+        self.count = 0
+        todo = [(np.arange(len(x)), max(1, most), None)]
+        while todo:
+            rows, share, parent = todo.pop()
+            spread = x[rows].max(axis=0) - x[rows].min(axis=0) if len(rows) else np.zeros(x.shape[1])
+            if share < 2 or not spread.max() > 0:
+                node = -1 - self.count                 # a leaf
+                self.count += 1
+            else:
+                node = len(self.axis)
+                axis = int(spread.argmax())
+                cut = float(np.median(x[rows, axis]))
+                low = x[rows, axis] <= cut
+                if low.all():                          # the median is the largest value
+                    cut = float(x[rows, axis][x[rows, axis] < cut].max())
+                    low = x[rows, axis] <= cut
+                self.axis.append(axis)
+                self.at.append(cut)
+                self.kids.append([0, 0])
+                todo += [(rows[~low], share // 2, (node, 1)), (rows[low], share - share // 2, (node, 0))]
+            if parent:
+                self.kids[parent[0]][parent[1]] = node
+        self.axis, self.at, self.kids = np.array(self.axis, int), np.array(self.at), np.array(self.kids, int).reshape(-1, 2)
+
+    def place(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each row."""
+        node = np.zeros(len(x), dtype=int) if len(self.axis) else np.full(len(x), -1)
+        while (inner := np.flatnonzero(node >= 0)).size:
+            k = node[inner]
+            node[inner] = self.kids[k, (x[inner, self.axis[k]] > self.at[k]).astype(int)]
+        return -1 - node
+
+
+def near_boxes(low: np.ndarray, high: np.ndarray, threshold: float) -> np.ndarray:
+    """Index pairs of boxes that may hold unit vectors of that cosine."""
+    gap = np.maximum(0.0, np.maximum(low[:, None] - high[None], low[None] - high[:, None]))
+    return np.argwhere((gap ** 2).sum(axis=2) <= 2 - 2 * threshold + SLACK)
+
+
 def close_pairs(x: np.ndarray, y: np.ndarray, rx: np.ndarray, ry: np.ndarray, threshold: float,
                 same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs with cosine >= threshold. ``rx``, ``ry``: the rotated rows; ``same``: only i < j."""
@@ -125,6 +180,67 @@ def close_pairs(x: np.ndarray, y: np.ndarray, rx: np.ndarray, ry: np.ndarray, th
             yield a[hit], b[hit]
 
 
+def paired_blocks(classes: DataFrame, axes: Broadcast, threshold: float, block_rows: int) -> DataFrame:
+    """The rows of ``classes`` once per block that theirs meets: (dim, i, j, second, cls, copies, embedding), where i <= j
+    are the two blocks and ``second`` tells which one the row is of."""
+    spark = classes.sparkSession
+
+    def leads(column: pa.Array, dim: int) -> np.ndarray:
+        return unit(matrix(column, dim)) @ axes.value[dim][:, :LEADS]
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(0).to_numpy()
+            for d in np.unique(dims):
+                x = leads(batch.column(1).take(pa.array(np.flatnonzero(dims == d))), int(d))
+                yield pa.RecordBatch.from_arrays([pa.array([int(d)], pa.int32()), pa.array([x.tobytes()], pa.binary())], names=["dim", "rows"])
+
+    counts = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
+    share = F.lit(1)
+    for d, n in counts.items():
+        share = F.when(F.col("dim") == d, F.lit(-(-n // SAMPLE_ROWS))).otherwise(share)
+    drawn: dict[int, list[bytes]] = {}
+    some = classes.filter(F.pmod(F.xxhash64("cls", F.lit(3)), share) == 0).select("dim", "embedding")
+    for d, rows in some.mapInArrow(sampled, "dim int, rows binary").collect():      # about SAMPLE_ROWS x LEADS numbers per length
+        drawn.setdefault(d, []).append(bytes(rows))
+    trees = {d: Leaves(np.frombuffer(b"".join(rows)).reshape(-1, min(LEADS, d)), min(LEAVES, -(-counts[d] // block_rows)))
+             for d, rows in drawn.items()}
+    told = spark.sparkContext.broadcast(trees)
+
+    def placed(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for dim, column in columns:
+            dims = dim.to_numpy()
+            leaf = np.zeros(len(dims), dtype=np.int32)
+            lead: list = [None] * len(dims)
+            for d in np.unique(dims):
+                at = np.flatnonzero(dims == d)
+                x = leads(column.take(pa.array(at)), int(d))
+                leaf[at] = told.value[int(d)].place(x) if int(d) in told.value else 0
+                for i, row in zip(at, x):
+                    lead[i] = row
+            yield pa.StructArray.from_arrays([pa.array(leaf), pa.array(lead, pa.list_(pa.float64()))], names=["leaf", "lead"])
+
+    where = classes.withColumn("at", arrow_udf(placed, "leaf int, lead array<double>")("dim", "embedding"))
+    edges = [g(F.get(F.col("at.lead"), F.lit(k))).alias(f"{n}{k}") for k in range(LEADS) for g, n in ((F.min, "low"), (F.max, "high"))]
+    boxes = where.groupBy("dim", "at.leaf").agg(F.count(F.lit(1)).alias("n"), *edges).collect()      # at most LEAVES per length
+    pairs = []
+    for d in counts:
+        mine = [r for r in boxes if r["dim"] == d]
+        m = min(LEADS, d)
+        low, high = (np.array([[r[f"{n}{k}"] for k in range(m)] for r in mine]) for n in ("low", "high"))
+        subs = [-(-r["n"] // block_rows) for r in mine]
+        pairs += [(d, mine[a]["leaf"], subs[a], mine[b]["leaf"], subs[b]) for a, b in near_boxes(low, high, threshold).tolist()]
+    meets = spark.createDataFrame(pairs, "of_dim int, of_leaf int, subs int, other_leaf int, other_subs int")   # LEAVES^2 rows at most
+    block = lambda leaf, sub: F.shiftleft(leaf.cast("long"), 32) + sub
+    dealt = (where.select("dim", "cls", "copies", "embedding", "at.leaf")
+             .join(F.broadcast(meets), (F.col("dim") == F.col("of_dim")) & (F.col("leaf") == F.col("of_leaf")))
+             .withColumn("block", block(F.col("leaf"), F.pmod(F.xxhash64("cls"), F.col("subs"))))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("other_subs") - 1)))
+             .withColumn("other", block(F.col("other_leaf"), F.col("other"))))
+    return dealt.select("dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                        (F.col("block") > F.col("other")).alias("second"), "cls", "copies", "embedding")
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                     threshold: float = 0.95, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
@@ -138,17 +254,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
                               F.size("embedding").alias("dim")), "classes")
     axes = principal_axes(classes)
     sent = spark.sparkContext.broadcast(axes)          # one d x d matrix per vector length
-    counts = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
-    blocks = {d: max(1, -(-n // block_rows)) for d, n in counts.items()}
-    n_blocks = F.lit(1)
-    for d, b in blocks.items():
-        n_blocks = F.when(F.col("dim") == d, F.lit(b)).otherwise(n_blocks)
-    dealt = classes.select("dim", "cls", "copies", "embedding", F.pmod(F.xxhash64("cls"), n_blocks).cast("int").alias("block"),
-                           n_blocks.alias("n_blocks"))
-    # block b meets blocks 0..n-1: itself once, each other one in the task of the ordered pair
-    tiles = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
-        "dim", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).alias("second"), "cls", "copies", "embedding")
+    tiles = paired_blocks(classes, sent, threshold, block_rows)
 
     def compare(table: pa.Table) -> pa.Table:
         dim = table["dim"][0].as_py()
