@@ -6,7 +6,7 @@ import ctypes
 import functools
 import os
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 import pyarrow as pa
@@ -25,17 +25,40 @@ class Workspace:
     A written table cuts lineage like a checkpoint, is read back with column
     pruning, and survives a lost executor. ``spark.checkpoint.dir`` names the
     folder on a cluster; the session helper creates one only in local tests.
+    A result that is a lazy plan reads these tables, so the operator leaves them;
+    whoever has written the result calls ``drop`` or ``drop_workspaces``.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        _open[self.root] = self
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        """Delete the tables; what reads them must have been written or collected."""
+        _open.pop(self.root, None)
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_open: dict[str, Workspace] = {}
+
+
+def workspaces() -> list[str]:
+    """Folders of the workspaces that have not been dropped, in the order they were opened."""
+    return list(_open)
+
+
+def drop_workspaces(keep: Iterable[str] = ()) -> None:
+    """Drop all but some workspaces: for callers that have written the results they want."""
+    for root in set(_open) - set(keep):
+        _open[root].drop()
+
 
 def hand_back() -> None:
     """Return freed memory of this worker to the system: it waits for its next task, maybe of another stage."""
