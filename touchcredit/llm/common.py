@@ -32,6 +32,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        self.tables: list[str] = []
         _open[self.root] = self
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
@@ -39,10 +40,29 @@ class Workspace:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_bucketed(self, df: DataFrame, name: str, by: str, buckets: int) -> DataFrame:
+        """``keep`` as a catalog table in buckets: tables of one bucketing meet by its column without a shuffle."""
+        table = f"{self.root.rsplit('/', 1)[-1]}_{name}".replace("-", "_")
+        (df.write.format("parquet").mode("overwrite").option("path", f"{self.root}/{name}")
+         .bucketBy(buckets, by).sortBy(by).saveAsTable(table))
+        self.tables.append(table)
+        return self.spark.table(table)
+
+    def forget(self, name: str) -> None:
+        """Delete one table that nothing reads any more, and let Spark delete the shuffle files of finished plans."""
+        self._delete(f"{self.root}/{name}")
+        # Spark deletes the files of a shuffle once the driver has collected its plan; long jobs cannot wait for that
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self) -> None:
         """Delete the tables; what reads them must have been written or collected."""
         _open.pop(self.root, None)
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.root)
+        for table in self.tables:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self._delete(self.root)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
