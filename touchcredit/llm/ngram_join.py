@@ -52,6 +52,8 @@ from touchcredit.llm.textscan import find_words, hash_words, mix64, text_slices
 SKETCH_BITS = 20
 #: Cells of a packed piece of the sketch.
 PIECE = 1 << 12
+#: Bits of the bitmap of wanted ids (8 MB), and of its pieces.
+ID_BITS, ID_PIECE_BITS = 26, 16
 #: Members and shingles of a chunk, on average.
 CHUNK_ROWS = 512
 CHUNK_SHINGLES = 400_000
@@ -163,6 +165,44 @@ def summed_sketch(pieces: DataFrame) -> np.ndarray:
     return counts
 
 
+def id_bits(ids: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size with a bit for every id (a long column): 2**ID_BITS bits, by hash."""
+    cells = ids.select(id_cell(F.col(ids.columns[0])).alias("cell"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, np.ndarray] = {}
+        for batch in batches:
+            cell = batch.column(0).to_numpy()
+            for k in np.unique(cell >> ID_PIECE_BITS).tolist():
+                bits = pieces.setdefault(k, np.zeros(1 << ID_PIECE_BITS, dtype=bool))
+                bits[cell[(cell >> ID_PIECE_BITS) == k] & ((1 << ID_PIECE_BITS) - 1)] = True
+        yield pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.int32()), pa.array([np.packbits(x).tobytes() for x in pieces.values()], pa.binary())],
+                                         names=["piece", "bits"])
+
+    out = np.zeros(1 << (ID_BITS - 3), dtype=np.uint8)
+    size = 1 << (ID_PIECE_BITS - 3)
+    piece = F.shiftright("cell", ID_PIECE_BITS)
+    for k, bits in cells.repartition(piece).mapInArrow(tidy(run), "piece int, bits binary").collect():       # 2**(ID_BITS - 3) bytes
+        out[k * size:(k + 1) * size] = np.frombuffer(bytes(bits), dtype=np.uint8)
+    return out
+
+
+def id_cell(column: Column) -> Column:
+    return F.xxhash64(column).bitwiseAND(F.lit((1 << ID_BITS) - 1))
+
+
+def may_hold(bits: np.ndarray, column: Column, spark) -> Column:
+    """Whether an id's bit is set: true for all ids put in, and few others while the bitmap is not full."""
+    sent = spark.sparkContext.broadcast(bits)
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for cells in columns:
+            cell = cells.to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.array((sent.value[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1)
+
+    return arrow_udf(tidy(run), "boolean")(id_cell(column))
+
+
 def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
     """(gram, n, sig, head) of the prefix of every document's set, ``head`` for its index prefix; copies within a task post once."""
     sent = docs.sparkSession.sparkContext.broadcast(counts)       # 2**SKETCH_BITS numbers
@@ -502,7 +542,9 @@ def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
         F.greatest(F.ceil(F.count("*") / CHUNK_ROWS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
     members = members.join(sizes, F.col("cluster") == F.col("of_cluster")).select(
         "cluster", "sig", "least", "chunks", F.pmod(F.xxhash64("sig"), F.col("chunks")).cast("int").alias("chunk"))
-    texts = docs.filter("doc_id is not null").join(members.hint("shuffle_hash"), F.col("doc_id") == F.col("least")).select(
+    # most documents are no candidates: their texts stay where they are, by a bitmap of the wanted ids
+    wanted = may_hold(id_bits(members.filter("least is not null").select("least")), F.col("doc_id"), docs.sparkSession)
+    texts = docs.filter("doc_id is not null").filter(wanted).join(members.hint("shuffle_hash"), F.col("doc_id") == F.col("least")).select(
         "cluster", "sig", "chunks", "chunk", "text")
     # classes whose rows all lack an id: one text of each by its signature
     lone = members.filter("least is null").select(F.col("sig").alias("lone"), "cluster", "chunks", "chunk")
