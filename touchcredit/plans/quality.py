@@ -190,7 +190,8 @@ def run_checks(models: Mapping[str, DataFrame], rules: Iterable[Rule] = RULES) -
     failures = (F.when(kind == UNIQUE, F.col("repeated")).when(kind == ACCEPTED, F.col("kinds"))
                 .when(kind == RELATIONSHIPS, F.col("orphans")).otherwise(F.col("rows")))
     # a rule without any entry has no failures
-    return listed.join(found, F.col("i") == F.col("of"), "left").select(
+    # at most one row per rule
+    return listed.join(F.broadcast(found), F.col("i") == F.col("of"), "left").select(
         "model", "rule", "column_name", F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"))
 
 
