@@ -238,6 +238,19 @@ def test_suffix_tree_drops_repeated_contexts(spark):
     assert ("b",) in states and not any(len(x) == 2 and x[1] == "b" for x in states)
 
 
+def test_suffix_tree_packets():
+    rng = np.random.default_rng(5)
+    key = np.unique(rng.integers(0, 1 << 62, 500).astype(np.uint64))
+    context = rng.integers(0, 40, len(key)).astype(np.uint64)
+    rows = (key, context, 7 * context.astype(np.int64), rng.integers(1, 9, len(key)), rng.random(len(key)).astype(np.float32))
+    got = [suffix_tree.unpack_pairs(x) for _, x in suffix_tree.pack_pairs(*rows, 7)]
+    assert len(got) == 7 and list(suffix_tree.pack_pairs(*(x[:0] for x in rows), 7)) == []
+    once, twice = suffix_tree.merge_pairs(got), suffix_tree.merge_pairs(got + got[:3])
+    assert all(np.array_equal(a, b) for a, b in zip(once, rows))
+    again = np.isin(key, np.concatenate([g[0] for g in got[:3]]))
+    assert np.array_equal(twice[3], rows[3] * np.where(again, 2, 1)) and np.array_equal(twice[1], context)
+
+
 def test_suffix_tree_empty(hard_df):
     assert suffix_tree.score_documents(hard_df.limit(0)).count() == 0
 

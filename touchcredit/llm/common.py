@@ -48,9 +48,10 @@ class Workspace:
         self.tables.append(table)
         return self.spark.table(table)
 
-    def forget(self, name: str) -> None:
-        """Delete one table that nothing reads any more, and let Spark delete the shuffle files of finished plans."""
-        self._delete(f"{self.root}/{name}")
+    def forget(self, *names: str) -> None:
+        """Delete tables that nothing reads any more, and let Spark delete the shuffle files of finished plans."""
+        for name in names:
+            self._delete(f"{self.root}/{name}")
         # Spark deletes the files of a shuffle once the driver has collected its plan; long jobs cannot wait for that
         self.spark.sparkContext._jvm.System.gc()
 
