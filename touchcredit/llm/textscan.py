@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _BYTES = np.arange(256, dtype=np.uint8)
 IS_SPACE = (_BYTES == 0x20) | ((_BYTES >= 0x09) & (_BYTES <= 0x0D))
