@@ -315,9 +315,10 @@ BATCH_CHARS = 3 << 20
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           keep_ids: bool = True) -> DataFrame:
+           keep_ids: bool = True, batch_chars: int = BATCH_CHARS) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256[, ids]) of every row: the ids of the
-    whole text, and the digest of what decoding them gives back."""
+    whole text, and the digest of what decoding them gives back. Smaller batches hold less
+    memory and replay more merges twice."""
     spark = docs.sparkSession
     table = spark.sparkContext.broadcast(ranks)
     key = vocabulary_key(ranks, pattern)
@@ -333,7 +334,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
             at = 0
             while at < len(texts):
                 end, chars = at, 0
-                while end < len(texts) and (end == at or chars + len(texts[end] or "") <= BATCH_CHARS):
+                while end < len(texts) and (end == at or chars + len(texts[end] or "") <= batch_chars):
                     chars += len(texts[end] or "")
                     end += 1
                 rows: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}

@@ -64,7 +64,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ensure_importable(spark)
-    return bpe.encode(docs, bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    # the executors still hold the heap of the stages before
+    return bpe.encode(docs, bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN, batch_chars=1 << 20)
 
 
 def columns(docs: DataFrame) -> list[str]:
