@@ -9,6 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from conftest import SF_SMALL
 from touchcredit import AttributionPipeline
 from touchcredit.__main__ import main
@@ -179,6 +180,17 @@ def test_cents_like_the_binary_value(spark):
         spark.createDataFrame([(1e10,)], "v double").select(money("v")).collect()
 
 
+def test_half_cents_of_large_order_keys(spark, tmp_path):
+    """Amounts beyond ten digits before the point, which a revenue's decimal(12,2) does not hold."""
+    keys = [1, 149_999, 810_045, 900_001, 9_000_000, 123_456_789, -900_001]
+    spark.createDataFrame([(k, k % 7919, 1 + i % 3, 0.05, 1234.565) for i, k in enumerate(keys)],
+                          "l_orderkey long, l_partkey long, l_linenumber int, l_discount double, l_extendedprice double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = {r["l_linenumber"]: r["large"] for r in E.core_queries()["half_cent_amounts"](spark, str(tmp_path)).collect()}
+    want = duckdb.execute("SELECT 1 + i % 3, sum((k * 12345.005::DOUBLE + 0.005::DOUBLE)::DECIMAL(28,2))::DECIMAL(38,2) "
+                          "FROM (SELECT unnest(?::BIGINT[]) AS k, unnest(range(7)) AS i) GROUP BY 1", [keys]).fetchall()
+    assert got == dict(want)
+
+
 def test_costs_beside_the_summary(spark):
     summary = spark.createDataFrame([("search", "linear", 2.0, 100.0), ("search", "first_touch", 0.0, 0.0), ("organic", "linear", 1.0, 5.0),
                                      (None, "linear", 1.0, 1.0), ("free", "linear", 1.0, 7.0)],
