@@ -20,7 +20,7 @@ import helpers as H  # noqa: E402
 from test_llm_text import plain_language  # noqa: E402
 
 import corpus_pipeline  # noqa: E402
-from touchcredit.llm import common, quality, queries, stages  # noqa: E402
+from touchcredit.llm import common, mixing, quality, queries, stages  # noqa: E402
 from touchcredit.llm.common import ensure_importable  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -124,3 +124,25 @@ def test_run_leaves_only_its_own_tables(spark):
     corpus_pipeline.run(spark, SF)
     left = set(common.workspaces()) - before
     assert len(left) == 1 and "/pipeline-" in left.pop()
+
+
+def test_mix_moves_no_texts(spark):
+    """Only documents that differ from their source's usual number of times meet the texts in a join."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "8k", "spark.sql.adaptive.autoBroadcastJoinThreshold": "8k"}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        mixed = stages.mix(spark, docs, "")
+        plan = mixed._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan and "Exchange hashpartitioning" not in plan
+        got = Counter(r["doc_id"] for r in mixed.select("doc_id").collect())
+        taken = mixing.mix(docs).filter("size > 0").selectExpr("doc_id", "CAST(round(taken / size) AS INT) AS times")
+        want = Counter()
+        for r in taken.collect():
+            want[r["doc_id"]] += r["times"]
+        assert got == +want and len(set(want.values())) > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

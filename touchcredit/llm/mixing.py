@@ -35,12 +35,16 @@ def word_count(text_col: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+def shuffle_key(id_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+
+
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """(doc_id, source, size, shuffle key) of every row."""
     return docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         word_count(text_col).alias("size"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("key"))
+        shuffle_key(id_col).alias("key"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS) -> DataFrame:

@@ -48,14 +48,29 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "stage-mix")
     taken = mixing.mix(docs)
     # rows equal in id, source and size are interchangeable: they share what they are taken together
+    key = mixing.shuffle_key("of_doc")
     times = ws.keep(taken.filter("size > 0").groupBy("doc_id", "source", "size").agg(
-        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("times")).filter("times > 0")
-        .select(F.col("doc_id").alias("of_doc"), F.col("source").alias("of_source"), F.col("size").alias("of_size"), "times"), "times")
+        F.round(F.sum("taken") / F.sum("size")).cast("int").alias("times"))
+        .select(F.col("doc_id").alias("of_doc"), F.col("source").alias("of_source"), F.col("size").alias("of_size"), "times")
+        .withColumn("of_key", key), "times")
+    # A source is taken whole some times and once more up to a place in its stream: a row per source says where, and
+    # only documents that differ from it meet the texts in a join, so the texts stay where they are.
+    cuts = times.groupBy(F.col("of_source").alias("cut_source")).agg(
+        F.max("times").alias("most"), F.min("times").alias("least"), F.max(F.struct("times", "of_key"))["of_key"].alias("cut"))
+    cuts = ws.keep(cuts, "cuts")
+    usual = lambda k: F.when(k <= F.col("c.cut"), F.col("c.most")).otherwise(F.col("c.least"))
+    others = ws.keep(times.join(cuts.alias("c"), F.col("of_source").eqNullSafe(F.col("cut_source"))).filter(F.col("times") != usual(F.col("of_key")))
+                     .select("of_doc", "of_source", "of_size", "times"), "others")
     kept = columns(docs)
-    rows = docs.withColumn(size := free_name(docs, "size"), mixing.word_count("text")).alias("d")
-    joined = rows.join(times.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.of_doc")) & F.col("d.source").eqNullSafe(F.col("t.of_source"))
-                       & (F.col(f"d.{size}") == F.col("t.of_size")))
-    return (joined.select(*[F.col(f"d.{c}") for c in kept], F.explode(F.sequence(F.lit(1), F.col("t.times"))).alias(free_name(docs, "copy")))
+    rows = docs.withColumn(size := free_name(docs, "size"), mixing.word_count("text")).alias("d").filter(F.col(size) > 0)
+    joined = rows.join(cuts.alias("c"), F.col("d.source").eqNullSafe(F.col("c.cut_source")))
+    many = usual(mixing.shuffle_key("d.doc_id"))
+    if not others.isEmpty():
+        joined = joined.join(others.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.of_doc")) & F.col("d.source").eqNullSafe(F.col("t.of_source"))
+                             & (F.col(f"d.{size}") == F.col("t.of_size")), "left")
+        many = F.coalesce(F.col("t.times"), many)
+    return (joined.withColumn(n := free_name(docs, "times"), many).filter(F.col(n) > 0)
+            .select(*[F.col(f"d.{c}") for c in kept], F.explode(F.sequence(F.lit(1), F.col(n))).alias(free_name(docs, "copy")))
             .select(*kept))
 
 
