@@ -251,6 +251,27 @@ def test_suffix_tree_packets():
     assert np.array_equal(twice[3], rows[3] * np.where(again, 2, 1)) and np.array_equal(twice[1], context)
 
 
+def test_suffix_tree_packets_are_small():
+    """A pair takes little more room than its key, and frequent contexts are dealt over the parts."""
+    rng = np.random.default_rng(7)
+    context = np.sort(textscan.mix64(np.arange(8_000, dtype=np.uint64))[rng.zipf(1.3, 100_000) % 8_000])
+    key = np.sort(rng.integers(0, 1 << 62, len(context)).astype(np.uint64))
+    _, of, size = np.unique(context, return_inverse=True, return_counts=True)
+    rows = (key, context, size[of], rng.zipf(2.5, len(key)) % 1000, np.ldexp(rng.zipf(1.5, len(key)) % 4000, -20).astype(np.float32))
+    assert sum(len(x) for _, x in suffix_tree.pack_pairs(*rows, 50)) < 15 * len(key)
+    packets = [(part, suffix_tree.unpack_pairs(x)) for part, x in suffix_tree.pack_pairs(*rows, 50, 500)]
+    assert [part for part, _ in packets] == sorted({part for part, _ in packets}) and max(len(x[0]) for _, x in packets) < 5_000
+    assert all(np.array_equal(a, b) for a, b in zip(suffix_tree.merge_pairs([x for _, x in packets]), rows))
+    # the counts of all parts go back by the order of the packets
+    _, order = suffix_tree.deal(key, context, size[of], 50, 500)
+    assert np.array_equal(np.concatenate([x[0] for _, x in packets]), key[order])
+
+
+def test_suffix_tree_lookup():
+    keys, x = np.array([9, 3, 9, 5], np.uint64), np.array([5, 9, 4], np.uint64)
+    assert suffix_tree.lookup(keys, x).tolist() == [3, 0, -1] and suffix_tree.lookup(keys[:0], x).tolist() == [-1] * 3
+
+
 def test_suffix_tree_empty(hard_df):
     assert suffix_tree.score_documents(hard_df.limit(0)).count() == 0
 
