@@ -6,15 +6,18 @@
    order makes prefix filtering exact, the counts only make it selective. Each
    class posts the first n - ceil(t*n) + 1 shingles of its set: two sets that
    reach the threshold share one of them.
-3. Postings meet by shingle, sorted by set size; those that share one are kept
-   and get a small histogram of their set. By the positional filter the smaller
-   set of a pair holds its first shared shingle within its shorter index prefix.
-   Within a group of up to ``GROUP_PAIRS`` sets, the pairs that pass the length,
-   positional and histogram (suffix) filters are candidates. In a larger group a
-   posting is chained to the nearest index posting before it that the length
-   filter allows; index postings of one length range are chained to each other
-   that way, so no pair is lost and the work stays linear in the postings,
-   however large a group is. The connected candidates are the clusters.
+3. Postings meet by shingle, sorted by set size; those that share one are kept.
+   By the positional filter the smaller set of a pair holds its first shared
+   shingle within its shorter index prefix. Within a group of up to
+   ``GROUP_PAIRS`` sets, the pairs that pass the length and positional filters
+   are listed. In a larger group a posting is chained to the nearest index
+   posting before it that the length filter allows, which is linear in the
+   postings. Pairs, once each, meet histograms of their sets, whose size goes
+   with the set's: those that pass are candidates. Sets of a larger group that
+   the candidates do not connect are listed in a second round, pair by pair up
+   to ``MANY_PAIRS`` sets. Above that they are chained as they are: index
+   postings of one length range are chained to each other that way, so no pair
+   is lost. The connected candidates are the clusters.
 4. Texts of a cluster meet in chunks of bounded size, and a task verifies the
    pairs that share a prefix shingle and pass the length, positional and suffix
    filters, once each and only while the two are not connected yet. Large
@@ -35,6 +38,7 @@ not read.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -58,9 +62,11 @@ ID_BITS, ID_PIECE_BITS = 26, 16
 CHUNK_ROWS = 512
 CHUNK_SHINGLES = 400_000
 HISTOGRAM_BITS = 4
-#: Sets that share a shingle, up to which their pairs are filtered one by one.
-GROUP_PAIRS = 48
-#: Cells of the histogram that travels with a posting.
+#: Sets that share a shingle, up to which their pairs are listed at once.
+GROUP_PAIRS = 8
+#: Sets that share a shingle and are not connected by chains, up to which their pairs are listed.
+MANY_PAIRS = 4096
+#: Cells of a histogram, unless its set asks for another number.
 SUMMARY = 128
 
 #: One odd multiplier per word of a shingle. They must not be multiples of one another, or
@@ -111,18 +117,34 @@ def sketch_cell(grams: np.ndarray) -> np.ndarray:
     return (grams >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
 
 
-def summary(grams: np.ndarray) -> bytes:
+def summary(grams: np.ndarray, cells: int | None = None) -> bytes:
     """Counts of the set's members by cell; 255 stands for that many or more."""
-    return np.minimum(np.bincount((grams % np.uint64(SUMMARY)).astype(np.int64), minlength=SUMMARY), 255).astype(np.uint8).tobytes()
+    cells = cells or SUMMARY
+    return np.minimum(np.bincount((grams % np.uint64(cells)).astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes()
 
 
-def shared_at_most(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Upper bound of the intersection of sets with these summaries (rows)."""
-    least = np.minimum(a, b)
-    return np.where((least == 255).any(axis=1), np.iinfo(np.int64).max, least.sum(axis=1, dtype=np.int64))
+def summary_cells(n: int, percent: int) -> int:
+    """Cells (a power of two) with which sets of ``n`` that share little hardly pass for near ones.
+
+    Two such sets differ by about 0.56 * sqrt(cells * n), give or take 0.43 * sqrt(n); near ones by a share of n.
+    """
+    least = ((100 - percent) / (100 + percent) / 0.56 * math.sqrt(n) + 4) ** 2
+    return 1 << max(4, math.ceil(math.log2(least)))
 
 
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+def shared_at_most(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Upper bound of the intersection of sets with these summaries (rows); a wider one is folded."""
+    cells = min(a.shape[1], b.shape[1])
+    least = np.full((len(a), cells), np.iinfo(np.int32).max, dtype=np.int32)
+    for x in (a, b):
+        x = x.reshape(len(x), x.shape[1] // cells, cells)
+        some = (x == 255).any(axis=1)
+        least = np.minimum(least, np.where(some, np.iinfo(np.int32).max, x.sum(axis=1, dtype=np.int32)))
+    full = (least == np.iinfo(np.int32).max).any(axis=1)
+    return np.where(full, np.iinfo(np.int64).max, least.sum(axis=1, dtype=np.int64))
+
+
+def fingerprints(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """Rows (doc_id, n, sig, cells: histogram of the set) of every document, and (piece, cells) of each partition's sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +156,7 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
                 cells = []
                 for grams in shingle_sets(data, offs, words):
                     sizes.append(len(grams))
-                    summaries.append(summary(grams))
+                    summaries.append(summary(grams, summary_cells(len(grams), percent)))
                     sigs.append(signature(grams) if len(grams) else None)
                     cells.append(sketch_cell(grams))
                 sketch += np.bincount(np.concatenate(cells), minlength=len(sketch))
@@ -204,7 +226,7 @@ def may_hold(bits: np.ndarray, column: Column, spark) -> Column:
 
 
 def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
-    """(gram, n, sig, head) of the prefix of every document's set, ``head`` for its index prefix; copies within a task post once."""
+    """(gram, n, sig, pos) of the prefix of every document's set, ``pos`` its place there; copies within a task post once."""
     sent = docs.sparkSession.sparkContext.broadcast(counts)       # 2**SKETCH_BITS numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,7 +234,7 @@ def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> D
         seen: set[int] = set()
         for batch in batches:
             for _, _, data, offs in text_slices(batch.column(1)):
-                grams_out, n_out, sig_out, head_out = [], [], [], []
+                grams_out, n_out, sig_out, pos_out = [], [], [], []
                 for grams in shingle_sets(data, offs, words):
                     n = len(grams)
                     if not n:
@@ -228,23 +250,26 @@ def postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) -> D
                     grams_out.append(grams[np.argsort(count, kind="stable")[:p]])   # ties by hash: grams are sorted
                     n_out.append(np.full(p, n))
                     sig_out.append(np.full(p, sig))
-                    # with a partner of this size or larger, the first shared one has need <= n - position
-                    head_out.append(np.arange(p) <= n - -(-2 * percent * n // (100 + percent)))
+                    pos_out.append(np.arange(p))
                 if grams_out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(grams_out).view(np.int64)), pa.array(np.concatenate(n_out).astype(np.int32)),
-                         pa.array(np.concatenate(sig_out)), pa.array(np.concatenate(head_out))], names=["gram", "n", "sig", "head"])
+                         pa.array(np.concatenate(sig_out)), pa.array(np.concatenate(pos_out).astype(np.int32))], names=["gram", "n", "sig", "pos"])
 
-    return docs.mapInArrow(tidy(run), "gram long, n int, sig long, head boolean")
+    return docs.mapInArrow(tidy(run), "gram long, n int, sig long, pos int")
+
+
+def index_posting(percent: int) -> Column:
+    """Whether a posting can be the first that its set shares with a partner of its size or larger: need <= n - pos."""
+    return F.col("pos") <= F.col("n") - F.expr(f"cast((2 * {percent} * cast(n as long) + {99 + percent}) div {100 + percent} as int)")
 
 
 def shared_postings(posted: DataFrame) -> DataFrame:
     """The postings, once each, whose shingle several sets have posted."""
-    names = ["gram", "n", "sig", "head"]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None                            # the last posting so far, and whether it is known to be shared
         for batch in batches:
+            names = batch.schema.names
             cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if held is not None:
                 cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
@@ -264,14 +289,18 @@ def shared_postings(posted: DataFrame) -> DataFrame:
         if held is not None and carried:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in held], names=names)
 
-    return posted.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(tidy(run), "gram long, n int, sig long, head boolean")
+    return posted.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(tidy(run), "gram long, n int, sig long, pos int")
 
 
 def candidates(shared: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b): filtered pairs of small groups, chains of large ones. ``shared``: postings with ``cells``, the summary."""
+    """Links (a, b): filtered pairs of small groups, chains of large ones.
 
-    def pairs_of(cols: list[np.ndarray], first: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
-        _, n, sig, head, cells = cols
+    ``shared``: postings (gram, n, sig, head), ``head`` for index postings, and what else is to filter pairs:
+    ``pos``, the place in the prefix, or ``cells``, the summary.
+    """
+
+    def pairs_of(cols: dict[str, np.ndarray], first: np.ndarray, size: np.ndarray) -> Iterator[np.ndarray]:
+        n, sig, head = cols["n"], cols["sig"], cols["head"]
         for k in np.unique(size[size > 1]):
             lo, hi = np.triu_indices(int(k), 1)
             at = first[size == k]
@@ -281,58 +310,139 @@ def candidates(shared: DataFrame, percent: int) -> DataFrame:
                 near = head[x] & (100 * n[x] >= percent * n[y])
                 x, y = x[near], y[near]
                 need = -(-percent * (n[x] + n[y]) // (100 + percent))
-                x, y = (v[shared_at_most(cells[x], cells[y]) >= need] for v in (x, y))
+                if "pos" in cols:
+                    near = np.minimum(n[x] - cols["pos"][x], n[y] - cols["pos"][y]) >= need
+                    x, y, need = x[near], y[near], need[near]
+                if "cells" in cols:
+                    x, y = (v[shared_at_most(cols["cells"][x], cols["cells"][y]) >= need] for v in (x, y))
                 yield np.stack([sig[x], sig[y]], axis=1)
 
-    def chain_of(cols: list[np.ndarray]) -> np.ndarray:
-        gram, n, sig, head, _ = cols
-        before = np.concatenate([[-1], np.maximum.accumulate(np.where(head, np.arange(len(head)), -1))[:-1]])
-        y = np.flatnonzero(before >= 0)
-        x = before[y]
-        near = (gram[x] == gram[y]) & (100 * n[x] >= percent * n[y])
-        return np.stack([sig[x[near]], sig[y[near]]], axis=1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] | None = None   # the last group so far, or of a large one its last index posting
-        large = False
-        for batch in chain(batches, [None]):
-            if batch is not None:
-                cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)]
-                cols[1] = cols[1].astype(np.int64)
-                cols.append(np.frombuffer(b"".join(batch.column(4).to_pylist()), dtype=np.uint8).reshape(-1, SUMMARY))
-                if not len(cols[0]):
-                    continue
-                if held is not None:
-                    cols = [np.concatenate([h, c]) for h, c in zip(held, cols)]
-            elif held is None:
-                return
-            else:
-                cols = held
-            gram = cols[0]
-            first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
-            size = np.diff(np.append(first, len(gram)))
-            big = size > GROUP_PAIRS
-            big[0] |= large
-            if batch is not None and not big[-1]:                  # the last group may go on
-                done = first[-1]
-                held, large = [c[done:] for c in cols], False
-                first, size, big = first[:-1], size[:-1], big[:-1]
-            else:
-                done = len(gram)
-                last = np.flatnonzero(cols[3][first[-1]:])[-1:] + first[-1]
-                held, large = [c[last] for c in cols] if len(last) else None, len(last) > 0
-                if batch is None:
-                    held = None
+        for cols, first, size, big in groups(batches, GROUP_PAIRS):
             found = [np.zeros((0, 2), np.int64), *pairs_of(cols, first[~big], size[~big])]
             inside = np.repeat(big, size)
             if inside.any():
-                found.append(chain_of([c[:done][inside] for c in cols]))
-            pairs = np.unique(np.concatenate(found), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+                found.append(chained({k: c[inside] for k, c in cols.items()}, percent))
+            yield linked(np.unique(np.concatenate(found), axis=0))
 
     return shared.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(tidy(run), "a long, b long")
 
 
+def linked(pairs: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], names=["a", "b"])
+
+
+def chained(cols: dict[str, np.ndarray], percent: int) -> np.ndarray:
+    """Links of each posting to the nearest index posting before it in its group."""
+    gram, n, sig, head = (cols[k] for k in ("gram", "n", "sig", "head"))
+    before = np.concatenate([[-1], np.maximum.accumulate(np.where(head, np.arange(len(head)), -1))[:-1]])
+    y = np.flatnonzero(before >= 0)
+    x = before[y]
+    near = (gram[x] == gram[y]) & (100 * n[x] >= percent * n[y])
+    return np.stack([sig[x[near]], sig[y[near]]], axis=1)
+
+
+def groups(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]]:
+    """(columns, first row, rows, large) of the groups of sorted postings: whole ones of up to ``limit`` rows, and
+    larger ones as they come, each part behind the last index posting of the part before."""
+    held: dict[str, np.ndarray] | None = None  # the last group so far, or of a large one its last index posting (or row)
+    large = False
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            cols = {k: c for k, c in zip(batch.schema.names, batch.columns)}
+            cols = {k: c.to_numpy(zero_copy_only=False) if k != "cells" else
+                    np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint8).reshape(len(c), -1) if len(c) else None for k, c in cols.items()}
+            cols["n"] = cols["n"].astype(np.int64)
+            if not len(cols["gram"]):
+                continue
+            if held is not None:
+                cols = {k: np.concatenate([held[k], c]) for k, c in cols.items()}
+        elif held is None:
+            return
+        else:
+            cols = held
+        gram = cols["gram"]
+        first = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        size = np.diff(np.append(first, len(gram)))
+        big = size > limit
+        big[0] |= large
+        if batch is not None and not big[-1]:                  # the last group may go on
+            done = first[-1]
+            held, large = {k: c[done:] for k, c in cols.items()}, False
+            first, size, big = first[:-1], size[:-1], big[:-1]
+        else:
+            done = len(gram)
+            heads = np.flatnonzero(cols["head"][first[-1]:])
+            last = first[-1] + heads[-1] if len(heads) else len(gram) - 1
+            held, large = {k: c[last:last + 1] for k, c in cols.items()} if batch is not None else None, True
+        if len(first):
+            yield {k: c[:done] for k, c in cols.items()}, first, size, big
+
+
+def close(links: DataFrame, summaries: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) whose sets may be near by their summaries (sig, n, cells)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b = (batch.column(k).to_numpy().astype(np.int64) for k in range(4))
+            cells = [batch.column(k).to_pylist() for k in (4, 5)]
+            wide = np.array([[len(x) for x in c] for c in cells], dtype=np.int64).reshape(2, -1)
+            need = -(-percent * (n_a + n_b) // (100 + percent))
+            keep = 100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)
+            for w in np.unique(wide[:, keep], axis=1).T:
+                rows = np.flatnonzero(keep & (wide[0] == w[0]) & (wide[1] == w[1]))
+                step = max(1, (1 << 20) // int(w.max()))
+                for s in range(0, len(rows), step):
+                    at = rows[s:s + step]
+                    x, y = (np.frombuffer(b"".join(c[i] for i in at), dtype=np.uint8).reshape(len(at), -1) for c in cells)
+                    keep[at] = shared_at_most(x, y) >= need[at]
+            yield linked(np.stack([a[keep], b[keep]], axis=1))
+
+    side = lambda k: summaries.select(F.col("sig").alias(k), F.col("n").alias(f"n_{k}"), F.col("cells").alias(f"cells_{k}"))
+    return (links.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "cells_a", "cells_b")
+            .mapInArrow(tidy(run), "a long, b long"))
+
+
+def across(labelled: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b, sure) between sets of a large group that have different labels: pairs that pass the filters, or,
+    of groups above ``MANY_PAIRS``, chains (``sure``: they stand for others and are not to be filtered).
+
+    ``labelled``: postings (gram, n, sig, pos, head, label).
+    """
+
+    def pairs_of(cols: dict[str, np.ndarray]) -> Iterator[np.ndarray]:
+        n, pos, sig, label, head = (cols[k] for k in ("n", "pos", "sig", "label", "head"))
+        ends = np.searchsorted(n, 100 * n // percent, side="right")                    # length
+        at = 0
+        while at < len(n):
+            upto = min(len(n), at + max(1, 500_000 // max(1, int(ends[at]) - at)))
+            x, y = np.arange(at, upto)[:, None], np.arange(at, int(ends[upto - 1]))[None, :]
+            need = -(-percent * (n[x] + n[y]) // (100 + percent))
+            ok = (y > x) & head[x] & (label[x] != label[y]) & (100 * n[x] >= percent * n[y])
+            ok &= np.minimum(n[x] - pos[x], n[y] - pos[y]) >= need
+            i, j = np.nonzero(ok)
+            yield np.stack([sig[at + i], sig[at + j]], axis=1)
+            at = upto
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cols, first, size, big in groups(batches, MANY_PAIRS):
+            listed, sure = [np.zeros((0, 2), np.int64)], np.zeros((0, 2), np.int64)
+            inside = np.repeat(big, size)
+            if inside.any():
+                of = dict(zip(cols["sig"].tolist(), cols["label"].tolist()))
+                sure = np.unique(chained({k: c[inside] for k, c in cols.items()}, percent), axis=0)
+                sure = sure[np.array([of[a] != of[b] for a, b in sure.tolist()], dtype=bool)] if len(sure) else sure
+            for at, rows in zip(first[~big], size[~big]):
+                label = cols["label"][at:at + rows]
+                if rows > GROUP_PAIRS and (label != label[0]).any():
+                    listed += pairs_of({k: c[at:at + rows] for k, c in cols.items()})
+            listed = np.unique(np.concatenate(listed), axis=0)
+            both = linked(np.concatenate([listed, sure]))
+            yield pa.RecordBatch.from_arrays([*both.columns, pa.array(np.arange(both.num_rows) >= len(listed))], names=["a", "b", "sure"])
+
+    return labelled.repartition("gram").sortWithinPartitions("gram", "n", "sig").mapInArrow(tidy(run), "a long, b long, sure boolean")
+
+
 class Sets:
     """The sets of a task in local shingle numbers, with prefixes in a rare-first order of the task."""
 
@@ -506,7 +616,11 @@ def deduplicate(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame
         # rows without shingles are linked with nothing, not even with each other
         some = rows.filter(F.col(sig).isNotNull()).dropDuplicates(["doc_id", sig]).unionByName(rows.filter(F.col(sig).isNull())).drop(sig)
     else:
-        some = docs.join(kept, F.col("doc_id") == F.col("of_doc"), "left_semi")
+        # most documents are kept: their texts stay where they are, by a bitmap of the ids that go
+        gone = found.filter("doc_id is not null and doc_id <> component_id").select("doc_id")
+        may_go = may_hold(id_bits(gone), F.col("doc_id").cast("long"), docs.sparkSession)
+        named = docs.filter("doc_id is not null")
+        some = named.filter(~may_go).unionByName(named.filter(may_go).join(kept, F.col("doc_id") == F.col("of_doc"), "left_semi"))
     return some.unionByName(anonymous)
 
 
@@ -525,18 +639,32 @@ def classed(docs: DataFrame, id_col: str, text_col: str, words: int, percent: in
     """(doc_id, sig, root, n_shingles, component_id) of every row; ``root`` is the signature that stands for its component."""
     ws = Workspace(docs.sparkSession, "ngram-join")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    prints = ws.keep(fingerprints(docs, words), "fingerprints")
+    prints = ws.keep(fingerprints(docs, words, percent), "fingerprints")
     rows = prints.filter("piece is null").select("doc_id", "n", "sig")
-    summaries = prints.filter("piece is null and sig is not null").select(F.col("sig").alias("of"), "cells")
+    summaries = prints.filter("piece is null and sig is not null").select("sig", "n", "cells")
     counts = summed_sketch(prints.filter("piece is not null").select("piece", "cells"))
 
     classes = ws.keep(rows.filter("sig is not null").groupBy("sig").agg(F.max("n").alias("n"), F.min("doc_id").alias("least")), "classes")
-    shared = ws.keep(shared_postings(postings(docs, counts, words, percent)), "shared")
-    # one summary of each set that shares a shingle
-    some = summaries.join(shared.select("sig").distinct(), F.col("of") == F.col("sig"), "left_semi").groupBy("of").agg(F.max("cells").alias("cells"))
-    known = ws.keep(some, "summaries")
-    links = ws.keep(candidates(shared.join(known, F.col("sig") == F.col("of")).select("gram", "n", "sig", "head", "cells"), percent), "candidates")
-    clusters = connected_components(links, ws, "clusters").withColumnRenamed("root", "cluster")
+    shared = ws.keep(shared_postings(postings(docs, counts, words, percent)), "shared").withColumn("head", index_posting(percent))
+    ws.forget()
+
+    def closest(links: DataFrame, name: str) -> DataFrame:
+        links = ws.keep(links.distinct(), f"{name}-pairs")
+        some = links.select(F.explode(F.array("a", "b")).alias("of")).distinct()
+        known = ws.keep(summaries.join(some, F.col("sig") == F.col("of"), "left_semi").dropDuplicates(["sig"]), f"{name}-summaries")
+        links = ws.keep(close(links, known, percent), name)
+        ws.forget(f"{name}-pairs", f"{name}-summaries")
+        return links
+
+    clusters = connected_components(closest(candidates(shared, percent), "candidates"), ws, "clusters")
+    labelled = shared.join(clusters.select(F.col("node"), F.col("root")), F.col("sig") == F.col("node"), "left").select(
+        *shared.columns, F.coalesce("root", "sig").alias("label"))
+    more = ws.keep(across(labelled, percent), "across")
+    ws.forget("shared")
+    more = closest(more.filter("not sure").select("a", "b"), "more").unionByName(more.filter("sure").select("a", "b"))
+    if more.limit(1).count():
+        clusters = connected_components(more.unionByName(clusters.toDF("a", "b")), ws, "all-clusters")
+    clusters = clusters.withColumnRenamed("root", "cluster")
     members = ws.keep(clusters.join(classes, F.col("node") == F.col("sig")).select("cluster", "sig", "n", "least"), "members")
     sizes = members.groupBy(F.col("cluster").alias("of_cluster")).agg(
         F.greatest(F.ceil(F.count("*") / CHUNK_ROWS), F.ceil(F.sum("n") / CHUNK_SHINGLES)).cast("int").alias("chunks"))
