@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 import sys
 from collections import Counter
@@ -11,13 +12,14 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 import helpers as H  # noqa: E402
 
-from touchcredit.llm import ngram_join  # noqa: E402
-from touchcredit.llm.common import Workspace, ensure_importable  # noqa: E402
+from touchcredit.llm import bpe, ngram_join  # noqa: E402
+from touchcredit.llm.common import Workspace, ensure_importable, tidy  # noqa: E402
 
 
 def passage(name, n):
@@ -148,3 +150,16 @@ def test_near_pairs_pass_at_every_size(spark):
                                       "sig long, n long, cells binary")
     got = ngram_join.close(spark.createDataFrame(links, "a long, b long").repartition(2, F.col("a")), summaries, 80)
     assert {(r["a"], r["b"]) for r in got.collect()} == wanted
+
+
+def test_tasks_of_other_stages_drop_the_encoder(monkeypatch):
+    """A worker that goes on to another stage lets the encoder and its words go; one of the same stage keeps them."""
+    monkeypatch.setitem(bpe._codecs, "key", object())
+
+    def run(batches):
+        yield from batches
+
+    run.__module__ = bpe.__name__
+    assert list(pickle.loads(cloudpickle.dumps(tidy(run)))([1])) == [1] and "key" in bpe._codecs
+    run.__module__ = ngram_join.__name__
+    assert list(pickle.loads(cloudpickle.dumps(tidy(run)))([1])) == [1] and "key" not in bpe._codecs

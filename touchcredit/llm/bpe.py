@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchcredit.llm.common import tidy
+from touchcredit.llm.common import caches, tidy
 
 #: Words of a generation that a worker keeps between batches, and the longest word kept.
 CACHE_WORDS = 120_000
@@ -293,6 +293,7 @@ class Codec:
 
 
 _codecs: dict[str, Codec] = {}
+caches[__name__] = _codecs.clear
 
 
 def _codec(key: str, ranks: dict[bytes, int], pattern: str) -> Codec:
